@@ -22,17 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitforge.llm.pair_merge import merge
+from hitforge.llm.pair_merge import NEVER, KeptPieces, merge
 from hitforge.llm.text_batches import bound_batches, pieces
 from hitforge.llm.transducer import byte_level_splitter, split
 
-#: Pieces that a worker keeps merged. The cache starts anew when it is full; results don't depend on it.
-CACHE_SIZE = 400_000
-#: Bytes of the longest piece that is kept.
-CACHE_PIECE = 64
 
-
-class ByteBpe(dict):
+class ByteBpe(KeptPieces):
     """The cache of piece to token ids, with the ranks that fill it."""
 
     def __init__(self, path: str):
@@ -44,21 +39,12 @@ class ByteBpe(dict):
             self.bytes_of[rank] = token
         self.single = [bytes([i]) for i in range(256)]
 
-    def encode_piece(self, piece: bytes) -> tuple[int, ...]:
+    def make(self, piece: bytes) -> tuple[int, ...]:
         """Token ids of one piece: the piece itself if it is a token, else what pair merging leaves."""
         if (whole := self.ranks.get(piece)) is not None:
             return (whole,)
-        ranks = self.ranks
-        parts = merge([self.single[b] for b in piece], lambda a, b: ranks.get(a + b), lambda a, b: a + b)
-        return tuple(ranks[p] for p in parts)
-
-    def __missing__(self, piece: bytes) -> tuple[int, ...]:
-        ids = self.encode_piece(piece)
-        if len(piece) <= CACHE_PIECE:
-            if len(self) >= CACHE_SIZE:
-                self.clear()
-            self[piece] = ids
-        return ids
+        get = self.ranks.get
+        return tuple(map(self.ranks.__getitem__, merge([self.single[b] for b in piece], lambda a, b: get(a + b, NEVER))))
 
     def decode(self, ids) -> bytes:
         """The bytes that token ids stand for."""

@@ -3,57 +3,76 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from typing import Any
 
 #: Parts up to which a plain scan for each merge is quicker than a heap.
-SHORT = 48
+SHORT = 64
+#: The rank of a pair that doesn't merge.
+NEVER = 1 << 60
 
 
-def merge(parts: Sequence[Any], rank: Callable[[Any, Any], int | None], join: Callable[[Any, Any], Any]) -> list[Any]:
-    """The parts after all merges. Time is n log n for long inputs."""
-    parts = list(parts)
-    if len(parts) < 2:
-        return parts
-    return _scan(parts, rank, join) if len(parts) <= SHORT else _heap(parts, rank, join)
+class KeptPieces(dict):
+    """A cache of what ``make`` gives for byte strings: two generations of bounded size, so frequent pieces stay.
 
+    Results don't depend on its size. A piece longer than ``longest`` isn't kept.
+    """
 
-def _scan(parts: list, rank: Callable, join: Callable) -> list:
-    ranks = [rank(a, b) for a, b in zip(parts, parts[1:], strict=False)]
-    while True:
-        best = min((r for r in ranks if r is not None), default=None)
-        if best is None:
-            return parts
+    def __init__(self, size: int = 300_000, longest: int = 64):
+        super().__init__()
+        self.size, self.longest, self.older = size, longest, {}
+
+    def make(self, piece: bytes) -> Any:
+        raise NotImplementedError
+
+    def __missing__(self, piece: bytes) -> Any:
+        made = self.older.get(piece)
+        if made is None:
+            made = self.make(piece)
+        if len(piece) <= self.longest:
+            if len(self) >= self.size:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = made
+        return made
+
+
+def merge(parts: list, rank: Callable[[Any, Any], int]) -> list:
+    """The parts after all merges; ``rank`` gives a pair's rank or NEVER. Time is n log n for long inputs."""
+    return _scan(parts, rank) if len(parts) <= SHORT else _heap(parts, rank)
+
+
+def _scan(parts: list, rank: Callable[[Any, Any], int]) -> list:
+    ranks = [*map(rank, parts, parts[1:]), NEVER]
+    while (best := min(ranks)) != NEVER:
         i = ranks.index(best)
-        parts[i : i + 2] = [join(parts[i], parts[i + 1])]
+        parts[i] += parts.pop(i + 1)
         del ranks[i]
         if i:
             ranks[i - 1] = rank(parts[i - 1], parts[i])
-        if i < len(ranks):
+        if i + 1 < len(parts):
             ranks[i] = rank(parts[i], parts[i + 1])
+    return parts
 
 
-def _heap(parts: list, rank: Callable, join: Callable) -> list:
+def _heap(parts: list, rank: Callable[[Any, Any], int]) -> list:
+    """Positions are linked both ways; a heap entry counts only while both of its parts are as they were."""
     n = len(parts)
-    after, before, live = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-    heap = [(r, i, i + 1) for i in range(n - 1) if (r := rank(parts[i], parts[i + 1])) is not None]
+    after, before, version = list(range(1, n + 1)), list(range(-1, n - 1)), [0] * n
+    heap = [(r, i, i + 1, 0, 0) for i, r in enumerate(map(rank, parts, parts[1:])) if r != NEVER]
     heapq.heapify(heap)
-    version = [0] * n
-    seen = {(i, j): (0, 0) for _, i, j in heap}
     while heap:
-        _, i, j = heapq.heappop(heap)
-        if not (live[i] and j < n and live[j] and after[i] == j and seen.get((i, j)) == (version[i], version[j])):
+        _, i, j, was_i, was_j = heapq.heappop(heap)
+        if version[i] != was_i or version[j] != was_j:
             continue
-        parts[i] = join(parts[i], parts[j])
+        parts[i] += parts[j]
+        parts[j] = None
         version[i] += 1
-        live[j] = False
+        version[j] = -1
         after[i] = after[j]
         if after[i] < n:
             before[after[i]] = i
         for a, b in ((before[i], i), (i, after[i])):
-            if a >= 0 and b < n and (r := rank(parts[a], parts[b])) is not None:
-                seen[a, b] = (version[a], version[b])
-                heapq.heappush(heap, (r, a, b))
-            else:
-                seen.pop((a, b), None)
-    return [p for p, alive in zip(parts, live, strict=True) if alive]
+            if a >= 0 and b < n and (r := rank(parts[a], parts[b])) != NEVER:
+                heapq.heappush(heap, (r, a, b, version[a], version[b]))
+    return [p for p in parts if p is not None]
