@@ -68,14 +68,15 @@ def _run(df: DataFrame, text: str, make, fields: list[tuple[str, str, pa.DataTyp
     """Adds columns that ``make`` yields for each text to the columns ``keep``."""
     bound_batches(df.sparkSession)
     source = df.select(*[c.alias(name) for name, c in keep.items()], F.col(text).cast("string").alias("_text"))
+    kept, names, kinds = len(keep), [*keep, *[n for n, _, _ in fields]], [kind for _, _, kind in fields]
     shape = ", ".join([f"`{name}` {source.schema[name].dataType.simpleString()}" for name in keep] + [f"{n} {s}" for n, s, _ in fields])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in pieces(parts, "_text"):
-            made = list(zip(*make(texts), strict=True)) or [[] for _ in fields]
-            columns = [part.column(i) for i in range(len(keep))]
-            columns += [pa.array(values, kind) for values, (_, _, kind) in zip(made, fields, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *[n for n, _, _ in fields]])
+            made = list(zip(*make(texts), strict=True)) or [[] for _ in kinds]
+            columns = [part.column(i) for i in range(kept)]
+            columns += [pa.array(values, kind) for values, kind in zip(made, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return source.mapInArrow(batches, shape)
 

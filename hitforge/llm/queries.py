@@ -29,9 +29,16 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hitforge.llm.near_duplicates import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_byte_bpe": op6_byte_bpe,
     "op8_token_counts": op8_token_counts,
+    "op9_near_duplicates": op9_near_duplicates,
 }
 
 ORACLE_SQL: dict[str, str] = {}
