@@ -17,6 +17,18 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hitforge.llm.secrets import digests, find_secrets
+
+    return digests(find_secrets(_table(spark, sf_dir, "documents")))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hitforge.llm.mixing import mix
+
+    return mix(_table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hitforge.llm.byte_bpe import encode_digests
 
@@ -35,10 +47,25 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hitforge.llm.url_filters import filter_urls
+
+    return filter_urls(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_secrets": op3_secrets,
+    "op5_mixing": op5_mixing,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_url_filters": op10_url_filters,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+def _oracle_sql() -> dict[str, str]:
+    from hitforge.llm import secrets
+
+    return {"op3_secrets": secrets.oracle_sql()}
+
+
+ORACLE_SQL: dict[str, str] = _oracle_sql()
