@@ -17,6 +17,21 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hitforge.llm.quality import judge, train
+
+    docs = _table(spark, sf_dir, "documents")
+    return judge(docs, train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op2_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hitforge.llm.languages import held_out, identify, train
+
+    docs = _table(spark, sf_dir, "documents")
+    found = identify(docs, train(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hitforge.llm.secrets import digests, find_secrets
 
@@ -54,6 +69,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op2_languages": op2_languages,
     "op3_secrets": op3_secrets,
     "op5_mixing": op5_mixing,
     "op6_byte_bpe": op6_byte_bpe,

@@ -22,10 +22,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 @functools.cache
-def _lower() -> np.ndarray:
-    """Each byte's value, lower-cased for A-Z only; every value is above 0, so that lengths count."""
+def _values(fold: bool) -> np.ndarray:
+    """Each byte's value, lower-cased for A-Z only if ``fold``; every value is above 0, so that lengths count."""
     table = np.arange(256, dtype=np.uint64)
-    table[65:91] += np.uint64(32)
+    table[65:91] += np.uint64(32 * fold)
     return mix(table + np.uint64(1)) | np.uint64(1)
 
 
@@ -37,14 +37,14 @@ def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
     """A number for each word: the polynomial of its bytes, cut out of running sums over the piece."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     size = 1 << max(16, int(len(data)).bit_length())
     up, down = _powers(size, BYTE_BASE)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_lower()[data] * up[: len(data)], out=sums[1:])
+    np.cumsum(_values(fold)[data] * up[: len(data)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts])
 
 
