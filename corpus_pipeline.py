@@ -1,16 +1,69 @@
-"""The corpus pipeline: stages that each read what the one before has kept."""
+"""The corpus pipeline: quality rules, near-duplicate removal, secrets, mixing, encoding.
+
+Each stage reads what the one before has kept, written as Parquet. SQL can't express the line labelling, MinHash, budget
+fitting and byte-pair merging, so there is no SQL for the whole; tests hold every stage against a brute-force version.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hitforge.llm import byte_bpe, mixing, near_duplicates, quality, secrets
+from hitforge.storage import shared_dir, written
+
+#: The columns of documents, which all stages but the last return.
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the line labels reject go."""
+    field = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.judge(docs, field, keep=COLUMNS).filter("kept").select(*COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays, the one with the smallest id; repeated rows stay once."""
+    groups = near_duplicates.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id")
+    kept = written(groups.distinct())
+    kept = F.broadcast(kept) if kept.count() <= near_duplicates.BROADCAST_IDS else kept
+    with_id = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return with_id.select(*COLUMNS).unionByName(docs.filter("doc_id is null").select(*COLUMNS))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret is replaced by a mask; all documents stay."""
+    found = secrets.redact(secrets.find_secrets(docs, keep=COLUMNS), "secret_spans", "text")
+    return found.withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), F.col("n_chars"))).select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix takes documents once, twice or not at all; each time is a row."""
+    return mixing.take(docs).select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and of decoded bytes for each row of the mix."""
+    import public_tokenizers
+
+    return byte_bpe.encode_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near-duplicate removal", near_dedup),
+    ("secret scans", mask_secrets),
+    ("mixing sources to target weights", mix_sources),
+    ("byte-level BPE encoding and decoding", encode),
+]
 
-STAGES: list = []
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies all stages to the documents."""
+    """Applies all stages to the documents, each written to the folder that driver and executors share."""
+    shared_dir(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

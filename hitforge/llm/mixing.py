@@ -28,6 +28,8 @@ SHARE, MOST = 1.5, 2.0
 DP_BUDGET = 1 << 16
 #: Rows of one (source, size, slice) that are ranked together, about.
 SLICE_ROWS = 50_000
+#: Sources, and ids with their copies, that may be broadcast after a count; more go through a shuffle join.
+BROADCAST_SOURCES, BROADCAST_IDS = 10_000, 1_000_000
 
 
 def word_count(text: Column) -> Column:
@@ -120,8 +122,8 @@ def _plan(seed: int):
     return of_source
 
 
-def mix(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id", seed: int = 7, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """doc_id, size, source_size, target (of its source), taken (words that the mix takes, repeats counted)."""
+def copies(docs: DataFrame, text: str, source: str, id_col: str, seed: int, weights: tuple[int, ...], share: float, most: float) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, of, size, copies) of every row, where ``of`` is its source, and (source, source_size, target)."""
     draw = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"))
     rows = written(rows.withColumn("draw", F.shiftrightunsigned(draw, 1)))
@@ -148,7 +150,24 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", id_col: str
     place = F.row_number().over(Window.partitionBy("source", "size", "slice").orderBy("draw", "doc_id"))
     ranked = rows.withColumn("place", place)
     joined = ranked.join(quota, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("slice") == F.col("c")), "left")
-    copies = F.coalesce(F.col("passes") + (F.col("place") <= F.col("quota")).cast("int"), F.lit(0))
-    out = joined.select("doc_id", F.col("source").alias("of"), "size", copies.cast("bigint").alias("copies"))
-    sized = goals if goals.count() > 10_000 else F.broadcast(goals)
+    times = F.coalesce(F.col("passes") + (F.col("place") <= F.col("quota")).cast("int"), F.lit(0))
+    return joined.select("doc_id", F.col("source").alias("of"), "size", times.cast("bigint").alias("copies")), goals
+
+
+def mix(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id", seed: int = 7, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """doc_id, size, source_size, target (of its source), taken (words that the mix takes, repeats counted)."""
+    out, goals = copies(docs, text, source, id_col, seed, weights, share, most)
+    sized = F.broadcast(goals) if goals.count() <= BROADCAST_SOURCES else goals
     return out.join(sized, F.col("of").eqNullSafe(F.col("source")), "left").select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def take(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id", seed: int = 7, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """The rows of the mix with all their columns, each as often as it is taken. Rows of one id are taken alike.
+
+    Only ids and numbers of copies are joined to the texts: by a broadcast after a count, else by a shuffle.
+    """
+    out, _ = copies(docs, text, source, id_col, seed, weights, share, most)
+    wanted = written(out.filter("copies > 0 and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies")))
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    chosen = docs.join(wanted, F.col(id_col) == F.col("_id"))
+    return chosen.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)

@@ -38,6 +38,13 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(find_secrets(_table(spark, sf_dir, "documents")))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hitforge.llm.pii import digests, find_personal_data, train
+
+    docs = _table(spark, sf_dir, "documents")
+    return digests(find_personal_data(docs, train(docs)))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hitforge.llm.mixing import mix
 
@@ -50,6 +57,13 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_multi_50k.tiktoken"))
 
 
+def op7_audio_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hitforge.llm.audio_prints import align, as_recordings, fingerprints
+    from hitforge.storage import written
+
+    return align(written(fingerprints(as_recordings(_table(spark, sf_dir, "documents")))))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hitforge.llm.token_counts import token_counts
 
@@ -72,8 +86,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_languages": op2_languages,
     "op3_secrets": op3_secrets,
+    "op4_personal_data": op4_personal_data,
     "op5_mixing": op5_mixing,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_audio_prints": op7_audio_prints,
     "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_url_filters": op10_url_filters,
