@@ -4,8 +4,9 @@ Many universal hash functions give each document's signature; bands of it make b
 on signatures, then confirmed on the full shingle sets; confirmed links make components by large-star and small-star.
 
 Documents with equal shingle sets are one class from the start. A bucket isn't expanded into all its pairs: first every
-class is paired with the smallest leader of its buckets, and the confirmed links make first components. Then only
-pairs of one bucket in different components are left to look at, since a link inside a component adds nothing.
+class is paired with a few leaders, those that it meets in most buckets, and the confirmed links make components; then
+once more, with leaders of other components. Only pairs of one bucket that are still in different components are left
+to look at one by one, since a link inside a component adds nothing.
 
 With ROWS = 6 and BANDS = 56 a pair of similarity 0.75 meets in no bucket with probability 2e-5, one of 0.85 with
 1e-12; no bucket is capped. The signature check leaves a margin of five standard deviations.
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitforge.llm.components import components
@@ -32,10 +33,16 @@ from hitforge.llm.text_batches import Texts, bound_batches, pieces
 from hitforge.storage import written
 
 BANDS, ROWS = 56, 6
+#: Functions beyond those of the bands, which only sharpen the signature.
+EXTRA = 336
 #: Ids that may be broadcast, after a count (8 bytes each, 32 MB as a hash table); more go through a shuffle join.
 BROADCAST_IDS = 1_000_000
-#: Similarity by signature below which a pair can't be 0.75 (five standard deviations of 336 minima).
-SIGNATURE_LEAST = 0.63
+#: Similarity by signature below which a pair can't be 0.75 (five standard deviations of 672 minima).
+SIGNATURE_LEAST = 0.667
+#: Rows of a bucket that are compared with each other at once.
+BLOCK = 1024
+#: Shingle sets that a worker keeps while it confirms pairs.
+KEPT_SETS = 1000
 
 
 @functools.cache
@@ -73,9 +80,9 @@ def signatures(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k: i
                     for column in (ids, keys, signs):
                         column.append(None)
                     continue
-                least = minima(own, bands * rows)
+                least = minima(own, bands * rows + EXTRA)
                 key = salts.copy()
-                for value in least.reshape(bands, rows).T.astype(np.uint64):
+                for value in least[: bands * rows].reshape(bands, rows).T.astype(np.uint64):
                     key = mix(key ^ value) + np.uint64(0x9E3779B97F4A7C15)
                 ids.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
                 keys.append(key.view(np.int64))
@@ -111,14 +118,22 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
     texts = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, own = None, None
+        kept: dict[int, np.ndarray] = {}
+
+        def shingles(i: int, text: pa.Scalar) -> np.ndarray:
+            if i not in kept:
+                if len(kept) >= KEPT_SETS:
+                    kept.clear()
+                kept[i] = next(shingle_sets(Texts(pa.array([text.as_py()], pa.string())), k))
+            return kept[i]
+
         for part in parts:
             yes = []
-            for u, tu, tv in zip(part.column(0).to_pylist(), part.column(2), part.column(3), strict=True):
-                if u != last:  # rows of one u mostly follow each other
-                    last, own = u, next(shingle_sets(Texts(pa.array([tu.as_py()], pa.string())), k))
-                other = next(shingle_sets(Texts(pa.array([tv.as_py()], pa.string())), k))
-                both = len(np.intersect1d(own, other, assume_unique=True))
+            for u, v, tu, tv in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), part.column(3), strict=True):
+                own, other = shingles(u, tu), shingles(v, tv)
+                both = np.searchsorted(own, other)
+                both[both == len(own)] = 0
+                both = int((own[both] == other).sum())
                 yes.append(100 * both >= percent * (len(own) + len(other) - both))
             yield part.filter(pa.array(yes, pa.bool_())).select(["u", "v"])
 
@@ -127,6 +142,89 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
     return pairs.join(one, "v").join(two, "u").select("u", "v", "tu", "tv").mapInArrow(batches, "u bigint, v bigint")
 
 
+def _compared(left: DataFrame, signed: DataFrame) -> DataFrame:
+    """Pairs (u, v) of one bucket of ``left(key, band, doc_id, part)``, in different parts, whose signatures agree well enough.
+
+    A bucket is cut into blocks of about BLOCK rows, and each two blocks meet in one place, where signatures are
+    compared without writing the pairs down. A pair is given in the first band in which it agrees only.
+    """
+    blocks = left.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    rows = left.join(blocks, "key").join(signed.select("doc_id", "signature"), "doc_id")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "band", "doc_id", "part", "signature")
+
+    def pairs(group: pa.Table) -> tuple[list, list]:
+        i, j, band = (group.column(c)[0].as_py() for c in ("i", "j", "band"))
+        own, ids, part = (group.column(c).to_numpy() for c in ("own", "doc_id", "part"))
+        signs = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
+        us, vs = [], []
+        for a in range(len(ids) - 1):
+            with_a = np.arange(a + 1, len(ids))
+            with_a = with_a[(part[with_a] != part[a]) & ((i == j) | (own[with_a] != own[a]))]
+            if not len(with_a):
+                continue
+            same = signs[with_a] == signs[a]
+            good = (same.mean(axis=1) - 1 / 256) / (1 - 1 / 256) >= SIGNATURE_LEAST
+            first = same[good][:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+            found = ids[with_a[good][first == band]]
+            us.append(np.minimum(found, ids[a]))
+            vs.append(np.maximum(found, ids[a]))
+        return us, vs
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def groups() -> Iterator[pa.Table]:
+            open_group, begun = None, []
+            for part in parts:
+                if not part.num_rows:
+                    continue
+                names = [part.column(c).to_numpy() for c in ("key", "i", "j")]
+                cuts = np.flatnonzero(np.any([x[1:] != x[:-1] for x in names], axis=0)) + 1
+                for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), part.num_rows], strict=True):
+                    name = tuple(int(x[a]) for x in names)
+                    if name != open_group and begun:
+                        yield pa.Table.from_batches(begun).combine_chunks()
+                        begun = []
+                    open_group = name
+                    begun.append(part.slice(a, b - a))
+            if begun:
+                yield pa.Table.from_batches(begun).combine_chunks()
+
+        for group in groups():
+            us, vs = pairs(group)
+            if us:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
+
+    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.mapInArrow(batches, "u bigint, v bigint")
+
+
+def _proposed(members: DataFrame, at_most: int = 4) -> DataFrame:
+    """Pairs (u, v) of each document with the leaders that it meets in most buckets, ``at_most`` for each document.
+
+    A bucket of ``members(key, doc_id, part)`` has four leaders, least and greatest in different orders of the ids, so
+    that it gives four rows for each member, however many it has. Leaders in the document's own part are left out.
+    """
+    orders = [F.lit(mask).cast("bigint") for mask in (0, -1 & ((1 << 62) - 1), 0x1555555555555555, 0x3333333333333333)]
+    least = members.groupBy("key").agg(*[F.min(F.col("doc_id").bitwiseXOR(mask)).alias(f"l{i}") for i, mask in enumerate(orders)])
+    leaders = F.array_distinct(F.array(*[F.col(f"l{i}").bitwiseXOR(mask) for i, mask in enumerate(orders)]))
+    met = members.join(least.select("key", leaders.alias("leaders")), "key").select("doc_id", "part", F.explode("leaders").alias("leader"))
+    votes = met.filter("doc_id <> leader").groupBy("doc_id", "part", "leader").agg(F.count(F.lit(1)).alias("votes"))
+    parts = members.select(F.col("doc_id").alias("leader"), F.col("part").alias("other")).distinct()
+    votes = votes.join(parts, "leader").filter("part <> other")
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("votes").desc(), "leader"))
+    best = votes.withColumn("place", place).filter(F.col("place") <= at_most)
+    return best.select(F.least("doc_id", "leader").alias("u"), F.greatest("doc_id", "leader").alias("v")).distinct()
+
+
+def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``members`` with the part that each is in by ``links``, in buckets that hold several parts."""
+    known = components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("now"))
+    rows = members.join(known, "doc_id", "left").select("key", "band", "doc_id", F.coalesce("now", "doc_id").alias("part"))
+    rows = written(rows)
+    several = rows.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b")).filter("a <> b").select("key")
+    return rows.join(several, "key", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k: int = 5, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id of the group), kept (whether the document is that one)."""
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -135,22 +233,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     classes = written(rows.groupBy("set_id").agg(F.min("doc_id").alias("rep")))
     signed = rows.join(classes.select("set_id", F.col("rep").alias("doc_id")), ["set_id", "doc_id"]).select("doc_id", "bands", "signature").dropDuplicates(["doc_id"])
 
-    members = signed.select("doc_id", F.explode("bands").alias("key"))
-    shared = members.groupBy("key").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).filter("leader < last").select("key", "leader")
-    members = written(members.join(shared, "key"))
-
-    first = members.filter("doc_id <> leader").groupBy("doc_id").agg(F.min("leader").alias("leader")).select(F.col("leader").alias("u"), F.col("doc_id").alias("v"))
-    first = written(first)
-    links = written(_confirmed(written(_alike(first, signed)), docs, k, percent))
-
-    known = components(links).withColumnsRenamed({"node": "doc_id", "component": "part"})
-    labelled = members.select("key", "doc_id").join(known, "doc_id", "left").select("key", "doc_id", F.coalesce("part", "doc_id").alias("part"))
-    labelled = written(labelled)
-    mixed = labelled.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b")).filter("a <> b").select("key")
-    left = labelled.join(mixed, "key", "left_semi")
-    u, v = left.select("key", F.col("doc_id").alias("u"), F.col("part").alias("pu")), left.select("key", F.col("doc_id").alias("v"), F.col("part").alias("pv"))
-    more = u.join(v, "key").filter("u < v and pu <> pv").select("u", "v").distinct().join(first, ["u", "v"], "left_anti")
-    links = links.union(_confirmed(written(_alike(more, signed)), docs, k, percent))
+    banded = signed.select("doc_id", F.posexplode("bands").alias("band", "key"))
+    shared = banded.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("key")
+    members = written(banded.join(shared, "key", "left_semi").withColumn("part", F.col("doc_id")))
+
+    tested, links = None, None
+    for again in (False, True):
+        left = written(_mixed(members, links)) if again else members
+        pairs = _proposed(left)
+        pairs = written(pairs.join(tested, ["u", "v"], "left_anti") if tested is not None else pairs)
+        found = written(_confirmed(written(_alike(pairs, signed)), docs, k, percent))
+        tested = pairs if tested is None else tested.union(pairs)
+        links = found if links is None else links.union(found)
+
+    left = written(_mixed(members, links))
+    pairs = _compared(left, signed).distinct().join(tested, ["u", "v"], "left_anti")
+    links = links.union(written(_confirmed(written(pairs), docs, k, percent)))
 
     groups = components(links).withColumnsRenamed({"node": "rep", "component": "component_id"})
     of_class = classes.join(groups, "rep", "left").select("set_id", F.coalesce("component_id", "rep").alias("component_id"))
