@@ -167,7 +167,8 @@ def take(docs: DataFrame, text: str = "text", source: str = "source", id_col: st
     Only ids and numbers of copies are joined to the texts: by a broadcast after a count, else by a shuffle.
     """
     out, _ = copies(docs, text, source, id_col, seed, weights, share, most)
-    wanted = written(out.filter("copies > 0 and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies")))
+    key, times, nth = (max(docs.columns, key=len, default="") + end for end in ("_id", "_copies", "_nth"))  # clash with no column
+    wanted = written(out.filter("copies > 0 and doc_id is not null").groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(times)))
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    chosen = docs.join(wanted, F.col(id_col) == F.col("_id"))
-    return chosen.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    chosen = docs.join(wanted, F.col(id_col) == F.col(key))
+    return chosen.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)

@@ -41,7 +41,7 @@ LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012
 # Looser shapes of candidates.
 LOOSE = (
     ("phone", re.compile(r"(?<![0-9A-Za-z+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])")),
-    ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,40}\x20?[(\[](?:at|AT)[)\]]\x20?[A-Za-z0-9-]{1,30}(?:\x20?[(\[](?:dot|DOT)[)\]]\x20?|\.)[A-Za-z]{2,10}(?![A-Za-z0-9])")),
+    ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,40}\x20?[(\[](?:at|AT)[)\]]\x20?[A-Za-z0-9-]{1,30}(?:\x20?[(\[](?:dot|DOT)[)\]]\x20?|\x20dot\x20|\.)[A-Za-z]{2,10}(?![A-Za-z0-9])")),
     ("card", re.compile(r"(?<![0-9A-Za-z.])[0-9]{4}([._/])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9A-Za-z])")),
     ("iban", re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![0-9A-Za-z])")),
     ("ssn", re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])")),
