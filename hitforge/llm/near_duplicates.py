@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from hitforge.llm.components import components
 from hitforge.llm.shingles import mix, shingle_sets
-from hitforge.llm.text_batches import Texts, bound_batches, pieces
+from hitforge.llm.text_batches import SMALL_PIECE, Texts, bound_batches, pieces
 from hitforge.storage import written
 
 BANDS, ROWS = 56, 6
@@ -72,7 +72,7 @@ def signatures(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k: i
     salts = mix(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in pieces(parts, "text"):
+        for part, texts in pieces(parts, "text", SMALL_PIECE):
             sizes, ids, keys, signs = [], [], [], []
             for own in shingle_sets(texts, k):
                 sizes.append(len(own))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitforge.llm.shingles import mix, word_hashes
-from hitforge.llm.text_batches import Texts, bound_batches, is_separator, pieces, word_bounds
+from hitforge.llm.text_batches import SMALL_PIECE, Texts, bound_batches, is_separator, pieces, word_bounds
 
 TRAIN_DOCS, TRAIN_LINES = 2000, 512
 #: Lines of one training sequence; longer documents make several.
@@ -220,7 +220,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
     source = docs.select(F.col(id_col).alias("i"), F.col(text).cast("string").alias("text")).join(F.broadcast(sample), "i").select("i", "y", "text")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in pieces(parts, "text"):
+        for part, texts in pieces(parts, "text", SMALL_PIECE):
             made = [m.features.astype(np.float32).ravel() for m in measure(texts)]
             made = [x if 0 < len(x) <= TRAIN_LINES * len(FEATURES) else None for x in made]
             out = pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(made, pa.list_(pa.float32()))], names=["i", "y", "x"])
@@ -240,7 +240,7 @@ def judge(docs: DataFrame, field: LineField, text: str = "text", id_col: str = "
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in pieces(parts, "_text"):
+        for part, texts in pieces(parts, "_text", SMALL_PIECE):
             numbers, failed, verdict, shares = [], [], [], []
             for m in measure(texts):
                 numbers.append((m.n_words, m.word_chars, m.n_symbols, m.n_dup_lines, m.n_repeat_words))

@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 
 #: Bytes of text that one numpy pass handles. A longer text is one piece by itself.
 PIECE_BYTES = 4 << 20
+#: The same for operators that keep many arrays for each byte.
+SMALL_PIECE = 1 << 20
 #: Bytes of one Arrow batch between the JVM and a Python worker, whatever the length of the rows.
 BATCH_BYTES = 16 << 20
 
@@ -36,13 +38,13 @@ class Texts:
         return len(self.offsets) - 1
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, Texts]]:
-    """Cuts record batches so that ``column`` holds about PIECE_BYTES at most, and at least one row."""
+def pieces(batches: Iterator[pa.RecordBatch], column: str, size: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, Texts]]:
+    """Cuts record batches so that ``column`` holds about ``size`` bytes at most, and at least one row."""
     for batch in batches:
         texts = Texts(batch.column(batch.schema.get_field_index(column)))
         start, n = 0, len(texts)
         while start < n:
-            end = int(np.searchsorted(texts.offsets, texts.offsets[start] + PIECE_BYTES, side="right")) - 1
+            end = int(np.searchsorted(texts.offsets, texts.offsets[start] + size, side="right")) - 1
             end = min(n, max(end, start + 1))
             part = batch.slice(start, end - start)
             yield part, Texts(part.column(part.schema.get_field_index(column)))
