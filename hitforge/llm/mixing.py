@@ -85,12 +85,14 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.nda
         taken[i] += more
         rest -= more * int(sizes[i])
     goal = min(rest, DP_BUDGET)
-    full, reach, steps = (1 << (goal + 1)) - 1, 1, []
+    # sums beyond the goal by up to one document may be nearer than those below it
+    most = goal + min(goal, int(sizes.max()))
+    full, reach, steps = (1 << (most + 1)) - 1, 1, []
     for i in order:
         size, have = int(sizes[i]), int(counts[i] - taken[i])
-        if size > goal:
+        if not 0 < size <= most:
             continue
-        have, power = min(have, goal // size), 1
+        have, power = min(have, most // size), 1
         while have > 0:
             n = min(power, have)
             steps.append((reach, int(i), n))
@@ -100,7 +102,10 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.nda
                 break
         if reach >> goal & 1:
             break
-    at = reach.bit_length() - 1
+    below, above = (reach & ((1 << (goal + 1)) - 1)).bit_length() - 1, reach >> (goal + 1)
+    at = below
+    if above and goal + (above & -above).bit_length() - goal < goal - below:
+        at = goal + (above & -above).bit_length()
     for before, i, n in reversed(steps):
         if not before >> at & 1:
             taken[i] += n

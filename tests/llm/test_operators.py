@@ -350,12 +350,12 @@ def test_fit():
         counts = dice.integers(1, 6, len(sizes))
         budget = int(dice.integers(0, (sizes * counts).sum() + 1))
         taken = mixing.fit(sizes, counts, budget, 1)
-        assert (0 <= taken).all() and (taken <= counts).all() and (sizes * taken).sum() <= budget
-        reach = {0}
-        left = budget - int((sizes * np.array([int(c) * budget // int((sizes * counts).sum()) for c in counts])).sum())
-        for s, c, t in zip(sizes.tolist(), counts.tolist(), [int(c) * budget // int((sizes * counts).sum()) for c in counts], strict=True):
-            reach = {r + k * s for r in reach for k in range(c - t + 1) if r + k * s <= left}
-        assert budget - (sizes * taken).sum() == left - max(reach)
+        assert (0 <= taken).all() and (taken <= counts).all()
+        even = np.array([int(c) * budget // int((sizes * counts).sum()) for c in counts])
+        left, reach = budget - int((sizes * even).sum()), {0}
+        for s, c, t in zip(sizes.tolist(), counts.tolist(), even.tolist(), strict=True):
+            reach = {r + k * s for r in reach for k in range(c - t + 1)}
+        assert abs(budget - (sizes * taken).sum()) <= min(abs(left - r) for r in reach if r <= left + min(left, sizes.max()))
     assert mixing.fit(np.array([100_000]), np.array([50]), 1_234_567, 1)[0] == 12
 
 

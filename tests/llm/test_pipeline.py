@@ -34,7 +34,7 @@ def test_stages(spark, sf, tmp_path):
         sizes[r.source] += len(r.text.encode().split())
     for r in kept["mixing sources to target weights"]:
         taken[r.source] += len(r.text.encode().split())
-    assert abs(sum(taken.values()) - 1.5 * sum(sizes.values())) <= 5 * len(sizes)
+    assert abs(sum(taken.values()) - 1.5 * sum(sizes.values())) <= 0.02 * sum(sizes.values())  # few documents in each source
     assert max(Counter(r.doc_id for r in kept["mixing sources to target weights"]).values()) <= 2
     assert len(kept["byte-level BPE encoding and decoding"]) == len(kept["mixing sources to target weights"])
 
