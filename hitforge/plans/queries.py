@@ -200,7 +200,7 @@ _add("gene_hit_index", lambda t: hits.gene_hit_index(_good(t)).select("gene_id",
 _add("winning_cluster", lambda t: clusters.winning_cluster(_clustered(t)).select("gene_id", "cluster_id", "n", F.round("score", 4).alias("score"), F.round("fraction", 6).alias("fraction")), clusters_sql("SELECT gene_id, cluster_id, n, round(score, 4) AS score, round(fraction, 6) AS fraction FROM winner"))
 _add("winning_symbol_group", lambda t: clusters.winning_symbol_group(_won(t)), clusters_sql("SELECT gene_id, symbol_key FROM wsym"))
 _add("best_hit", lambda t: clusters.best_hit(_won(t)).select("gene_id", "hit_idx", "bitscore"), clusters_sql("SELECT gene_id, hit_idx, bitscore FROM (SELECT *, row_number() OVER (PARTITION BY gene_id ORDER BY bitscore DESC, member_pos) AS r FROM won) WHERE r = 1"))
-_add("top5_hits", lambda t: clusters.top_hits(clusters.symbol_group_hits(_won(t))).select("gene_id", "hit_idx", "place"), clusters_sql("SELECT gene_id, hit_idx, place FROM ranked WHERE place <= 5"))
+_add("top5_hits", lambda t: clusters.top_hits(clusters.symbol_group_hits(_won(t))).select("gene_id", "hit_idx", F.col("place").cast("bigint").alias("place")), clusters_sql("SELECT gene_id, hit_idx, place FROM ranked WHERE place <= 5"))
 _add("renumber_ids", lambda t: features.renumber_ids(t.pf, FEATURE_ORDER).select(*FEATURE_ORDER, "old_id", "new_id"), proxy_sql("pf", "X").replace(" X", f", {NUMBERED} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, old_id, new_id FROM num"))
 _add("last_id_wins", lambda t: _new_ids(t), proxy_sql("pf", "X").replace(" X", f", {NUMBERED} SELECT * FROM ids"))
 _add("last_value_wins", lambda t: hits.last_value(t.events.select("user_id", "event_type", "event_id"), "user_id", "event_type", "event_id"), "SELECT user_id, max_by(event_type, event_id) AS event_type FROM events GROUP BY user_id")
