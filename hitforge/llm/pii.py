@@ -15,8 +15,10 @@ Repeated rows give repeated rows; an empty table gives an empty table. Other col
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -135,8 +137,6 @@ def _score(weights: dict[str, float], x: dict[str, float]) -> float:
 
 def decode(segments: list, weights: dict[str, float]) -> list[tuple[str, int, int]]:
     """The best set of segments that don't overlap; a gap scores 0. Segments come sorted by end."""
-    from bisect import bisect_right
-
     ends, best, chosen = [0], [0.0], [None]
     for kind, a, b, x in segments:
         before = bisect_right(ends, a) - 1
@@ -193,20 +193,16 @@ def fit(samples: list[list], rounds: int = 25, rate: float = 0.1, pull: float =
     return weights
 
 
-def train(docs: DataFrame, text: str = "text", id_col: str = "doc_id", most: int = TRAIN_DOCS) -> dict[str, float]:
+def train(docs: DataFrame, text: str = "text", most: int = TRAIN_DOCS) -> dict[str, float]:
     """Weights from at most ``most`` documents with candidates, texts of TRAIN_CHARS at most."""
     shaped = F.col(text).rlike(r"[0-9]{3}|@") & (F.length(text) <= TRAIN_CHARS)
     rows = docs.filter(shaped).select(F.xxhash64(F.col(text)).alias("h"), F.col(text).cast("string").alias("t")).orderBy("h").limit(most)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import json
-
         for part in parts:
             made = [json.dumps(candidates(t, base_spans(t))) for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.string())], names=["h", "c"])
 
-    import json
-
     got = rows.mapInArrow(batches, "h bigint, c string").orderBy("h", "c").collect()
     return fit([[(k, a, b, x) for k, a, b, x in json.loads(c)] for _, c in got])
 

@@ -96,9 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 def _oracle_sql() -> dict[str, str]:
-    from hitforge.llm import secrets
+    from hitforge.llm import near_duplicates, secrets
 
-    return {"op3_secrets": secrets.oracle_sql()}
+    return {"op3_secrets": secrets.oracle_sql(), "op9_near_duplicates": near_duplicates.oracle_sql()}
 
 
 ORACLE_SQL: dict[str, str] = _oracle_sql()
