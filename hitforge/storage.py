@@ -10,18 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``. Only where that is unset, as in tests, a temporary folder of this machine."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        path = spark.sparkContext.getCheckpointDir() or f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
-        spark.conf.set("spark.checkpoint.dir", path) if _may_set(spark) else None
+        path = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
         spark.sparkContext.setCheckpointDir(path)
     return path
 
 
-def _may_set(spark: SparkSession) -> bool:
-    return spark.conf.isModifiable("spark.checkpoint.dir")
-
-
 def written(df: DataFrame) -> DataFrame:
     """Writes a table to the shared folder and reads it: lineage ends there, it survives lost executors, and its size is known."""
     spark = df.sparkSession
