@@ -19,9 +19,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hitforge.llm.sampling import hashed_sample_by
 from hitforge.llm.shingles import mix, word_hashes
 from hitforge.llm.text_batches import Texts, bound_batches, pieces, word_bounds
 from hitforge.llm.transducer import E, L, LETTER, R_OR_V, STMD, class_table
@@ -154,8 +155,7 @@ def train(docs: DataFrame, text: str = "text", language: str = "lang", id_col: s
     """Learns from documents that aren't held out, at most ``most`` of each language."""
     bound_batches(docs.sparkSession)
     usable = docs.filter(F.col(id_col).isNotNull() & F.col(language).isNotNull() & F.col(text).isNotNull() & ~held_out(id_col))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("i"), "i"))
-    chosen = usable.select(F.col(id_col).alias("i"), F.col(language).cast("string").alias("lang")).distinct().withColumn("r", rank).filter(F.col("r") <= most).drop("r")
+    chosen = hashed_sample_by(usable.select(F.col(id_col).alias("i"), F.col(language).cast("string").alias("lang")), "lang", "i", most).distinct()
     source = usable.select(F.col(id_col).alias("i"), F.col(text).cast("string").alias("text")).join(F.broadcast(chosen), "i").select("lang", "text")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hitforge.llm.sampling import hashed_sample
 from hitforge.llm.text_batches import bound_batches, pieces
+from hitforge.storage import written
 
 TRAIN_DOCS = 2000
 #: Longest segment in characters, and the longest training text.
@@ -196,7 +198,9 @@ def fit(samples: list[list], rounds: int = 25, rate: float = 0.1, pull: float =
 def train(docs: DataFrame, text: str = "text", most: int = TRAIN_DOCS) -> dict[str, float]:
     """Weights from at most ``most`` documents with candidates, texts of TRAIN_CHARS at most."""
     shaped = F.col(text).rlike(r"[0-9]{3}|@") & (F.length(text) <= TRAIN_CHARS)
-    rows = docs.filter(shaped).select(F.xxhash64(F.col(text)).alias("h"), F.col(text).cast("string").alias("t")).orderBy("h").limit(most)
+    keys = written(docs.filter(shaped).select(F.xxhash64(F.col(text)).alias("h")).distinct())
+    chosen = F.broadcast(hashed_sample(keys, "h", most))
+    rows = docs.select(F.xxhash64(F.col(text)).alias("h"), F.col(text).cast("string").alias("t")).join(chosen, "h", "left_semi").dropDuplicates(["h"])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hitforge.llm.sampling import hashed_sample
 from hitforge.llm.shingles import mix, word_hashes
 from hitforge.llm.text_batches import SMALL_PIECE, Texts, bound_batches, is_separator, pieces, word_bounds
 
@@ -216,7 +217,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
     """Fits the field on at most ``most_docs`` labelled documents."""
     bound_batches(docs.sparkSession)
     sample = labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(label).cast("int").alias("y"))
-    sample = sample.orderBy(F.xxhash64("i"), "y").limit(most_docs)
+    sample = hashed_sample(sample, "i", most_docs)
     source = docs.select(F.col(id_col).alias("i"), F.col(text).cast("string").alias("text")).join(F.broadcast(sample), "i").select("i", "y", "text")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
