@@ -4,9 +4,13 @@ Samples become frames, frames become energies of the twelve pitch classes, and a
 gives the sums of rectangles at four look-ups each. Sixteen filters compare rectangles; each difference is quantised to
 two bits in Gray code, so that every position of the filters' window gives one packed 32-bit integer.
 
-Recordings with equal fingerprints are one class. Landmarks, the least hashed integers of sliding windows, are looked
-up in the first recording that has them; a histogram of offsets picks the alignment of each recording, and the bit
-errors over the whole overlap confirm it. A landmark thus gives one row for each recording that has it, never all pairs.
+Recordings with equal fingerprints are one class. Landmarks are the least hashed integers of sliding windows. Each two
+classes that share landmarks have a histogram of offsets; every offset with a vote is tested by the bit errors over the
+whole overlap. The best confirmed alignment with an earlier class is given, and how many are confirmed with any class.
+
+Classes are dealt into blocks, and each two blocks meet in one place, where landmarks are joined and offsets tested
+without writing the pairs down: what comes out is a row for each class, not for each pair. The work in the blocks grows
+with the pairs that share a landmark, which is with the square of the table where landmarks are common.
 
 Edge cases: null, empty and short audio has no integers and isn't aligned. A row without id is fingerprinted and not
 aligned. Repeated rows fall into one class. An empty table gives an empty table. Long audio is read in bounded blocks.
@@ -31,6 +35,8 @@ FRAME, HOP, RATE, WIDTH = 512, 128, 8000, 8
 LANDMARK, MOST_ERRORS, LEAST_OVERLAP = 8, 0.2, 6
 #: Frames that are worked on at once.
 BLOCK = 8192
+#: Integers of a block of classes, about; the least number of blocks; shared landmarks and compared integers at once.
+BLOCK_INTS, LEAST_BLOCKS, RUN, CELLS = 1 << 19, 12, 1 << 20, 1 << 21
 STEPS = (-0.12, 0.0, 0.12)
 GRAY = np.array([0, 1, 3, 2], np.uint32)
 
@@ -122,35 +128,125 @@ def fingerprints(recordings: DataFrame, audio: str = "audio", id_col: str = "doc
     return recordings.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(audio).alias("audio")).mapInArrow(batches, "doc_id bigint, ints array<int>, marks array<int>")
 
 
+def _wrong(ints: np.ndarray, one: np.ndarray, other: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Bits that differ between ``length`` integers from ``one`` and as many from ``other``, for each candidate."""
+    wrong, upto = np.empty(len(length), np.int64), np.cumsum(length)
+    i = 0
+    while i < len(length):
+        done = int(upto[i - 1]) if i else 0
+        j = max(i + 1, int(np.searchsorted(upto, done + CELLS, "right")))
+        starts = upto[i:j] - length[i:j] - done
+        cells = np.arange(int(upto[j - 1]) - done)
+        differ = ints[cells + np.repeat(one[i:j] - starts, length[i:j])] ^ ints[cells + np.repeat(other[i:j] - starts, length[i:j])]
+        wrong[i:j] = np.add.reduceat(np.bitwise_count(differ), starts, dtype=np.int64)
+        i = j
+    return wrong
+
+
+def _best(found: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The best candidate of each ``own``: confirmed, most votes, earliest anchor, nearest and then greater position."""
+    order = np.lexsort((found["position"], -np.abs(found["position"]), -found["anchor"], found["votes"], found["good"], found["own"]))
+    own = found["own"][order]
+    order = order[np.flatnonzero(np.append(own[1:] != own[:-1], True))] if len(own) else order
+    return {name: column[order] for name, column in found.items()}
+
+
+def _alignments(ids: np.ndarray, ints: np.ndarray, starts: np.ndarray, sizes: np.ndarray, left: tuple, right: tuple) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Confirmed alignments of each recording, and the best candidate of each with an earlier one.
+
+    ``left`` and ``right`` are landmarks (recording, position) in order of the recordings, which are numbers into ``ids``.
+    A candidate is a pair of recordings with one from each side, at an offset where they share a landmark.
+    """
+    links, bests = np.zeros(len(ids), np.int64), []
+    (doc, at), (doc_r, at_r) = left, right
+    values = ints[starts[doc_r] + at_r]
+    order = np.argsort(values, kind="stable")
+    values, doc_r, at_r = values[order], doc_r[order], at_r[order]
+    mine = ints[starts[doc] + at]
+    low = np.searchsorted(values, mine, "left")
+    have = np.searchsorted(values, mine, "right") - low
+    # whole recordings at once, as votes are counted for each
+    ends = np.append(np.flatnonzero(doc[1:] != doc[:-1]) + 1, len(doc)) if len(doc) else np.zeros(0, np.int64)
+    upto = np.append(0, np.cumsum(have))
+    reach = int(sizes.max(initial=0))
+    span, a = 2 * reach + 1, 0
+    while a < len(doc):
+        b = int(ends[np.searchsorted(ends, a, "right")])
+        further = int(np.searchsorted(upto[ends], upto[a] + RUN, "right")) - 1
+        b = max(b, int(ends[further])) if further >= 0 else b
+        n = have[a:b]
+        with_r = np.arange(int(n.sum())) + np.repeat(low[a:b] - (np.cumsum(n) - n), n)
+        one, other = np.repeat(doc[a:b], n), doc_r[with_r]
+        offset = at_r[with_r] - np.repeat(at[a:b], n)
+        if left is right:
+            once = ids[one] > ids[other]
+            one, other, offset = one[once], other[once], offset[once]
+        first = int(doc[a])
+        key, votes = np.unique(((one - first) * len(ids) + other) * span + (offset + reach), return_counts=True)
+        a = b
+        if not len(key):
+            continue
+        key, offset = key // span, key % span - reach
+        one, other = key // len(ids) + first, key % len(ids)
+        skip, there = np.maximum(-offset, 0), np.maximum(offset, 0)
+        length = np.minimum(sizes[one] - skip, sizes[other] - there)
+        errors = _wrong(ints, starts[one] + skip, starts[other] + there, length) / (32 * length)
+        good = (errors <= MOST_ERRORS) & (length >= LEAST_OVERLAP)
+        links += np.bincount(one[good], minlength=len(ids)) + np.bincount(other[good], minlength=len(ids))
+        later = ids[one] > ids[other]
+        bests.append(_best({
+            "own": np.where(later, one, other), "anchor": ids[np.where(later, other, one)], "position": np.where(later, offset, -offset),
+            "votes": votes, "good": good, "errors": errors,
+        }))
+    names = ("own", "anchor", "position", "votes", "good", "errors")
+    return links, _best({name: np.concatenate([b[name] for b in bests]) if bests else np.zeros(0, np.int64) for name in names})
+
+
+def _linked(first: DataFrame) -> DataFrame:
+    """doc_id, links and best of each of ``first(doc_id, ints, marks)`` that shares a landmark with another one."""
+    ints = first.agg(F.sum(F.size("ints"))).first()[0] or 0
+    blocks = max(LEAST_BLOCKS, -(-ints // BLOCK_INTS))
+    own = F.pmod(F.xxhash64("doc_id"), F.lit(blocks))
+    rows = first.select("doc_id", "ints", "marks", own.alias("own")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    rows = rows.select((F.least("own", "other") * blocks + F.greatest("own", "other")).alias("pair"), "own", "doc_id", "ints", "marks")
+    kinds = "doc_id bigint, links bigint, anchor_id bigint, position bigint, votes bigint, good boolean, bit_errors double"
+
+    def met(group: pa.Table) -> pa.Table:
+        i, j = divmod(group.column("pair")[0].as_py(), blocks)
+        ids, block = group.column("doc_id").to_numpy(), group.column("own").to_numpy()
+        ints, marks = (group.column(c).combine_chunks() for c in ("ints", "marks"))
+        sizes, counts = (x.value_lengths().to_numpy().astype(np.int64) for x in (ints, marks))
+        starts, doc, at = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(ids)), counts), marks.flatten().to_numpy().astype(np.int64)
+        left = doc[block[doc] == i], at[block[doc] == i]
+        right = left if i == j else (doc[block[doc] == j], at[block[doc] == j])
+        links, best = _alignments(ids, ints.flatten().to_numpy().view(np.uint32), starts, sizes, left, right)
+        rows = np.union1d(np.flatnonzero(links), best["own"])
+        place = np.searchsorted(best["own"], rows)
+        place[place == len(best["own"])] = 0
+        none = best["own"][place] != rows if len(best["own"]) else np.ones(len(rows), bool)
+        columns = [pa.array(best[name][place], kind, mask=none) for name, kind in (("anchor", pa.int64()), ("position", pa.int64()), ("votes", pa.int64()), ("good", pa.bool_()), ("errors", pa.float64()))]
+        return pa.table([pa.array(ids[rows]), pa.array(links[rows]), *columns], names=["doc_id", "links", "anchor_id", "position", "votes", "good", "bit_errors"])
+
+    # a number of partitions of its own: the rows are few for the work on them
+    parts = rows.repartition(min(4000, blocks * (blocks + 1)), "pair").groupBy("pair").applyInArrow(met, kinds)
+    best = F.when(F.col("anchor_id").isNotNull(), F.struct("good", "votes", (-F.col("anchor_id")).alias("a"), (-F.abs("position")).alias("p"), "position", "bit_errors"))
+    return parts.groupBy("doc_id").agg(F.sum("links").alias("links"), F.max(best).alias("b"))
+
+
 def align(prints: DataFrame) -> DataFrame:
     """One row for each recording of ``prints`` (a written table of ``fingerprints``).
 
-    doc_id, n_ints, class_id (the smallest id with this fingerprint), and for the class's best alignment anchor_id,
-    position (of the anchor minus its own, in hops), votes, bit_errors (share over the overlap) and aligned.
+    doc_id, n_ints, class_id (the smallest id with this fingerprint), and for the class's best alignment with an earlier
+    one anchor_id, position (of the anchor minus its own, in hops), votes, bit_errors (share over the overlap) and
+    aligned (whether they confirm it); links: confirmed alignments, counted as (class, position), with all other classes.
     """
     digest = F.when(F.size("ints") > 0, F.sha2(F.array_join("ints", ","), 256))
     rows = prints.select("doc_id", F.size("ints").cast("bigint").alias("n_ints"), digest.alias("print"))
     classes = written(rows.filter("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("class_id")))
     # tables of their own where a key may be frequent: a join over two plain shuffles is one that Spark can split
     first = written(prints.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    # each mark takes its integer along, so that the whole fingerprint isn't copied to every mark
-    marks = F.transform("marks", lambda at: F.struct(at.alias("at"), F.get("ints", at).alias("value")))
-    posted = written(first.select("doc_id", F.inline(marks)))
-    earliest = written(posted.groupBy("value").agg(F.min(F.struct("doc_id", "at")).alias("anchor")))
-    votes = posted.join(earliest, "value").filter(F.col("doc_id") != F.col("anchor.doc_id"))
-    histogram = votes.groupBy("doc_id", F.col("anchor.doc_id").alias("anchor_id"), (F.col("anchor.at") - F.col("at")).alias("position")).agg(F.count(F.lit(1)).alias("votes"))
-    best = histogram.groupBy("doc_id").agg(F.max(F.struct("votes", (-F.col("anchor_id")).alias("a"), (-F.abs("position")).alias("p"), "position")).alias("b"))
-    best = written(best.select("doc_id", (-F.col("b.a")).alias("anchor_id"), F.col("b.position").alias("position"), F.col("b.votes").alias("votes")))
-    own, other = first.select("doc_id", "ints"), first.select(F.col("doc_id").alias("anchor_id"), F.col("ints").alias("anchor_ints"))
-    pairs = written(best.join(own, "doc_id")).join(other, "anchor_id")
-    # the overlap of both fingerprints at this offset
-    start, there = F.greatest(-F.col("position"), F.lit(0)), F.greatest(F.col("position"), F.lit(0))
-    length = F.least(F.size("ints") - start, F.size("anchor_ints") - there)
-    bits = F.zip_with(F.slice("ints", start + 1, length), F.slice("anchor_ints", there + 1, length), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
-    wrong = F.aggregate(bits, F.lit(0), lambda s, b: s + b)
-    found = pairs.select(F.col("doc_id").alias("class_id"), "anchor_id", "position", "votes", (wrong / (32 * length)).alias("bit_errors"), length.alias("overlap"))
-    good = (F.col("bit_errors") <= MOST_ERRORS) & (F.col("overlap") >= LEAST_OVERLAP)
+    found = _linked(first).select(F.col("doc_id").alias("class_id"), (-F.col("b.a")).alias("anchor_id"), "b.position", "b.votes", "b.bit_errors", F.col("b.good").alias("aligned"), "links")
     # one row for each class, so that rows look up their class, its alignment included, in one join; rows without a fingerprint have nothing to look up
-    looked_up = written(classes.join(found, "class_id", "left").withColumn("aligned", F.coalesce(good, F.lit(False))).drop("overlap"))
+    looked_up = written(classes.join(found, "class_id", "left").fillna({"aligned": False, "links": 0}))
     out = rows.filter("print is not null").join(looked_up, "print", "left").unionByName(rows.filter("print is null"), allowMissingColumns=True)
-    return out.select("doc_id", "n_ints", "class_id", "anchor_id", "position", "votes", "bit_errors", F.coalesce("aligned", F.lit(False)).alias("aligned"))
+    return out.select("doc_id", "n_ints", "class_id", "anchor_id", "position", "votes", "bit_errors", F.coalesce("aligned", F.lit(False)).alias("aligned"), F.coalesce("links", F.lit(0)).alias("links"))

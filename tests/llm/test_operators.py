@@ -394,6 +394,37 @@ def test_audio(spark):
     assert len(got) == 8
 
 
+def test_all_partners(spark, monkeypatch):
+    """A partner is found behind an earlier recording that has more of the landmarks; blocks give what all pairs give."""
+    from hitforge.storage import written
+
+    dice = np.random.default_rng(9)
+    song, other, tail = (dice.integers(-(2**31), 2**31, n).astype(np.int32) for n in (60, 90, 20))
+    prints = {1: np.concatenate([other, song[:40]]), 2: song, 3: np.concatenate([song, tail]), 4: other[:50], 5: tail[:7], 6: dice.integers(0, 2, 30).astype(np.int32), 7: dice.integers(0, 2, 25).astype(np.int32)}
+    prints[3][[3, 9, 45, 50, 55]] ^= 1
+    marks = {i: audio_prints.landmarks(x) for i, x in prints.items()}
+    links, best = Counter(), {}
+    for v in prints:
+        for u in range(1, v):
+            shared = Counter(int(a - b) for a in marks[u] for b in marks[v] if prints[u][a] == prints[v][b])
+            for p, votes in shared.items():
+                one, two = prints[v][max(-p, 0) :], prints[u][max(p, 0) :]
+                n = min(len(one), len(two))
+                errors = np.bitwise_count((one[:n] ^ two[:n]).view(np.uint32)).sum() / (32 * n)
+                good = bool(errors <= audio_prints.MOST_ERRORS and n >= audio_prints.LEAST_OVERLAP)
+                links.update({u: good, v: good})
+                best[v] = max(best.get(v, ()), (good, votes, -u, -abs(p), p, errors))
+    rows = spark.createDataFrame([(i, x.tolist(), marks[i].tolist()) for i, x in prints.items()], "doc_id bigint, ints array<int>, marks array<int>")
+    for run, cells in ((1 << 20, 1 << 21), (3, 40)):
+        monkeypatch.setattr(audio_prints, "RUN", run)
+        monkeypatch.setattr(audio_prints, "CELLS", cells)
+        got = {r.doc_id: r for r in audio_prints.align(written(rows)).collect()}
+        assert (got[3].anchor_id, got[3].position, got[3].aligned) == (2, 0, True) and got[1].anchor_id is None
+        for i, r in got.items():
+            assert r.links == links[i]
+            assert ((r.aligned, r.votes, -r.anchor_id, -abs(r.position), r.position, r.bit_errors) if r.votes else ()) == best.get(i, ())
+
+
 def test_fingerprint_blocks():
     """Blocks don't change a fingerprint, and rectangles of the integral image are plain sums."""
     samples = np.random.default_rng(1).integers(0, 255, 60_000).astype(np.float32) - 128
