@@ -146,17 +146,18 @@ def _compared(left: DataFrame, signed: DataFrame) -> DataFrame:
     """Pairs (u, v) of one bucket of ``left(key, band, doc_id, part)``, in different parts, whose signatures agree well enough.
 
     A bucket is cut into blocks of about BLOCK rows, and each two blocks meet in one place, where signatures are
-    compared without writing the pairs down. A pair is given in the first band in which it agrees only.
+    compared without writing the pairs down. A pair is given in the first band whose keys are equal only.
     """
     blocks = left.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    rows = left.join(blocks, "key").join(signed.select("doc_id", "signature"), "doc_id")
+    rows = left.join(blocks, "key").join(signed.select("doc_id", "bands", "signature"), "doc_id")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "band", "doc_id", "part", "signature")
+    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "band", "doc_id", "part", "bands", "signature")
 
     def pairs(group: pa.Table) -> tuple[list, list]:
         i, j, band = (group.column(c)[0].as_py() for c in ("i", "j", "band"))
         own, ids, part = (group.column(c).to_numpy() for c in ("own", "doc_id", "part"))
         signs = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
+        keys = group.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
         us, vs = [], []
         for a in range(len(ids) - 1):
             with_a = np.arange(a + 1, len(ids))
@@ -165,7 +166,7 @@ def _compared(left: DataFrame, signed: DataFrame) -> DataFrame:
                 continue
             same = signs[with_a] == signs[a]
             good = (same.mean(axis=1) - 1 / 256) / (1 - 1 / 256) >= SIGNATURE_LEAST
-            first = same[good][:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+            first = (keys[with_a[good]] == keys[a]).argmax(axis=1)
             found = ids[with_a[good][first == band]]
             us.append(np.minimum(found, ids[a]))
             vs.append(np.maximum(found, ids[a]))

@@ -122,6 +122,30 @@ def test_near_duplicates(spark, edges, nothing):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates.near_duplicates(docs).collect()} == groups(rows)
 
 
+def test_compared_when_bytes_collide(spark):
+    """A pair whose signature bytes agree by chance in an earlier band is given in the band in which its keys are equal."""
+    n = near_duplicates.BANDS * near_duplicates.ROWS + near_duplicates.EXTRA
+    keys = {i: [100 * i + b for b in range(near_duplicates.BANDS)] for i in (1, 2, 3)}
+    keys[1][7] = keys[2][7] = keys[1][9] = keys[2][9] = 5
+    signed = spark.createDataFrame([(i, keys[i], bytearray(n)) for i in keys], "doc_id bigint, bands array<bigint>, signature binary")
+    left = spark.createDataFrame([(5, band, i, i) for i in (1, 2) for band in (7, 9)], "key bigint, band int, doc_id bigint, part bigint")
+    left = left.withColumn("key", F.col("key") + F.col("band"))
+    assert [tuple(r) for r in near_duplicates._compared(left, signed).collect()] == [(1, 2)]
+
+
+def test_links_from_compared_only(spark, monkeypatch):
+    """All pairs above the limit are found where no leader proposes them."""
+    monkeypatch.setattr(near_duplicates, "_proposed", lambda left, at_most=4: left.select(F.col("doc_id").alias("u"), F.col("doc_id").alias("v")).limit(0))
+    dice, rows = random.Random(11), []
+    for i in range(300):
+        words = [f"w{dice.randrange(10**6)}" for _ in range(60)]
+        rows.append((2 * i, " ".join(words)))
+        words[dice.choice((0, 2, 57, 59))] = "changed"
+        rows.append((2 * i + 1, " ".join(words)))
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == groups(rows)
+
+
 def test_shingles_of_a_long_text():
     import hitforge.llm.shingles as module
 
