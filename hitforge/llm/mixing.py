@@ -10,7 +10,7 @@ Documents of one size are dealt into slices of the seeded hash; only the slice i
 so one size or one source may hold most of all rows.
 
 Edge cases: a null text has size 0; documents of size 0 are never taken. A null source is one source, after all others.
-Repeated rows are different documents to the mix. An empty table gives an empty table. Other columns are carried along.
+Repeated rows are different documents to the mix. Rows without an id are drawn by their text. An empty table gives an empty table. Other columns are carried along.
 """
 
 from __future__ import annotations
@@ -84,7 +84,12 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.nda
         more = min(int(counts[i] - taken[i]), rest // int(sizes[i]))
         taken[i] += more
         rest -= more * int(sizes[i])
-    goal = min(rest, DP_BUDGET)
+    if rest > DP_BUDGET:  # every document that is left is longer: the shortest of them, or none
+        left = np.flatnonzero((taken < counts) & (sizes > 0))
+        if len(left) and abs(int(sizes[left].min()) - rest) < rest:
+            taken[left[sizes[left].argmin()]] += 1
+        return taken
+    goal = rest
     # sums beyond the goal by up to one document may be nearer than those below it
     most = goal + min(goal, int(sizes.max()))
     full, reach, steps = (1 << (most + 1)) - 1, 1, []
@@ -127,11 +132,15 @@ def _plan(seed: int):
     return of_source
 
 
-def copies(docs: DataFrame, text: str, source: str, id_col: str, seed: int, weights: tuple[int, ...], share: float, most: float) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, of, size, copies) of every row, where ``of`` is its source, and (source, source_size, target)."""
-    draw = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"))
-    rows = written(rows.withColumn("draw", F.shiftrightunsigned(draw, 1)))
+def copies(docs: DataFrame, text: str, source: str, id_col: str, seed: int, weights: tuple[int, ...], share: float, most: float, row: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row, of, size, copies) of every row, where ``of`` is its source, and (source, source_size, target).
+
+    ``row`` is a column that tells rows without an id apart.
+    """
+    draw = F.when(F.col(id_col).isNotNull(), F.xxhash64(F.lit(seed), F.col(id_col), F.col(source).cast("string"))).otherwise(F.xxhash64(F.lit(seed), F.col(text), F.col(source).cast("string")))
+    number = F.col(row) if row else F.lit(None)
+    rows = docs.select(F.col(id_col).alias("doc_id"), number.cast("bigint").alias("row"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"), F.shiftrightunsigned(draw, 1).alias("draw"))
+    rows = written(rows)
     slices = max(1, rows.count() // SLICE_ROWS)
     rows = rows.withColumn("slice", F.col("draw") % slices)
 
@@ -152,11 +161,11 @@ def copies(docs: DataFrame, text: str, source: str, id_col: str, seed: int, weig
     quota = sliced.join(renamed, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))).select(
         F.col("source").alias("s"), F.col("size").alias("z"), F.col("slice").alias("c"), "passes", F.least(F.greatest(F.col("extra") - F.col("before"), F.lit(0)), "n").alias("quota")
     )
-    place = F.row_number().over(Window.partitionBy("source", "size", "slice").orderBy("draw", "doc_id"))
+    place = F.row_number().over(Window.partitionBy("source", "size", "slice").orderBy("draw", "doc_id", "row"))
     ranked = rows.withColumn("place", place)
     joined = ranked.join(quota, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("slice") == F.col("c")), "left")
     times = F.coalesce(F.col("passes") + (F.col("place") <= F.col("quota")).cast("int"), F.lit(0))
-    return joined.select("doc_id", F.col("source").alias("of"), "size", times.cast("bigint").alias("copies")), goals
+    return joined.select("doc_id", "row", F.col("source").alias("of"), "size", times.cast("bigint").alias("copies")), goals
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id", seed: int = 7, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -171,9 +180,13 @@ def take(docs: DataFrame, text: str = "text", source: str = "source", id_col: st
 
     Only ids and numbers of copies are joined to the texts: by a broadcast after a count, else by a shuffle.
     """
-    out, _ = copies(docs, text, source, id_col, seed, weights, share, most)
-    key, times, nth = (max(docs.columns, key=len, default="") + end for end in ("_id", "_copies", "_nth"))  # clash with no column
-    wanted = written(out.filter("copies > 0 and doc_id is not null").groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(times)))
+    key, times, nth, row = (max(docs.columns, key=len, default="") + end for end in ("_id", "_copies", "_nth", "_row"))  # clash with no column
+    # rows without an id get a number once, which is written with them
+    nameless = written(docs.filter(F.col(id_col).isNull()).withColumn(row, F.monotonically_increasing_id()))
+    numbered = docs.filter(F.col(id_col).isNotNull()).withColumn(row, F.lit(None).cast("bigint")).unionByName(nameless)
+    out = written(copies(numbered, text, source, id_col, seed, weights, share, most, row)[0].filter("copies > 0"))
+    wanted = written(out.filter("doc_id is not null").groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(times)))
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    chosen = docs.join(wanted, F.col(id_col) == F.col(key))
-    return chosen.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
+    chosen = docs.join(wanted, F.col(id_col) == F.col(key)).select(*docs.columns, times)
+    others = nameless.join(out.filter("row is not null").select(F.col("row").alias(row), F.col("copies").alias(times)), row).select(*docs.columns, times)
+    return chosen.unionByName(others).withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)

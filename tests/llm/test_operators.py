@@ -360,6 +360,25 @@ def test_mixing(spark, edges, nothing):
     assert mixing.mix(edges).count() == edges.count() and mixing.mix(nothing).count() == 0
 
 
+def test_take_without_ids(spark):
+    """Rows without an id are taken as planned: as many words of each source as the mix reports."""
+    rows = [(i if i % 3 else None, " ".join(f"w{i}" for _ in range(1 + i % 7)), "ab"[i % 2]) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    out, _ = mixing.copies(docs, "text", "source", "doc_id", 7, mixing.WEIGHTS, mixing.SHARE, mixing.MOST)
+    want, got = Counter(), Counter()
+    for r in out.collect():
+        want[r.of] += r.copies * r.size
+    taken = mixing.take(docs).collect()
+    for r in taken:
+        got[r.source] += len(r.text.split())
+    assert got == want and any(r.doc_id is None for r in taken)
+
+
+def test_fit_of_long_documents():
+    assert mixing.fit(np.array([300_000]), np.array([3]), 855_000, 7).tolist() == [3]
+    assert mixing.fit(np.array([300_000]), np.array([3]), 740_000, 7).tolist() == [2]
+
+
 def test_slices_of_one_size(spark, monkeypatch):
     monkeypatch.setattr(mixing, "SLICE_ROWS", 20)
     docs = spark.createDataFrame([(i, "a b c", "x" if i % 2 else "y") for i in range(400)], "doc_id bigint, text string, source string")
