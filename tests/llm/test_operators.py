@@ -450,17 +450,20 @@ def test_all_partners(spark, monkeypatch):
     for v in prints:
         for u in range(1, v):
             shared = Counter(int(a - b) for a in marks[u] for b in marks[v] if prints[u][a] == prints[v][b])
+            pair = False
             for p, votes in shared.items():
                 one, two = prints[v][max(-p, 0) :], prints[u][max(p, 0) :]
                 n = min(len(one), len(two))
                 errors = np.bitwise_count((one[:n] ^ two[:n]).view(np.uint32)).sum() / (32 * n)
                 good = bool(errors <= audio_prints.MOST_ERRORS and n >= audio_prints.LEAST_OVERLAP)
-                links.update({u: good, v: good})
+                pair = pair or good
                 best[v] = max(best.get(v, ()), (good, votes, -u, -abs(p), p, errors))
+            links.update({u: pair, v: pair})
     rows = spark.createDataFrame([(i, x.tolist(), marks[i].tolist()) for i, x in prints.items()], "doc_id bigint, ints array<int>, marks array<int>")
-    for run, cells in ((1 << 20, 1 << 21), (3, 40)):
+    for run, cells, rare in ((1 << 20, 1 << 21, 16), (3, 40, 1), (1 << 20, 40, 2)):
         monkeypatch.setattr(audio_prints, "RUN", run)
         monkeypatch.setattr(audio_prints, "CELLS", cells)
+        monkeypatch.setattr(audio_prints, "RARE", rare)
         got = {r.doc_id: r for r in audio_prints.align(written(rows)).collect()}
         assert (got[3].anchor_id, got[3].position, got[3].aligned) == (2, 0, True) and got[1].anchor_id is None
         for i, r in got.items():
@@ -468,13 +471,80 @@ def test_all_partners(spark, monkeypatch):
             assert ((r.aligned, r.votes, -r.anchor_id, -abs(r.position), r.position, r.bit_errors) if r.votes else ()) == best.get(i, ())
 
 
-def test_fingerprint_blocks():
-    """Blocks don't change a fingerprint, and rectangles of the integral image are plain sums."""
-    samples = np.random.default_rng(1).integers(0, 255, 60_000).astype(np.float32) - 128
-    whole = audio_prints.fingerprint(samples)
-    old, audio_prints.BLOCK = audio_prints.BLOCK, 37
-    try:
-        assert (audio_prints.fingerprint(samples) == whole).all()
-    finally:
-        audio_prints.BLOCK = old
+def test_fingerprint_blocks(monkeypatch):
+    """Blocks don't change a fingerprint, and filters are plain sums over rectangles of plain chroma."""
+    samples = np.random.default_rng(1).integers(0, 255, 60_000).astype(np.uint8)
+    whole = audio_prints.filter_bins(samples)
     assert len(whole) == (60_000 - audio_prints.FRAME) // audio_prints.HOP + 2 - audio_prints.WIDTH
+    image = audio_prints.chroma(samples).astype(float)
+    for t in (0, 7, len(whole) - 1):
+        part = image[t : t + audio_prints.WIDTH]
+        for i, (split, low, n) in enumerate(audio_prints.filters()):
+            box, half = part[:, low : low + n], audio_prints.WIDTH // 2
+            one = {"classes": box[:, : n // 2].sum(), "frames": box[:half].sum(), "quarters": box[:half, : n // 2].sum() + box[half:, n // 2 :].sum()}[split]
+            value = (np.log((1 + one) / (1 + box.sum() - one)) + 2) * audio_prints.BINS / 4
+            assert abs(whole[t, i] - np.floor(value)) <= 1
+    monkeypatch.setattr(audio_prints, "BLOCK", 37)
+    assert (audio_prints.filter_bins(samples) == whole).all()
+    assert len(audio_prints.filter_bins(samples[:10])) == 0
+
+
+def test_quartiles(spark):
+    dice = np.random.default_rng(2)
+    rows = [dice.integers(0, audio_prints.BINS, 16 * n).astype(np.int16) for n in (0, 50, 1, 400)]
+    table = spark.createDataFrame([(r.tolist(),) for r in rows], "bins array<smallint>").repartition(3)
+    got, values = audio_prints.quartiles_of(table), np.concatenate(rows).reshape(-1, 16)
+    for i in range(16):
+        codes = np.bincount(np.searchsorted(got[i], values[:, i], side="right"), minlength=4) / len(values)
+        assert abs(codes - 0.25).max() < 0.02
+
+
+def test_alignments_of_excerpts(spark):
+    """Noisy excerpts of recordings: what is aligned is what all pairs at all offsets give, to nine tenths at least."""
+    from hitforge.storage import written
+
+    dice = np.random.default_rng(12)
+
+    def tones(seconds):
+        t = np.arange(int(8000 * seconds)) / 8000
+        steps = np.repeat(dice.integers(0, 36, len(t) // 900 + 1), 900)[: len(t)]
+        more = np.repeat(dice.integers(0, 36, len(t) // 1300 + 1), 1300)[: len(t)]
+        return 128 + 50 * np.sin(2 * np.pi * 220 * 2 ** (steps / 12) * t) + 40 * np.sin(2 * np.pi * 300 * 2 ** (more / 12) * t)
+
+    songs, rows = [tones(2.5) for _ in range(60)], []
+    for i in range(180):
+        song = songs[i % 60]
+        start = int(dice.integers(0, len(song) // 2)) // audio_prints.HOP * audio_prints.HOP
+        part = song[start : start + int(dice.integers(6000, len(song)))] if i >= 60 else song
+        rows.append((i, np.clip(part + dice.normal(0, 3, len(part)), 0, 255).astype(np.uint8).tobytes()))
+    prints = written(audio_prints.fingerprints(spark.createDataFrame(rows, "doc_id bigint, audio binary")))
+    ints = {r.doc_id: np.array(r.ints, np.int32).view(np.uint32) for r in prints.collect()}
+    links, partners = Counter(), set()
+    for u in ints:
+        for v in range(u):
+            for p in range(audio_prints.LEAST_OVERLAP - len(ints[u]), len(ints[v]) - audio_prints.LEAST_OVERLAP + 1):
+                one, two = ints[u][max(-p, 0) :], ints[v][max(p, 0) :]
+                n = min(len(one), len(two))
+                if np.bitwise_count(one[:n] ^ two[:n]).sum() <= audio_prints.MOST_ERRORS * 32 * n:
+                    links.update((u, v) if (u, v) not in partners else ())
+                    partners.add((u, v))
+    got = {r.doc_id: r for r in audio_prints.align(prints).collect()}
+    assert sum(r.links for r in got.values()) >= 0.9 * sum(links.values()) > 0
+    assert all(r.links <= links[i] for i, r in got.items())
+    later = {u for u, _ in partners}
+    assert sum(got[u].aligned for u in later) >= 0.9 * len(later) and all((u, r.anchor_id) in partners for u, r in got.items() if r.aligned)
+
+
+def test_anchor_among_quarters(spark):
+    """A noisy copy is linked to its original although four earlier recordings hold a quarter of it each."""
+    from hitforge.storage import written
+
+    dice = np.random.default_rng(4)
+    song = dice.integers(-(2**31), 2**31, 80).astype(np.int32)
+    prints = {i + 1: np.concatenate([song[20 * i : 20 * i + 20], dice.integers(-(2**31), 2**31, 90).astype(np.int32)]) for i in range(4)}
+    prints |= {5: song, 6: song.copy()}
+    prints[6][::3] ^= 5
+    rows = spark.createDataFrame([(i, x.tolist(), audio_prints.landmarks(x).tolist()) for i, x in prints.items()], "doc_id bigint, ints array<int>, marks array<int>")
+    got = {r.doc_id: r for r in audio_prints.align(written(rows)).collect()}
+    # the fourth's quarter ends where the song does, so that is an alignment too
+    assert (got[6].anchor_id, got[6].position, got[6].aligned, got[6].links, got[5].links) == (5, 0, True, 2, 2)
