@@ -1,16 +1,17 @@
 """Mixing of sources to target weights by subset-sum budget fitting (operator 5).
 
 Sizes are words. Every source gets a target; what whole passes over the source don't fill is its remaining budget. From
-a histogram of exact sizes each size gives the same share of its documents, a few documents more are added in seeded
-order, and a bounded-knapsack dynamic program over the sizes that are left fits the rest as closely as it can. Then
-documents are selected within each size by a seeded hash, as many as the histogram plan says.
+a histogram of exact sizes each size gives the same share of its documents, and a bounded-knapsack dynamic program over
+the sizes that are left fits the rest as closely as it can. Then documents are selected within each size by a seeded hash, as many as the histogram plan says.
 
 The plan of a source reads its histogram, never its documents: it is bounded by the number of different sizes.
 Documents of one size are dealt into slices of the seeded hash; only the slice in which the cut falls ranks its rows,
 so one size or one source may hold most of all rows.
 
 Edge cases: a null text has size 0; documents of size 0 are never taken. A null source is one source, after all others.
-Repeated rows are different documents to the mix. Rows without an id are drawn by their text. An empty table gives an empty table. Other columns are carried along.
+Repeated rows are different documents to the mix. Rows without an id are drawn by their text. Ties of the seeded hash go
+by id. Texts are counted whole by the JVM, whatever their length. An empty table gives an empty table. ``mix`` returns no
+other columns; ``take`` returns all of them, whatever their names, and no more.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ from hitforge.storage import written
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2.0
-#: Largest budget in words of the dynamic program: a bit for each word in each of its sizes, 16 MB at most.
-DP_BUDGET = 1 << 16
+#: Sums that the dynamic program keeps. A rest of more words than that is first fitted to a stretch of this many equal ones;
+#: exchanges of single documents then work in words.
+SUMS = 1 << 17
 #: Rows of one (source, size, slice) that are ranked together, about.
 SLICE_ROWS = 50_000
 #: Sources, and ids with their copies, that may be broadcast after a count; more go through a shuffle join.
@@ -57,64 +59,72 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share
 
 
 def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.ndarray:
-    """How many documents of each size to take, so that their words come as near to ``budget`` as can be found.
+    """How many documents of each of the ascending ``sizes`` to take, so that their words come near to ``budget``.
 
-    Even shares first, then whole documents in seeded order, then the dynamic program: bit b of a big integer says that
-    b words can be reached, and the sizes are added with counts in powers of two.
+    Even shares first, then the dynamic program, then exchanges of single documents of any size while they come nearer.
+    Sizes are divided by what they have in common.
+    """
+    unit = int(np.gcd.reduce(sizes)) or 1
+    sizes, budget = sizes // unit, (budget + unit // 2) // unit
+    return _nearer(sizes, counts, _filled(sizes, counts, budget, seed), budget)
+
+
+def _filled(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.ndarray:
+    """Even shares and the program.
+
+    The program keeps up to SUMS sums, of larger budgets one for each stretch of equal width, and the step that first
+    reached each; sizes are added in seeded order, with counts in powers of two.
     """
-    taken = np.zeros(len(sizes), np.int64)
     total = int((sizes * counts).sum())
     if budget <= 0 or not total:
-        return taken
+        return np.zeros(len(sizes), np.int64)
     if budget >= total:
         return counts.astype(np.int64)
     taken = np.array([int(c) * budget // total for c in counts.tolist()], np.int64)
-    rest = budget - int((sizes * taken).sum())
-    order = np.random.default_rng(seed).permutation(len(sizes))
-    for i in order:  # until the program can take over
-        if rest <= DP_BUDGET // 2:
-            break
-        if sizes[i] <= rest:
-            more = min(int(counts[i] - taken[i]), max(1, (rest - DP_BUDGET // 2) // max(1, int(sizes[i]) * len(sizes))), rest // int(sizes[i]))
-            taken[i] += more
-            rest -= more * int(sizes[i])
-    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):  # what even shares of few sizes may leave
-        if rest <= DP_BUDGET // 2:
-            break
-        more = min(int(counts[i] - taken[i]), rest // int(sizes[i]))
-        taken[i] += more
-        rest -= more * int(sizes[i])
-    if rest > DP_BUDGET:  # every document that is left is longer: the shortest of them, or none
-        left = np.flatnonzero((taken < counts) & (sizes > 0))
-        if len(left) and abs(int(sizes[left].min()) - rest) < rest:
-            taken[left[sizes[left].argmin()]] += 1
-        return taken
-    goal = rest
+    goal = budget - int((sizes * taken).sum())
     # sums beyond the goal by up to one document may be nearer than those below it
     most = goal + min(goal, int(sizes.max()))
-    full, reach, steps = (1 << (most + 1)) - 1, 1, []
-    for i in order:
-        size, have = int(sizes[i]), int(counts[i] - taken[i])
-        if not 0 < size <= most:
-            continue
-        have, power = min(have, most // size), 1
-        while have > 0:
+    width = most // SUMS + 1
+    reached, sums, before, by = (np.zeros(most // width + 1, kind) for kind in (bool, np.int64, np.int64, np.int64))
+    reached[0], steps = True, []
+    for i in np.random.default_rng(seed).permutation(len(sizes)):
+        size = int(sizes[i])
+        have, power = min(int(counts[i] - taken[i]), most // size) if size else 0, 1
+        while have > 0 and not reached[goal // width]:
             n = min(power, have)
-            steps.append((reach, int(i), n))
-            reach |= (reach << (n * size)) & full
+            old = np.flatnonzero(reached)[::-1]  # the smallest of those that fall together is written last
+            old = old[sums[old] + n * size <= most]
+            new = (sums[old] + n * size) // width
+            old, new = old[~reached[new]], new[~reached[new]]
+            sums[new], before[new], by[new], reached[new] = sums[old] + n * size, old, len(steps), True
+            steps.append((int(i), n))
             have, power = have - n, power * 2
-            if reach >> goal & 1:
-                break
-        if reach >> goal & 1:
+        if reached[goal // width]:
+            break
+    places = np.flatnonzero(reached)
+    at = int(places[np.abs(sums[places] - goal).argmin()])  # of two that are equally near, the smaller
+    while at:
+        i, n = steps[by[at]]
+        taken[i] += n
+        at = int(before[at])
+    return taken
+
+
+def _nearer(sizes: np.ndarray, counts: np.ndarray, taken: np.ndarray, budget: int) -> np.ndarray:
+    """``taken`` after adding, leaving out or exchanging single documents of any size, as long as that comes nearer."""
+    some = sizes > 0
+    while off := budget - int((sizes * taken).sum()):
+        more, less = np.flatnonzero(some & (taken < counts)), np.flatnonzero(some & (taken > 0))
+        gains, losses = np.append(0, sizes[more]), np.append(0, sizes[less])  # in order of size
+        at = np.searchsorted(gains, losses + off)
+        tries = [(abs(int(off - gains[g] + losses[k])), g, k) for c in (at - 1, at) for k, g in enumerate(np.clip(c, 0, len(gains) - 1).tolist())]
+        left, g, k = min(tries)
+        if left >= abs(off):
             break
-    below, above = (reach & ((1 << (goal + 1)) - 1)).bit_length() - 1, reach >> (goal + 1)
-    at = below
-    if above and goal + (above & -above).bit_length() - goal < goal - below:
-        at = goal + (above & -above).bit_length()
-    for before, i, n in reversed(steps):
-        if not before >> at & 1:
-            taken[i] += n
-            at -= n * int(sizes[i])
+        if g:
+            taken[more[g - 1]] += 1
+        if k:
+            taken[less[k - 1]] -= 1
     return taken
 
 

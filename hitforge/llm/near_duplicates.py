@@ -3,7 +3,8 @@
 Many universal hash functions give each document's signature; bands of it make buckets; pairs of a bucket are verified
 on signatures, then confirmed on the full shingle sets; confirmed links make components by large-star and small-star.
 
-Documents with equal shingle sets are one class from the start. A bucket isn't expanded into all its pairs: first every
+Documents with equal shingle sets are one class from the start; where texts of one class differ in their words, the sets
+themselves are digested, not only their numbers. A bucket isn't expanded into all its pairs: first every
 class is paired with a few leaders, those that it meets in most buckets, and the confirmed links make components; then
 once more, with leaders of other components. Only pairs of one bucket that are still in different components are left
 to look at one by one, since a link inside a component adds nothing.
@@ -12,8 +13,10 @@ With ROWS = 6 and BANDS = 56 a pair of similarity 0.75 meets in no bucket with p
 1e-12; no bucket is capped. The signature check leaves a margin of five standard deviations.
 
 Edge cases: null, empty and blank texts have no shingles and are linked with nothing. A text of fewer words than a
-shingle is one shingle. Repeated rows fall together. A row without id is linked with nothing and kept. An empty table
-gives an empty table. A text of any length is read in bounded pieces.
+shingle is one shingle. Repeated rows fall together. An id with several texts is one document with the links of all of
+them. A row without id is linked with nothing and kept. Ties can't occur: the smallest id stands for a group, and every
+row with it is kept. An empty table gives an empty table. A text of any length is read in bounded pieces. Other columns,
+whatever their names, are not carried along.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitforge.llm.components import components
-from hitforge.llm.shingles import mix, shingle_sets
+from hitforge.llm.shingles import cut, mix, shingle_sets
 from hitforge.llm.text_batches import SMALL_PIECE, Texts, bound_batches, pieces
 from hitforge.storage import written
 
@@ -39,6 +42,8 @@ EXTRA = 336
 BROADCAST_IDS = 1_000_000
 #: Similarity by signature below which a pair can't be 0.75 (five standard deviations of 672 minima).
 SIGNATURE_LEAST = 0.667
+#: Buckets of more than BLOCK rows that may be broadcast, after a count (about 100 bytes each); more go through a shuffle join.
+BROADCAST_BUCKETS = 100_000
 #: Rows of a bucket that are compared with each other at once.
 BLOCK = 1024
 #: Shingle sets that a worker keeps while it confirms pairs.
@@ -66,18 +71,38 @@ def minima(shingles: np.ndarray, n: int, block: int = 2048, functions_at_once: i
     return least
 
 
+def words_digest(text: np.ndarray) -> bytes:
+    """A digest of a text's words in order, A-Z in lower case."""
+    made = hashlib.blake2b(digest_size=16)
+    for piece in cut(text):
+        for word in (b" ".join(piece.tobytes().lower().split()),):
+            if word:
+                made.update(word + b" ")
+    return made.digest()
+
+
+def set_digest(text: str, k: int) -> bytes:
+    """A digest of the k-word shingles themselves."""
+    words = text.encode().lower().split()
+    found = {b" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))}
+    made = hashlib.blake2b(digest_size=16)
+    for shingle in sorted(found):
+        made.update(shingle + b"\n")
+    return made.digest()
+
+
 def signatures(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k: int = 5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, set_id (digest of the whole set), bands (a key for each band), signature (one byte a function)."""
+    """doc_id, h (hash of the text), n_shingles, set_id and words_id (digests of the set's numbers and of the words), bands (a key for each band), signature (one byte a function)."""
     bound_batches(docs.sparkSession)
     salts = mix(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in pieces(parts, "text", SMALL_PIECE):
-            sizes, ids, keys, signs = [], [], [], []
-            for own in shingle_sets(texts, k):
+            sizes, ids, words, keys, signs = [], [], [], [], []
+            for i, own in enumerate(shingle_sets(texts, k)):
                 sizes.append(len(own))
                 if not len(own):
-                    for column in (ids, keys, signs):
+                    for column in (ids, words, keys, signs):
                         column.append(None)
                     continue
                 least = minima(own, bands * rows + EXTRA)
@@ -85,15 +110,35 @@ def signatures(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k: i
                 for value in least[: bands * rows].reshape(bands, rows).T.astype(np.uint64):
                     key = mix(key ^ value) + np.uint64(0x9E3779B97F4A7C15)
                 ids.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
+                words.append(words_digest(texts.data[texts.offsets[i] : texts.offsets[i + 1]]))
                 keys.append(key.view(np.int64))
                 signs.append((least ^ (least >> np.uint32(16))).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(signs, pa.binary())],
-                names=["doc_id", "n_shingles", "set_id", "bands", "signature"],
+                [part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(words, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(signs, pa.binary())],
+                names=["doc_id", "h", "n_shingles", "set_id", "words_id", "bands", "signature"],
             )
 
-    source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return source.mapInArrow(batches, "doc_id bigint, n_shingles bigint, set_id binary, bands array<bigint>, signature binary")
+    content = F.col(text).cast("string")
+    source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(content).alias("h"), content.alias("text"))
+    return source.mapInArrow(batches, "doc_id bigint, h bigint, n_shingles bigint, set_id binary, words_id binary, bands array<bigint>, signature binary")
+
+
+def _told_apart(rows: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """``rows`` with set_id replaced by a digest of the shingles themselves where one set_id has several words_id."""
+    several = rows.groupBy("set_id").agg(F.min("words_id").alias("a"), F.max("words_id").alias("b")).filter("a <> b").select("set_id")
+    doubtful = written(rows.join(several, "set_id", "left_semi").groupBy("words_id").agg(F.min(F.struct("doc_id", "h")).alias("r")).select("words_id", "r.*"))
+    n = doubtful.count()
+    if not n:
+        return rows
+    few = F.broadcast if n <= BROADCAST_IDS else (lambda df: df)
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([set_digest(t, k) for t in part.column(1).to_pylist()], pa.binary())], names=["words_id", "exact"])
+
+    texts = docs.withColumn("h", F.xxhash64("text")).join(few(doubtful), ["doc_id", "h"]).dropDuplicates(["words_id"])
+    exact = written(texts.select("words_id", "text").mapInArrow(batches, "words_id binary, exact binary"))
+    return rows.join(few(exact), "words_id", "left").withColumn("set_id", F.coalesce("exact", "set_id")).drop("exact")
 
 
 def _alike(pairs: DataFrame, signed: DataFrame) -> DataFrame:
@@ -111,11 +156,12 @@ def _alike(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     return pairs.join(one, "v").join(two, "u").select("u", "v", "su", "sv").mapInArrow(batches, "u bigint, v bigint")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (u, v) whose full shingle sets reach the similarity. ``pairs`` is a written table."""
-    wanted = written(pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct())
+def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (u, v) of nodes whose full shingle sets reach the similarity. ``pairs`` is a written table."""
+    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    wanted = written(classes.join(wanted, "node").select("node", F.col("rep").alias("doc_id"), "h"))
     ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    texts = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = docs.withColumn("h", F.xxhash64("text")).join(ids, ["doc_id", "h"]).select(F.col("node").alias("doc_id"), "text").dropDuplicates(["doc_id"])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, np.ndarray] = {}
@@ -142,26 +188,49 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
     return pairs.join(one, "v").join(two, "u").select("u", "v", "tu", "tv").mapInArrow(batches, "u bigint, v bigint")
 
 
+def _dealt(left: DataFrame) -> DataFrame:
+    """``left(key, band, doc_id, part)`` with the places (i, j) in which each row is compared, and ``role``.
+
+    A bucket of up to BLOCK rows is one place. In a larger one, the rows of its most frequent part are only to be compared
+    with the rest: they are cut into blocks, one place each, and the rest comes to each of these. The rest is compared
+    with itself in pairs of its own blocks. So the most frequent part is never repeated.
+    """
+    sizes = left.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
+    large = sizes.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "part")).alias("most")).filter(F.col("all") > BLOCK)
+    cuts = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("bigint")
+    large = written(large.select("key", F.col("most.part").alias("main"), cuts(F.col("most.n")).alias("main_blocks"), cuts(F.col("all") - F.col("most.n")).alias("rest_blocks")))
+    large = F.broadcast(large) if large.count() <= BROADCAST_BUCKETS else large
+    rows = left.join(large, "key", "left")
+    spread = lambda blocks: F.pmod(F.xxhash64("doc_id"), F.col(blocks))
+    place = lambda i, j, own, role: F.struct(i.cast("bigint").alias("i"), j.cast("bigint").alias("j"), own.cast("bigint").alias("own"), F.lit(role).alias("role"))
+    zero, own = F.lit(0), spread("rest_blocks")
+    among = F.transform(F.sequence(F.lit(0), F.col("rest_blocks") - 1), lambda o: place(F.least(own, o), F.greatest(own, o), own, 0))
+    with_main = F.transform(F.sequence(F.lit(0), F.col("main_blocks") - 1), lambda i: place(i, F.lit(-1), zero, 0))
+    places = F.when(F.col("main").isNull(), F.array(place(zero, zero, zero, 0))).when(F.col("part") == F.col("main"), F.array(place(spread("main_blocks"), F.lit(-1), zero, 1))).otherwise(F.concat(among, with_main))
+    return rows.select("key", "band", "doc_id", "part", F.explode(places).alias("p")).select("key", "p.*", "band", "doc_id", "part")
+
+
 def _compared(left: DataFrame, signed: DataFrame) -> DataFrame:
     """Pairs (u, v) of one bucket of ``left(key, band, doc_id, part)``, in different parts, whose signatures agree well enough.
 
-    A bucket is cut into blocks of about BLOCK rows, and each two blocks meet in one place, where signatures are
-    compared without writing the pairs down. A pair is given in the first band whose keys are equal only.
+    Signatures are compared in the places of ``_dealt``, without writing the pairs down. A pair is given in the first band
+    whose keys are equal only.
     """
-    blocks = left.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    rows = left.join(blocks, "key").join(signed.select("doc_id", "bands", "signature"), "doc_id")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "band", "doc_id", "part", "bands", "signature")
+    rows = _dealt(left).join(signed.select("doc_id", "bands", "signature"), "doc_id")
+    rows = rows.select("key", "i", "j", "own", "role", "band", "doc_id", "part", "bands", "signature")
 
     def pairs(group: pa.Table) -> tuple[list, list]:
         i, j, band = (group.column(c)[0].as_py() for c in ("i", "j", "band"))
-        own, ids, part = (group.column(c).to_numpy() for c in ("own", "doc_id", "part"))
+        own, role, ids, part = (group.column(c).to_numpy() for c in ("own", "role", "doc_id", "part"))
         signs = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
         keys = group.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-        us, vs = [], []
-        for a in range(len(ids) - 1):
-            with_a = np.arange(a + 1, len(ids))
-            with_a = with_a[(part[with_a] != part[a]) & ((i == j) | (own[with_a] != own[a]))]
+        us, vs, main = [], [], np.flatnonzero(role == 1)
+        for a in np.flatnonzero(role == 0) if j < 0 else range(len(ids) - 1):
+            if j < 0:
+                with_a = main
+            else:
+                with_a = np.arange(a + 1, len(ids))
+                with_a = with_a[(part[with_a] != part[a]) & ((i == j) | (own[with_a] != own[a]))]
             if not len(with_a):
                 continue
             same = signs[with_a] == signs[a]
@@ -230,9 +299,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     """doc_id, n_shingles, component_id (the smallest id of the group), kept (whether the document is that one)."""
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     all_rows = written(signatures(docs, k=k))
-    rows = all_rows.filter("n_shingles > 0 and doc_id is not null")
-    classes = written(rows.groupBy("set_id").agg(F.min("doc_id").alias("rep")))
-    signed = rows.join(classes.select("set_id", F.col("rep").alias("doc_id")), ["set_id", "doc_id"]).select("doc_id", "bands", "signature").dropDuplicates(["doc_id"])
+    rows = _told_apart(all_rows.filter("n_shingles > 0 and doc_id is not null"), docs, k)
+    # a node for each class of equal sets: numbers of their own, as one id may have several texts
+    of_set = rows.groupBy("set_id").agg(F.min(F.struct("doc_id", "h")).alias("r"))
+    classes = written(of_set.select("set_id", F.col("r.doc_id").alias("rep"), F.col("r.h").alias("h"), F.monotonically_increasing_id().alias("node")))
+    chosen = rows.join(classes.select("set_id", F.col("rep").alias("doc_id"), "h", "node"), ["set_id", "doc_id", "h"])
+    signed = written(chosen.select(F.col("node").alias("doc_id"), "bands", "signature").dropDuplicates(["doc_id"]))
 
     banded = signed.select("doc_id", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("key")
@@ -243,19 +315,27 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
         left = written(_mixed(members, links)) if again else members
         pairs = _proposed(left)
         pairs = written(pairs.join(tested, ["u", "v"], "left_anti") if tested is not None else pairs)
-        found = written(_confirmed(written(_alike(pairs, signed)), docs, k, percent))
+        found = written(_confirmed(written(_alike(pairs, signed)), docs, classes, k, percent))
         tested = pairs if tested is None else tested.union(pairs)
         links = found if links is None else links.union(found)
 
     left = written(_mixed(members, links))
     pairs = _compared(left, signed).distinct().join(tested, ["u", "v"], "left_anti")
-    links = links.union(written(_confirmed(written(pairs), docs, k, percent)))
-
-    groups = components(links).withColumnsRenamed({"node": "rep", "component": "component_id"})
-    of_class = classes.join(groups, "rep", "left").select("set_id", F.coalesce("component_id", "rep").alias("component_id"))
-    out = all_rows.select("doc_id", "n_shingles", "set_id").join(of_class, "set_id", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    links = links.union(written(_confirmed(written(pairs), docs, classes, k, percent)))
+
+    # classes that one id is in belong together
+    ids = rows.groupBy("doc_id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b")).filter("a <> b").select("doc_id")
+    of_ids = written(rows.join(ids, "doc_id", "left_semi").select("doc_id", "set_id").distinct().join(classes, "set_id").select("doc_id", "node"))
+    first = of_ids.groupBy("doc_id").agg(F.min("node").alias("v"))
+    links = links.union(of_ids.join(first, "doc_id").filter("node <> v").select(F.col("node").alias("u"), "v"))
+
+    groups = written(classes.select("set_id", "rep", "node").join(components(links), "node", "left"))
+    smallest = groups.filter("component is not null").groupBy("component").agg(F.min("rep").alias("component_id"))
+    of_class = written(groups.join(smallest, "component", "left").select("set_id", F.coalesce("component_id", "rep").alias("component_id")))
+    linked = rows.select("doc_id", "n_shingles", "set_id").join(of_class, "set_id").select("doc_id", "n_shingles", "component_id")
+    others = all_rows.filter("not (n_shingles > 0 and doc_id is not null)").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    out = linked.unionByName(others)
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def oracle_sql() -> str:

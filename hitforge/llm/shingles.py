@@ -9,9 +9,11 @@ import numpy as np
 
 from hitforge.llm.text_batches import PIECE_BYTES, Texts, word_bounds
 
-#: Odd multipliers modulo 2**64: of bytes in a word, of words in a shingle, and of the last mixing.
-BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+#: Odd multipliers modulo 2**64 of words in a shingle, and of the last mixing.
+WORD_BASE = 0xC2B2AE3D27D4EB4F
 MIX_A, MIX_B = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+#: The prime of the words' polynomials, the two places at which each is evaluated, and the bytes worked on at once.
+PRIME, PLACES, RUN = (1 << 31) - 1, (1_234_567_891, 987_654_323), 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -23,32 +25,60 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 @functools.cache
 def _values(fold: bool) -> np.ndarray:
-    """Each byte's value, lower-cased for A-Z only if ``fold``; every value is above 0, so that lengths count."""
+    """Each byte's value below PRIME, lower-cased for A-Z only if ``fold``; none is 0, so that lengths count."""
     table = np.arange(256, dtype=np.uint64)
     table[65:91] += np.uint64(32 * fold)
-    return mix(table + np.uint64(1)) | np.uint64(1)
+    return mix(table + np.uint64(1)) % np.uint64(PRIME - 1) + np.uint64(1)
 
 
-@functools.lru_cache(maxsize=2)
-def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n."""
-    up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
-
-
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
-    """A number for each word: the polynomial of its bytes, cut out of running sums over the piece."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    size = 1 << max(16, int(len(data)).bit_length())
-    up, down = _powers(size, BYTE_BASE)
+@functools.cache
+def _powers(place: int) -> tuple[np.ndarray, np.ndarray]:
+    """place**i and place**-i modulo PRIME for i < RUN."""
+    out = []
+    for base in (place, pow(place, -1, PRIME)):
+        powers = np.ones(RUN, np.uint64)
+        done = 1
+        while done < RUN:  # doubled: the second half is the first times base**done
+            powers[done : 2 * done] = powers[:done] * np.uint64(pow(base, done, PRIME)) % np.uint64(PRIME)
+            done *= 2
+        out.append(powers)
+    return out[0], out[1]
+
+
+def _sums(data: np.ndarray, place: int, values: np.ndarray) -> np.ndarray:
+    """Running sums of values times powers, each folded below 2**32 (2**31 is 1 modulo PRIME); RUN bytes at most."""
+    terms = values[data] * _powers(place)[0][: len(data)]
+    terms = (terms & np.uint64(PRIME)) + (terms >> np.uint64(31))
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_values(fold)[data] * up[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts])
+    np.cumsum(terms, out=sums[1:])
+    return sums
 
 
-def _cut(data: np.ndarray) -> Iterator[np.ndarray]:
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
+    """A number for each word: the polynomial of its bytes at two places of a prime field, from running sums.
+
+    Words are taken RUN bytes at a time; a longer word is summed up in parts.
+    """
+    found = np.zeros((2, len(starts)), np.uint64)
+    values, prime, i = _values(fold), np.uint64(PRIME), 0
+    while i < len(starts):
+        begin = int(starts[i])
+        j = int(np.searchsorted(ends, begin + RUN, side="right"))
+        for k, place in enumerate(PLACES):
+            if j > i:
+                sums, down = _sums(data[begin : int(ends[j - 1])], place, values), _powers(place)[1]
+                a, b = starts[i:j] - begin, ends[i:j] - begin
+                found[k, i:j] = (sums[b] - sums[a]) % prime * down[a] % prime
+            else:
+                total = 0
+                for at in range(begin, int(ends[i]), RUN):
+                    total += int(_sums(data[at : min(at + RUN, int(ends[i]))], place, values)[-1]) * pow(place, at - begin, PRIME)
+                found[k, i] = total % PRIME
+        i = max(j, i + 1)
+    return mix(found[0] | found[1] << np.uint64(31))
+
+
+def cut(data: np.ndarray) -> Iterator[np.ndarray]:
     """Pieces of one long text, cut behind separators where there is one near."""
     at = 0
     while at < len(data):
@@ -69,7 +99,7 @@ def words_of(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all words, and how many words lie before each text (one more entry than texts)."""
     if len(texts) == 1 and len(texts.data) > PIECE_BYTES:
         made = []
-        for piece in _cut(texts.data):
+        for piece in cut(texts.data):
             starts, ends, _ = word_bounds(piece, np.array([0, len(piece)], np.int64))
             made.append(word_hashes(piece, starts, ends))
         hashes = np.concatenate(made) if made else np.zeros(0, np.uint64)

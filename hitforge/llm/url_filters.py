@@ -5,14 +5,15 @@ hashed character n-grams of host and path, which is trained from a small labelle
 Spark, the descent over a few hundred rows by the driver, and the weights go back as one constant array.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path and is left to the model, whose score is then
-that of no n-grams. Ties in the length of rules can't occur, as two rules of one length that fit one url are equal.
-Repeated rows give repeated rows; an empty table gives an empty table.
+that of no n-grams. Ties in the length of rules can't occur, as two rules of one length that fit one url are equal; a
+score that equals the threshold blocks. Very long urls are read whole. Repeated rows give repeated rows; an empty table
+gives an empty table. Other columns of the input, whatever their names, are not carried along.
 """
 
 from __future__ import annotations
 
 import math
-from itertools import product
+from itertools import permutations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,20 +22,27 @@ from pyspark.sql import functions as F
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 #: Hash buckets of n-grams, and the lengths of the n-grams.
 BUCKETS, LENGTHS = 4096, (3, 4)
-#: Rows of a labelled table that training reads at most; the table is small by contract.
+#: Rows of a labelled table that training reads at most, in order of a hash; the table is small by contract.
 MOST_LABELLED = 2000
 
-# Stems of hosts that are labelled as unwanted and as wanted, and what surrounds them.
-UNWANTED = ("casino-win", "free-bets", "cheap-pills", "hot-singles", "payday-loan", "poker-bonus", "slots-jackpot", "replica-watch", "adult-cam", "win-prize", "crypto-double", "pills-online", "bets-casino", "free-casino", "cheap-loan", "ads-server", "track-pixel", "spam-links")
-WANTED = ("library", "history", "garden", "the-news", "science", "theatre", "blog.tions", "thering", "museum", "recipes", "weather", "therhe", "school", "travel", "nature")
-HOSTS = ("{}.example.com", "www.{}.example.org", "m.{}.example.net")
-PATHS = ("/en/1204", "/de/77/", "/article/intro.html", "/")
+# Words of unwanted and of wanted hosts, two of which make the name of a site, and what stands around names
+# of both kinds alike.
+UNWANTED = ("casino", "poker", "jackpot", "roulette", "betting", "pills", "viagra", "payday", "loans", "escort", "porn", "xxx", "webcam", "warez", "keygen", "crack", "phishing", "malware", "replica", "clickbait", "adserver", "popup")
+WANTED = ("library", "museum", "school", "college", "weather", "recipes", "travel", "garden", "science", "history", "news", "theatre", "hospital", "council", "nature", "music", "sports", "research", "health", "journal", "archive", "astronomy")
+JOINTS = ("-", "")
+PREFIXES = ("", "www.", "m.", "blog.")
+ENDINGS = (".org", ".net", ".info", ".example.org")
+PATHS = ("/", "/en/1204", "/de/77/", "/article/intro.html", "/news/today?id=3")
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """(url, label): 1 for urls to block, made from the stems above."""
-    rows = [(f"http://{host.format(stem)}{path}", label) for label, stems in ((1, UNWANTED), (0, WANTED)) for stem, host, path in product(stems, HOSTS, PATHS)]
-    return spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{u}', {y})" for u, y in rows) + " AS t(url, label)")
+    """(url, label, name): 1 for urls to block. Each pair of words makes one name; what surrounds it goes round evenly."""
+    rows = []
+    for label, words in ((1, UNWANTED), (0, WANTED)):
+        for i, (one, two) in enumerate(permutations(words, 2)):
+            name = one + JOINTS[i % 2] + two
+            rows.append((f"http://{PREFIXES[i % 4]}{name}{ENDINGS[i // 4 % 4]}{PATHS[i % 5]}", label, name))
+    return spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{u}', {y}, '{n}')" for u, y, n in rows) + " AS t(url, label, name)")
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -51,16 +59,17 @@ def _grams(host: Column, path: Column) -> Column:
     text = F.concat(F.lit("^"), host, F.lit("|"), path, F.lit("$"))
 
     def of_length(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1)))
-        return F.transform(starts, lambda i: F.pmod(F.xxhash64(F.substr(text, i, F.lit(n))), F.lit(BUCKETS)).cast("int"))
+        # matches of no width, one at each character, so that a long url is read once
+        grams = F.when(F.length(text) < n, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
+        return F.transform(grams, lambda g: F.pmod(F.xxhash64(g), F.lit(BUCKETS)).cast("int"))
 
     return F.array_distinct(F.concat(*[of_length(n) for n in LENGTHS]))
 
 
-def train(labelled: DataFrame, url: str = "url", label: str = "label", rounds: int = 60, rate: float = 0.5, decay: float = 1e-4) -> tuple[float, list[float]]:
-    """Bias and weights by stochastic descent on at most MOST_LABELLED rows; zeros where there are none."""
+def train(labelled: DataFrame, url: str = "url", label: str = "label", rounds: int = 30, rate: float = 0.5, decay: float = 1e-4, most: int = MOST_LABELLED) -> tuple[float, list[float]]:
+    """Bias and weights by stochastic descent on at most ``most`` rows; zeros where there are none."""
     host, path = host_and_path(F.col(url))
-    rows = labelled.filter(F.col(label).isNotNull()).select(_grams(host, path).alias("g"), F.col(label).cast("int").alias("y"), F.xxhash64(url).alias("h")).orderBy("h").limit(MOST_LABELLED).collect()
+    rows = labelled.filter(F.col(label).isNotNull()).select(_grams(host, path).alias("g"), F.col(label).cast("int").alias("y"), F.xxhash64(url).alias("h")).orderBy("h", "y").limit(most).collect()
     bias, weights = 0.0, [0.0] * BUCKETS
     for i in range(rounds):
         step = rate / (1 + 0.1 * i)
@@ -71,7 +80,7 @@ def train(labelled: DataFrame, url: str = "url", label: str = "label", rounds: i
             part = step / math.sqrt(len(grams))
             for g in grams:
                 weights[g] -= part * (slope + decay * weights[g])
-    return bias, weights
+    return bias, [round(w, 6) for w in weights]
 
 
 def filter_urls(pages: DataFrame, labelled: DataFrame | None = None, url: str = "url", id_col: str = "page_id", rules=RULES, threshold: float = 0.5) -> DataFrame:

@@ -146,6 +146,71 @@ def test_links_from_compared_only(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == groups(rows)
 
 
+def opposites(n):
+    """Two words of n characters, one with a where the other has b, by the parity of the ones in each place."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_told_apart(spark):
+    """Words that polynomials modulo a power of two confuse stay apart, and sets whose numbers are equal are told apart by text."""
+    for n in (1024, 2048, 4096):
+        one, two = opposites(n)
+        a, b = (next(shingle_sets(Texts(pa.array([t])), 5)) for t in (one, two))
+        assert (a != b).all()
+    rows = [(i, opposites(1024)[i % 2]) for i in range(4)]
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {0: 0, 1: 1, 2: 0, 3: 1}
+
+
+def test_equal_numbers(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "A  b"), (3, "c d"), (4, "e f g a b c d e f g"), (5, "f g a b c d e f g a")], "doc_id bigint, text string")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.when(F.col("doc_id") < 4, F.lit(b"x")).otherwise(F.lit(b"y")).alias("set_id"), F.encode(F.lower("text"), "UTF-8").alias("words_id"))
+    rows = rows.withColumn("words_id", F.when(F.col("doc_id") < 3, F.lit(b"ab")).otherwise(F.col("words_id")))
+    got = {r.doc_id: bytes(r.set_id) for r in near_duplicates._told_apart(rows, docs, 5).collect()}
+    assert got[1] == got[2] != got[3] and got[4] != got[5] and len(got) == 5
+    assert near_duplicates.set_digest("a b c d e f a b c d e", 5) == near_duplicates.set_digest("a b c d e f a b c d e f", 5) != near_duplicates.set_digest("a b c d e f", 5)
+
+
+def test_ids_with_several_texts(spark):
+    """An id is linked by each of its texts."""
+    dice = random.Random(2)
+    one, two = (" ".join(f"w{dice.randrange(10**6)}" for _ in range(80)) for _ in range(2))
+    rows = [(7, one), (7, two), (8, one + " more"), (9, two + " more"), (3, "some other text of six words"), (9, two + " more")]
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {(7, 7, True), (8, 7, False), (9, 7, False), (3, 3, True)}
+
+
+def test_large_buckets(spark, monkeypatch):
+    """Places of large buckets bring every two rows of different parts together, and no row of the main part twice."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", 8)
+    dice = random.Random(1)
+    parts = {i: 0 if dice.random() < 0.7 else dice.randint(1, 4) for i in range(90)}
+    left = spark.createDataFrame([(5, 0, i, p) for i, p in parts.items()] + [(6, 0, 200, 200), (6, 0, 201, 201)], "key bigint, band int, doc_id bigint, part bigint")
+    places, met = {}, set()
+    for r in near_duplicates._dealt(left).collect():
+        places.setdefault((r.key, r.i, r.j), []).append(r)
+    for (_, i, j), rows in places.items():
+        for a in rows:
+            for b in rows:
+                if a.part != b.part and (a.role != b.role if j < 0 else (i == j or a.own != b.own)):
+                    met.add((a.doc_id, b.doc_id))
+    assert met == {(a, b) for a in parts for b in parts if parts[a] != parts[b]} | {(200, 201), (201, 200)}
+    assert max(Counter(r.doc_id for rows in places.values() for r in rows if r.role).values()) == 1
+
+
+def test_word_hashes_in_runs(monkeypatch):
+    import hitforge.llm.shingles as module
+
+    text = "one two " + "x" * 300 + " three " + "y" * 65 + " four five"
+    whole = module.words_of(Texts(pa.array([text])))[0]
+    assert len(set(whole.tolist())) == 7
+    monkeypatch.setattr(module, "RUN", 64)
+    module._powers.cache_clear()
+    assert (module.words_of(Texts(pa.array([text])))[0] == whole).all()
+    module._powers.cache_clear()
+
+
 def test_shingles_of_a_long_text():
     import hitforge.llm.shingles as module
 
@@ -377,6 +442,13 @@ def test_take_without_ids(spark):
 def test_fit_of_long_documents():
     assert mixing.fit(np.array([300_000]), np.array([3]), 855_000, 7).tolist() == [3]
     assert mixing.fit(np.array([300_000]), np.array([3]), 740_000, 7).tolist() == [2]
+    assert mixing.fit(np.array([150_000]), np.array([1]), 100_000, 7).tolist() == [1]
+    assert mixing.fit(np.array([150_000]), np.array([1]), 70_000, 7).tolist() == [0]
+    # exactly the nearest sum where there are few documents, however long
+    sizes, counts = np.array([100_003, 170_001, 250_007]), np.array([1, 1, 1])
+    for budget in range(0, 530_000, 7_001):
+        best = min(abs(budget - sum(sizes[j] for j in range(3) if k >> j & 1)) for k in range(8))
+        assert abs(budget - (sizes * mixing.fit(sizes, counts, budget, 3)).sum()) <= best + 4
 
 
 def test_slices_of_one_size(spark, monkeypatch):
@@ -400,10 +472,13 @@ def test_fit():
             reach = {r + k * s for r in reach for k in range(c - t + 1)}
         assert abs(budget - (sizes * taken).sum()) <= min(abs(left - r) for r in reach if r <= left + min(left, sizes.max()))
     assert mixing.fit(np.array([100_000]), np.array([50]), 1_234_567, 1)[0] == 12
+    sizes, counts = np.arange(1, 5000, 3), dice.integers(1, 10**6, 1667)
+    for budget in (12_345_678, 10**9 + 7):
+        assert (sizes * mixing.fit(sizes, counts, budget, 1)).sum() == budget
 
 
 def test_urls(spark):
-    urls = ["http://WWW.Example.com/en/1?q", "https://a.net/es/x#f", "http://x.net/en/", "ftp://com/", "http://y.com", "nothing", None, "", "http://evilexample.com/en/a", "http://example.com/en/", "http://h?x/y", "http://m.casino-win.example.org/de/"]
+    urls = ["http://WWW.Example.com/en/1?q", "https://a.net/es/x#f", "http://x.net/en/", "ftp://com/", "http://y.com", "nothing", None, "", "http://evilexample.com/en/a", "http://example.com/en/", "http://h?x/y", "http://m.casino-slots.example.org/de/", "http://poker-pills.info/" + "a" * 100_000]
     pages = spark.createDataFrame([(i, u, "r") for i, u in enumerate(urls)], "page_id bigint, url string, rule string")
     got = {r.page_id: r for r in url_filters.filter_urls(pages).collect()}
     want = {0: ("www.example.com", "/en/1", "www.example.com/en/", "allow"), 1: ("a.net", "/es/x", "net/es/", "block"), 3: ("com", "/", "com/", "allow"), 8: ("evilexample.com", "/en/a", "com/", "allow"), 9: ("example.com", "/en/", "example.com/en/", "block")}
@@ -411,12 +486,56 @@ def test_urls(spark):
         assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == row
     assert all((got[i].host, got[i].path, got[i].rule) == ("", "", None) for i in (5, 6, 7))
     assert (got[4].host, got[4].path, got[4].rule) == ("y.com", "", None) and (got[10].host, got[10].path) == ("h", "")
-    assert got[11].verdict == "block" and got[2].rule is None
+    assert got[11].verdict == "block" and got[2].rule is None and got[12].verdict == "block"
     assert url_filters.filter_urls(pages.limit(0)).count() == 0
     bias, weights = url_filters.train(url_filters.labelled_urls(spark).limit(0))
     assert bias == 0 and not any(weights)
 
 
+def plain_verdict(url, bias, weights):
+    """host, path, rule and verdict of one url by plain Python, with the hash from its public definition."""
+    import math
+
+    import xxhash
+
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = re.split("[/?#]", rest)[0]
+    path = re.split("[?#]", rest[len(host) :])[0]
+    host = host.translate({i: i + 32 for i in range(65, 91)})
+    fits = [(len(h + p), h + p, v) for v, h, p in url_filters.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    text = f"^{host}|{path}$"
+    grams = {text[i : i + n] for n in url_filters.LENGTHS for i in range(max(1, len(text) - n + 1))}
+    signed = [(x := xxhash.xxh64_intdigest(g.encode(), 42)) - (x >> 63 << 64) for g in grams]
+    buckets = {x % url_filters.BUCKETS for x in signed}
+    score = 1 / (1 + math.exp(-(bias + sum(weights[b] for b in buckets) / math.sqrt(len(buckets)))))
+    return host, path, max(fits)[1] if fits else None, max(fits)[2] if fits else ("block" if score >= 0.5 else "allow"), score
+
+
+def test_every_url(spark, sf):
+    """All rows of the table against plain Python."""
+    pages = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/pages.parquet")
+    bias, weights = url_filters.train(url_filters.labelled_urls(spark))
+    urls = {r.page_id: r.url for r in pages.select("page_id", "url").collect()}
+    rows = url_filters.filter_urls(pages).collect()
+    assert len(rows) == len(urls)
+    for r in rows:
+        want = plain_verdict(urls[r.page_id], bias, weights)
+        assert (r.host, r.path, r.rule) == want[:3] and r.score == pytest.approx(want[4])
+        assert r.verdict == want[3] or abs(want[4] - 0.5) < 1e-9
+
+
+def test_held_out_hosts(spark):
+    """Names that training hasn't seen, of words that it has, are told apart; of words that it hasn't, most are."""
+    table = url_filters.labelled_urls(spark)
+    names = F.pmod(F.xxhash64("name"), F.lit(4)) == 0
+    bias, weights = url_filters.train(table.filter(~names))
+    rows = table.filter(names).collect()
+    right = sum((plain_verdict(r.url, bias, weights)[4] >= 0.5) == bool(r.label) for r in rows)
+    assert right / len(rows) > 0.97
+    balance = sum(r.label for r in table.collect()) / table.count()
+    assert balance == 0.5
+
+
 def test_audio(spark):
     dice = np.random.default_rng(5)
 
