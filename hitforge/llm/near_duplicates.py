@@ -6,8 +6,8 @@ on signatures, then confirmed on the full shingle sets; confirmed links make com
 Documents with equal shingle sets are one class from the start; where texts of one class differ in their words, the sets
 themselves are digested, not only their numbers. A bucket isn't expanded into all its pairs: first every
 class is paired with a few leaders, those that it meets in most buckets, and the confirmed links make components; then
-once more, with leaders of other components. Only pairs of one bucket that are still in different components are left
-to look at one by one, since a link inside a component adds nothing.
+once more, with leaders of other components. Only pairs of one bucket that are still in different components are left:
+their rows meet with their full sets in places of bounded size, and confirmed links alone are written down.
 
 With ROWS = 6 and BANDS = 56 a pair of similarity 0.75 meets in no bucket with probability 2e-5, one of 0.85 with
 1e-12; no bucket is capped. The signature check leaves a margin of five standard deviations.
@@ -45,7 +45,9 @@ SIGNATURE_LEAST = 0.667
 #: Buckets of more than BLOCK rows that may be broadcast, after a count (about 100 bytes each); more go through a shuffle join.
 BROADCAST_BUCKETS = 100_000
 #: Rows of a bucket that are compared with each other at once.
-BLOCK = 1024
+BLOCK = 2048
+#: Shingles of the rows of a bucket that are held at once, in two of these blocks.
+SHINGLES = 1 << 21
 #: Shingle sets that a worker keeps while it confirms pairs.
 KEPT_SETS = 1000
 
@@ -141,8 +143,8 @@ def _told_apart(rows: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     return rows.join(few(exact), "words_id", "left").withColumn("set_id", F.coalesce("exact", "set_id")).drop("exact")
 
 
-def _alike(pairs: DataFrame, signed: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose signatures agree well enough."""
+def _alike(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) of sets near enough in size, whose signatures agree well enough."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -151,17 +153,39 @@ def _alike(pairs: DataFrame, signed: DataFrame) -> DataFrame:
                 same = ((a == b).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
                 yield part.filter(pa.array(same >= SIGNATURE_LEAST)).select(["u", "v"])
 
-    one = signed.select(F.col("doc_id").alias("v"), F.col("signature").alias("sv"))
-    two = signed.select(F.col("doc_id").alias("u"), F.col("signature").alias("su"))
-    return pairs.join(one, "v").join(two, "u").select("u", "v", "su", "sv").mapInArrow(batches, "u bigint, v bigint")
+    one = signed.select(F.col("doc_id").alias("v"), F.col("size").alias("nv"), F.col("signature").alias("sv"))
+    two = signed.select(F.col("doc_id").alias("u"), F.col("size").alias("nu"), F.col("signature").alias("su"))
+    sized = pairs.join(one, "v").join(two, "u").filter(100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv"))
+    return sized.select("u", "v", "su", "sv").mapInArrow(batches, "u bigint, v bigint")
+
+
+def _texts(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(doc_id, text) of the nodes in ``nodes(node)``: the text that stands for each."""
+    wanted = written(classes.join(nodes.distinct(), "node").select("node", F.col("rep").alias("doc_id"), "h"))
+    ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    return docs.withColumn("h", F.xxhash64("text")).join(ids, ["doc_id", "h"]).select(F.col("node").alias("doc_id"), "text").dropDuplicates(["doc_id"])
+
+
+def _overlap(one: np.ndarray, other: np.ndarray) -> int:
+    """How many numbers two sorted sets share."""
+    at = np.searchsorted(one, other)
+    at[at == len(one)] = 0
+    return int((one[at] == other).sum())
+
+
+def _sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """(doc_id, shingles) of nodes: their full shingle sets, sorted, as bytes."""
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in pieces(parts, "text", SMALL_PIECE):
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([own.tobytes() for own in shingle_sets(texts, k)], pa.binary())], names=["doc_id", "shingles"])
+
+    return _texts(nodes, docs, classes).mapInArrow(batches, "doc_id bigint, shingles binary")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (u, v) of nodes whose full shingle sets reach the similarity. ``pairs`` is a written table."""
-    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    wanted = written(classes.join(wanted, "node").select("node", F.col("rep").alias("doc_id"), "h"))
-    ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    texts = docs.withColumn("h", F.xxhash64("text")).join(ids, ["doc_id", "h"]).select(F.col("node").alias("doc_id"), "text").dropDuplicates(["doc_id"])
+    texts = _texts(pairs.select(F.col("u").alias("node")).union(pairs.select("v")), docs, classes)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, np.ndarray] = {}
@@ -177,9 +201,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, pe
             yes = []
             for u, v, tu, tv in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), part.column(3), strict=True):
                 own, other = shingles(u, tu), shingles(v, tv)
-                both = np.searchsorted(own, other)
-                both[both == len(own)] = 0
-                both = int((own[both] == other).sum())
+                both = _overlap(own, other)
                 yes.append(100 * both >= percent * (len(own) + len(other) - both))
             yield part.filter(pa.array(yes, pa.bool_())).select(["u", "v"])
 
@@ -189,16 +211,18 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, pe
 
 
 def _dealt(left: DataFrame) -> DataFrame:
-    """``left(key, band, doc_id, part)`` with the places (i, j) in which each row is compared, and ``role``.
+    """``left(key, band, doc_id, part, size)`` with the places (i, j) in which each row is compared, and ``role``.
 
-    A bucket of up to BLOCK rows is one place. In a larger one, the rows of its most frequent part are only to be compared
+    A bucket of up to BLOCK rows, and of SHINGLES shingles, is one place. In a larger one, the rows of its most frequent part are only to be compared
     with the rest: they are cut into blocks, one place each, and the rest comes to each of these. The rest is compared
     with itself in pairs of its own blocks. So the most frequent part is never repeated.
     """
-    sizes = left.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
-    large = sizes.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "part")).alias("most")).filter(F.col("all") > BLOCK)
-    cuts = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("bigint")
-    large = written(large.select("key", F.col("most.part").alias("main"), cuts(F.col("most.n")).alias("main_blocks"), cuts(F.col("all") - F.col("most.n")).alias("rest_blocks")))
+    sizes = left.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("m"))
+    large = sizes.groupBy("key").agg(F.sum("n").alias("rows"), F.sum("m").alias("shingles"), F.max(F.struct("n", "m", "part")).alias("most"))
+    large = large.filter((F.col("rows") > BLOCK) | (F.col("shingles") > SHINGLES))
+    cuts = lambda n, m: F.greatest(F.ceil(n / BLOCK), F.ceil(m / SHINGLES), F.lit(1)).cast("bigint")
+    rest = cuts(F.col("rows") - F.col("most.n"), F.col("shingles") - F.col("most.m"))
+    large = written(large.select("key", F.col("most.part").alias("main"), cuts(F.col("most.n"), F.col("most.m")).alias("main_blocks"), rest.alias("rest_blocks")))
     large = F.broadcast(large) if large.count() <= BROADCAST_BUCKETS else large
     rows = left.join(large, "key", "left")
     spread = lambda blocks: F.pmod(F.xxhash64("doc_id"), F.col(blocks))
@@ -207,38 +231,45 @@ def _dealt(left: DataFrame) -> DataFrame:
     among = F.transform(F.sequence(F.lit(0), F.col("rest_blocks") - 1), lambda o: place(F.least(own, o), F.greatest(own, o), own, 0))
     with_main = F.transform(F.sequence(F.lit(0), F.col("main_blocks") - 1), lambda i: place(i, F.lit(-1), zero, 0))
     places = F.when(F.col("main").isNull(), F.array(place(zero, zero, zero, 0))).when(F.col("part") == F.col("main"), F.array(place(spread("main_blocks"), F.lit(-1), zero, 1))).otherwise(F.concat(among, with_main))
-    return rows.select("key", "band", "doc_id", "part", F.explode(places).alias("p")).select("key", "p.*", "band", "doc_id", "part")
+    return rows.select("key", "band", "doc_id", "part", "size", F.explode(places).alias("p")).select("key", "p.*", "band", "doc_id", "part", "size")
 
 
-def _compared(left: DataFrame, signed: DataFrame) -> DataFrame:
-    """Pairs (u, v) of one bucket of ``left(key, band, doc_id, part)``, in different parts, whose signatures agree well enough.
+def _compared(left: DataFrame, signed: DataFrame, sets: DataFrame, percent: int = 75) -> DataFrame:
+    """Links (u, v) between different parts of the buckets of ``left(key, band, doc_id, part)``, confirmed on full sets.
 
-    Signatures are compared in the places of ``_dealt``, without writing the pairs down. A pair is given in the first band
-    whose keys are equal only.
+    Rows of a bucket meet in the places of ``_dealt`` with their sets, and only confirmed links are written down. A pair is
+    looked at in the first band whose keys are equal only, and not where links of this place have joined its parts, as a
+    link inside a component adds nothing.
     """
-    rows = _dealt(left).join(signed.select("doc_id", "bands", "signature"), "doc_id")
-    rows = rows.select("key", "i", "j", "own", "role", "band", "doc_id", "part", "bands", "signature")
+    rows = _dealt(left.join(signed.select("doc_id", "size"), "doc_id"))
+    rows = rows.join(signed.select("doc_id", "bands", "signature").join(sets, "doc_id"), "doc_id")
+    rows = rows.select("key", "i", "j", "own", "role", "band", "doc_id", "part", "size", "bands", "signature", "shingles")
 
-    def pairs(group: pa.Table) -> tuple[list, list]:
+    def links(group: pa.Table) -> tuple[list[int], list[int]]:
         i, j, band = (group.column(c)[0].as_py() for c in ("i", "j", "band"))
-        own, role, ids, part = (group.column(c).to_numpy() for c in ("own", "role", "doc_id", "part"))
+        own, role, ids, part, sizes = (group.column(c).to_numpy() for c in ("own", "role", "doc_id", "part", "size"))
         signs = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
         keys = group.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-        us, vs, main = [], [], np.flatnonzero(role == 1)
+        held = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("shingles")]
+        us, vs, main, joined = [], [], np.flatnonzero(role == 1), part.copy()
         for a in np.flatnonzero(role == 0) if j < 0 else range(len(ids) - 1):
-            if j < 0:
-                with_a = main
-            else:
-                with_a = np.arange(a + 1, len(ids))
-                with_a = with_a[(part[with_a] != part[a]) & ((i == j) | (own[with_a] != own[a]))]
+            with_a = main if j < 0 else np.arange(a + 1, len(ids))
+            n = sizes[with_a]
+            with_a = with_a[(joined[with_a] != joined[a]) & (100 * np.minimum(n, sizes[a]) >= percent * np.maximum(n, sizes[a]))]
+            if j >= 0 and i != j:
+                with_a = with_a[own[with_a] != own[a]]
             if not len(with_a):
                 continue
             same = signs[with_a] == signs[a]
             good = (same.mean(axis=1) - 1 / 256) / (1 - 1 / 256) >= SIGNATURE_LEAST
             first = (keys[with_a[good]] == keys[a]).argmax(axis=1)
-            found = ids[with_a[good][first == band]]
-            us.append(np.minimum(found, ids[a]))
-            vs.append(np.maximum(found, ids[a]))
+            for b in with_a[good][first == band].tolist():
+                if joined[b] != joined[a]:
+                    both = _overlap(held[a], held[b])
+                    if 100 * both >= percent * (len(held[a]) + len(held[b]) - both):
+                        us.append(min(int(ids[a]), int(ids[b])))
+                        vs.append(max(int(ids[a]), int(ids[b])))
+                        joined[joined == joined[b]] = joined[a]
         return us, vs
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,9 +291,9 @@ def _compared(left: DataFrame, signed: DataFrame) -> DataFrame:
                 yield pa.Table.from_batches(begun).combine_chunks()
 
         for group in groups():
-            us, vs = pairs(group)
+            us, vs = links(group)
             if us:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
     dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return dealt.mapInArrow(batches, "u bigint, v bigint")
@@ -304,7 +335,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     of_set = rows.groupBy("set_id").agg(F.min(F.struct("doc_id", "h")).alias("r"))
     classes = written(of_set.select("set_id", F.col("r.doc_id").alias("rep"), F.col("r.h").alias("h"), F.monotonically_increasing_id().alias("node")))
     chosen = rows.join(classes.select("set_id", F.col("rep").alias("doc_id"), "h", "node"), ["set_id", "doc_id", "h"])
-    signed = written(chosen.select(F.col("node").alias("doc_id"), "bands", "signature").dropDuplicates(["doc_id"]))
+    signed = written(chosen.select(F.col("node").alias("doc_id"), F.col("n_shingles").alias("size"), "bands", "signature").dropDuplicates(["doc_id"]))
 
     banded = signed.select("doc_id", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("key")
@@ -315,13 +346,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
         left = written(_mixed(members, links)) if again else members
         pairs = _proposed(left)
         pairs = written(pairs.join(tested, ["u", "v"], "left_anti") if tested is not None else pairs)
-        found = written(_confirmed(written(_alike(pairs, signed)), docs, classes, k, percent))
+        found = written(_confirmed(written(_alike(pairs, signed, percent)), docs, classes, k, percent))
         tested = pairs if tested is None else tested.union(pairs)
         links = found if links is None else links.union(found)
 
     left = written(_mixed(members, links))
-    pairs = _compared(left, signed).distinct().join(tested, ["u", "v"], "left_anti")
-    links = links.union(written(_confirmed(written(pairs), docs, classes, k, percent)))
+    sets = _sets(left.select(F.col("doc_id").alias("node")), docs, classes, k)
+    links = links.union(written(_compared(left, signed, sets, percent)))
 
     # classes that one id is in belong together
     ids = rows.groupBy("doc_id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b")).filter("a <> b").select("doc_id")
