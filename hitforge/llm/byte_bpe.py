@@ -5,8 +5,10 @@ associative scan and marks where pieces begin. Pieces are byte slices of the tex
 merges; only a piece that isn't there is merged. Offsets of tokens in the text's bytes are kept on request, for
 decoding of a stretch.
 
-Edge cases: a null or empty text has no tokens, and the digests are those of empty input. Repeated rows give repeated
-rows. An empty table gives an empty table. Other columns of the input are left alone, whatever their names.
+Edge cases: a null or empty text has no tokens, and the digests are those of empty input. A text of any length is read in
+bounded parts, cut where a word ends; only a single run of letters can't be cut. Of equal ranks the leftmost pair merges
+first. Repeated rows give repeated rows. An empty table gives an empty table. Other columns of the input are not carried
+along, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitforge.llm.pair_merge import NEVER, KeptPieces, merge
-from hitforge.llm.text_batches import bound_batches, pieces
+from hitforge.llm.text_batches import Texts, bound_batches, parts, pieces
 from hitforge.llm.transducer import byte_level_splitter, split
 
 
@@ -37,7 +39,7 @@ class ByteBpe(KeptPieces):
         self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
-        self.single = [bytes([i]) for i in range(256)]
+        self.single, self.sizes = [bytes([i]) for i in range(256)], np.array([len(b) for b in self.bytes_of], np.int64)
 
     def make(self, piece: bytes) -> tuple[int, ...]:
         """Token ids of one piece: the piece itself if it is a token, else what pair merging leaves."""
@@ -50,6 +52,17 @@ class ByteBpe(KeptPieces):
         """The bytes that token ids stand for."""
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def encoded(self, texts: Texts) -> Iterator[Iterator[np.ndarray]]:
+        """For each text its token ids, a long text's in several arrays."""
+        if len(texts) == 1:
+            yield (self._flat(next(self.encode_texts(texts.data[a:b], np.array([0, b - a])))) for a, b in parts(texts.data))
+        else:
+            yield from (iter((self._flat(ids),)) for ids in self.encode_texts(texts.data, texts.offsets))
+
+    @staticmethod
+    def _flat(ids: list[tuple[int, ...]]) -> np.ndarray:
+        return np.fromiter(chain.from_iterable(ids), np.int32)
+
     def encode_texts(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[list[tuple[int, ...]]]:
         """For each text the ids of its pieces, in order."""
         bounds, first, _ = split(byte_level_splitter(), data, offsets)
@@ -86,11 +99,11 @@ def encode(df: DataFrame, path: str, text: str = "text", id_col: str = "doc_id",
 
     def make(texts):
         code = coder(path)
-        for ids in code.encode_texts(texts.data, texts.offsets):
-            flat = list(chain.from_iterable(ids))
+        for of_text in code.encoded(texts):
+            flat = np.concatenate(list(of_text))
             if offsets:
-                sizes = np.fromiter((len(code.bytes_of[i]) for i in flat), np.int64, len(flat))
-                yield flat, (np.cumsum(sizes) - sizes).tolist()
+                sizes = code.sizes[flat]
+                yield flat, (np.cumsum(sizes) - sizes).astype(np.int32)
             else:
                 yield (flat,)
 
@@ -117,10 +130,14 @@ def encode_digests(df: DataFrame, path: str, text: str = "text", id_col: str = "
 
     def make(texts):
         code = coder(path)
-        for ids in code.encode_texts(texts.data, texts.offsets):
-            flat = list(chain.from_iterable(ids))
-            said = ",".join(map(str, flat))
-            yield len(flat), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(code.decode(flat)).hexdigest()
+        for of_text in code.encoded(texts):
+            n, said, decoded = 0, hashlib.sha256(), hashlib.sha256()
+            for ids in of_text:
+                flat = ids.tolist()
+                said.update((("," if n and flat else "") + ",".join(map(str, flat))).encode())
+                decoded.update(code.decode(flat))
+                n += len(flat)
+            yield n, said.hexdigest(), decoded.hexdigest()
 
     fields = [("n_tokens", "bigint", pa.int64()), ("ids_sha256", "string", pa.string()), ("decoded_sha256", "string", pa.string())]
     return _run(df, text, make, fields, {id_col: F.col(id_col)})

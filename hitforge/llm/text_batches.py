@@ -34,6 +34,13 @@ class Texts:
         self.offsets = offsets.astype(np.int64) - first
         self.data = np.frombuffer(data, np.uint8)[first:last] if last > first else np.zeros(0, np.uint8)
 
+    @classmethod
+    def of(cls, data: np.ndarray, offsets: np.ndarray) -> Texts:
+        """Texts that lie in ``data`` between ``offsets``."""
+        made = cls.__new__(cls)
+        made.data, made.offsets = data, offsets
+        return made
+
     def __len__(self) -> int:
         return len(self.offsets) - 1
 
@@ -51,6 +58,27 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, size: int = PIECE_BYT
             start = end
 
 
+def parts(data: np.ndarray, size: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
+    """Bounds of parts of about ``size`` bytes of one text, cut before a space that follows an ASCII letter.
+
+    There a word ends whatever follows, so splitters and normal forms give for the parts what they give for the text. A
+    stretch without such a place stays whole.
+    """
+    at = 0
+    while len(data) - at > size:
+        end, reach = at, size
+        while end == at and at + reach < len(data):
+            part = data[at : at + reach + 1]
+            letters = part | 32
+            cuts = np.flatnonzero((part[1:] == 32) & (letters[:-1] >= 97) & (letters[:-1] <= 122))
+            end, reach = (at + 1 + int(cuts[-1])) if len(cuts) else at, 2 * reach
+        if end == at:
+            break
+        yield at, end
+        at = end
+    yield at, len(data)
+
+
 def is_separator(data: np.ndarray) -> np.ndarray:
     """Marks the bytes of space and of x09 to x0D, which separate words."""
     return (data == 32) | ((data >= 9) & (data <= 13))

@@ -24,6 +24,13 @@ STARTS_HERE, STARTS_BEFORE = 1, 2
 WHITE_SPACE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 
+def with_classes(changes: dict[int, int]) -> np.ndarray:
+    """The table of classes with other classes for some code points, which a library of another Unicode version has."""
+    table = class_table().copy()
+    table[list(changes)] = list(changes.values())
+    return table
+
+
 @functools.cache
 def class_table() -> np.ndarray:
     """The class of every code point."""
@@ -157,7 +164,7 @@ def word_splitter() -> Transducer:
     return _compile(keeps_white=False, joins_numbers=False)
 
 
-def split(transducer: Transducer, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def split(transducer: Transducer, data: np.ndarray, offsets: np.ndarray, table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bounds in bytes of the pieces of UTF-8 texts that lie behind each other, and each text's first piece.
 
     Returns positions (one more than pieces, in bytes), the number of pieces before each text (one more than texts),
@@ -165,7 +172,7 @@ def split(transducer: Transducer, data: np.ndarray, offsets: np.ndarray) -> tupl
     """
     lead = np.flatnonzero((data & 0xC0) != 0x80)
     codes = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
-    classes = class_table()[codes]
+    classes = (class_table() if table is None else table)[codes]
     ends = np.searchsorted(lead, offsets[1:])
     told = transducer.run(np.insert(classes, ends, END))
     at_end = ends + np.arange(len(ends))
