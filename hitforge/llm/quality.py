@@ -4,15 +4,19 @@ Every line with a word is labelled content or boilerplate by Viterbi decoding of
 field; a document is kept if the share of its characters in content lines is large enough, and if base counts pass.
 
 The field is trained on a bounded sample of labelled documents (TRAIN_DOCS documents of TRAIN_LINES lines at most, in
-order of a hash): each line takes its document's label, as what spoils a document spoils most of its lines. Without any
-labelled rows PRIOR is used.
-
-Edge cases: null, empty and blank texts have no lines and no words; they fail the base rule. Repeated rows give repeated
-rows; an empty table gives an empty table. Texts of any length are read in bounded pieces of whole documents.
+order of a hash; longer ones give runs of lines at even distances). Only documents have labels, so runs of lines of a good
+and of a bad document are spliced into one sequence: its labels change inside, where the field learns transitions. Without
+rows of both labels PRIOR is used.
+
+Edge cases: null, empty and blank texts have no lines and no words; they fail the base rule. Labellings of equal score: a
+content line rather before than after. A share of exactly LEAST_CONTENT is enough. Repeated rows give repeated rows; an
+empty table gives an empty table. A text of any length is read in bounded parts, of which numbers for each line and each
+word are kept. Columns asked for by ``keep`` are returned; their names must differ from those of the results.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,12 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitforge.llm.sampling import hashed_sample
-from hitforge.llm.shingles import mix, word_hashes
-from hitforge.llm.text_batches import SMALL_PIECE, Texts, bound_batches, is_separator, pieces, word_bounds
+from hitforge.llm.shingles import cut, mix, word_hashes
+from hitforge.llm.text_batches import PIECE_BYTES, SMALL_PIECE, Texts, bound_batches, is_separator, pieces, word_bounds
 
 TRAIN_DOCS, TRAIN_LINES = 2000, 512
-#: Lines of one training sequence; longer documents make several.
-CHUNK = 64
+#: Lines of one run; a training sequence is two runs.
+CHUNK = 32
+#: Lines of more bytes are told apart by a digest of 128 bits.
+LINE_KEPT = 64
 SYMBOLS = b"#*$%&|<>"
 FEATURES = ("bias", "length", "symbols", "capitals", "exclamations", "repeats", "duplicate", "digits", "short", "closed", "word_length", "punctuation")
 #: Least share of content characters.
@@ -77,32 +83,112 @@ class Measured:
     features: np.ndarray
 
 
-def measure(texts: Texts) -> Iterator[Measured]:
-    """Base counts and line features of each text of a piece, from running sums over its bytes."""
-    data, offsets = texts.data, texts.offsets
-    n = len(data)
+@dataclass
+class Lines:
+    """Numbers of all lines of a piece: counts [line, COUNTS], words, the last word's last byte, a key for equal lines; and words."""
 
-    def upto(mask: np.ndarray) -> np.ndarray:
-        sums = np.zeros(n + 1, np.int64)
-        np.cumsum(mask, out=sums[1:])
-        return sums
+    counts: np.ndarray
+    words: np.ndarray
+    last: np.ndarray
+    keys: list[bytes]
+    hashes: np.ndarray
+    line_of: np.ndarray
 
-    symbol = np.zeros(256, bool)
-    symbol[list(SYMBOLS)] = True
-    lead = upto((data & 0xC0) != 0x80)
-    blank, symbols = upto(is_separator(data)), upto(symbol[data])
-    big, small = upto((data >= 65) & (data <= 90)), upto((data >= 97) & (data <= 122))
-    digits, shouts = upto((data >= 48) & (data <= 57)), upto(data == 33)
-    marks = upto((data >= 33) & (data <= 126))
 
+#: What is counted in a line: characters, blanks, symbols, capitals, small letters, digits, exclamation marks, printable ASCII.
+COUNTS = 8
+
+
+def _key(line: bytes) -> bytes:
+    return line if len(line) <= LINE_KEPT else hashlib.blake2b(line, digest_size=16).digest() + b"\n"
+
+
+def read_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[Lines, np.ndarray, np.ndarray]:
+    """The lines of texts that lie behind each other, and each text's first line and first word."""
     starts, ends, first = word_bounds(data, offsets)
-    hashes = word_hashes(data, starts, ends, fold=False)
-    m = len(hashes)
+    cuts = np.union1d(np.flatnonzero(data == 10) + 1, offsets)  # lines end at \n and at the end of each text
+    begin, end = cuts[:-1], cuts[1:]
+    symbol = np.zeros(256, bool)
+    symbol[list(SYMBOLS)] = True
+    masks = ((data & 0xC0) != 0x80, is_separator(data), symbol[data], (data >= 65) & (data <= 90), (data >= 97) & (data <= 122), (data >= 48) & (data <= 57), data == 33, (data >= 33) & (data <= 126))
+    counts = np.zeros((len(begin), COUNTS), np.int64)
+    if len(begin):
+        for i, mask in enumerate(masks):
+            counts[:, i] = np.add.reduceat(mask, begin, dtype=np.int64)
+        newline = data[end - 1] == 10
+        counts[:, :2] -= newline[:, None]
+    else:
+        newline = np.zeros(0, bool)
+    line_of = np.searchsorted(begin, starts, side="right") - 1
+    words, last = np.bincount(line_of, minlength=len(begin)), np.zeros(len(begin), np.uint8)
+    last[line_of] = data[ends - 1]
+    raw = data.tobytes()
+    keys = [_key(raw[a:b]) for a, b in zip(begin.tolist(), (end - newline).tolist(), strict=True)]
+    return Lines(counts, words, last, keys, word_hashes(data, starts, ends, fold=False), line_of), np.searchsorted(begin, offsets), first
+
+
+def _long_parts(data: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, bool]]:
+    """Parts of one long text and whether the last line goes on in the next: behind a \n, or inside a line between words."""
+    at = 0
+    while at < len(data):
+        end = min(len(data), at + size)
+        ends = np.flatnonzero(data[at:end] == 10)
+        if end < len(data) and len(ends):
+            end = at + int(ends[-1]) + 1
+        elif end < len(data):
+            end = at + len(next(cut(data[at:], size)))
+        yield data[at:end], bool(end < len(data) and data[end - 1] != 10)
+        at = end
+
+
+def read_long(data: np.ndarray, size: int = SMALL_PIECE) -> Lines:
+    """The lines of one long text, read in parts."""
+    made, lines, goes_on, digest, length = [], 0, False, None, 0
+    for part, open_ in _long_parts(data, size):
+        own, _, _ = read_lines(part, np.array([0, len(part)], np.int64))
+        if goes_on or (open_ and len(own.keys)):
+            raw = part.tobytes().split(b"\n")
+            pieces_of_line = [raw[0]] * goes_on + [raw[-1]] * (open_ and (len(raw) > 1 or not goes_on))
+            for i, piece in enumerate(pieces_of_line):
+                if i or not goes_on:
+                    digest, length = hashlib.blake2b(digest_size=16), 0
+                    kept = b""
+                digest.update(piece)
+                kept, length = (kept + piece)[: LINE_KEPT + 1], length + len(piece)
+                own.keys[0 if goes_on and not i else -1] = kept if length <= LINE_KEPT else digest.digest() + b"\n"
+        if goes_on:  # the first line is the rest of the last one
+            before = made[-1]
+            before.counts[-1] += own.counts[0]
+            before.words[-1] += own.words[0]
+            before.last[-1] = own.last[0] if own.words[0] else before.last[-1]
+            before.keys[-1] = own.keys[0]
+            own.line_of += lines - 1
+            own.counts, own.words, own.last, own.keys = own.counts[1:], own.words[1:], own.last[1:], own.keys[1:]
+            if not len(own.keys):  # nothing but the rest of that line
+                before.hashes, before.line_of = np.append(before.hashes, own.hashes), np.append(before.line_of, own.line_of)
+                goes_on = open_
+                continue
+        else:
+            own.line_of += lines
+        lines += len(own.keys)
+        made.append(own)
+        goes_on = open_
+    join = lambda name: np.concatenate([getattr(m, name) for m in made])
+    return Lines(join("counts"), join("words"), join("last"), [k for m in made for k in m.keys], join("hashes"), join("line_of"))
+
+
+def measure(texts: Texts, size: int = PIECE_BYTES) -> Iterator[Measured]:
+    """Base counts and line features of each text of a piece; a text of more than ``size`` bytes is read in parts."""
+    if len(texts) == 1 and len(texts.data) > size:
+        lines = read_long(texts.data, min(size, SMALL_PIECE))
+        line_first, first = np.array([0, len(lines.keys)]), np.array([0, len(lines.hashes)])
+    else:
+        lines, line_first, first = read_lines(texts.data, texts.offsets)
+    hashes, m = lines.hashes, len(lines.hashes)
     three = np.zeros(m, np.uint64)
     if m > 2:
         three[: m - 2] = mix(hashes[:-2] * np.uint64(3) + mix(hashes[1:-1] * np.uint64(5) + mix(hashes[2:])))
-    cuts = np.union1d(np.flatnonzero(data == 10) + 1, offsets)  # lines end at \n and at the end of each text
-    line_of = mix(np.searchsorted(cuts, starts, side="right").astype(np.uint64))
+    line_of = mix(lines.line_of.astype(np.uint64))
     repeated, within = np.zeros(m, bool), np.zeros(m, bool)
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         if b - a > 3:
@@ -122,49 +208,41 @@ def measure(texts: Texts) -> Iterator[Measured]:
     inner_repeats = np.zeros(m + 1, np.int64)
     np.cumsum(within, out=inner_repeats[1:])
 
-    line_start, line_end = cuts[:-1], cuts[1:]
-    body_end = line_end - (data[line_end - 1] == 10) if n else line_end
-    word_a, word_b = np.searchsorted(starts, line_start), np.searchsorted(starts, line_end)
-    full = word_b > word_a
-    line_start, body_end, word_a, word_b = line_start[full], body_end[full], word_a[full], word_b[full]
-    of = lambda sums: sums[body_end] - sums[line_start]
-    chars, words = of(lead), word_b - word_a
-    letters = np.maximum(1, of(big) + of(small))
-    ink = np.maximum(1, chars - of(blank))
-    raw = data.tobytes()
-    duplicate = np.zeros(len(words), bool)
-    line_first = np.searchsorted(line_start, offsets)
-    lines, bodies = line_start.tolist(), body_end.tolist()
+    duplicate = np.zeros(len(lines.keys), bool)
     for a, b in zip(line_first[:-1].tolist(), line_first[1:].tolist(), strict=True):
         if b - a > 1:
             seen: set[bytes] = set()
             for i in range(a, b):
-                line = raw[lines[i] : bodies[i]]
-                if line in seen:
-                    duplicate[i] = True
+                line = lines.keys[i]
+                duplicate[i] = line in seen
                 seen.add(line)
-    last = data[ends[word_b - 1] - 1] if len(words) else np.zeros(0, np.uint8)
+    full = np.flatnonzero(lines.words)
+    line_first = np.searchsorted(full, line_first)
+    duplicate, words, last = duplicate[full], lines.words[full], lines.last[full]
+    word_b = np.cumsum(lines.words)[full]
+    word_a = word_b - words
+    counts = lines.counts[full]
+    chars, blank, symbols, big, small, digits, shouts, marks = counts.T
+    letters, ink = np.maximum(1, big + small), np.maximum(1, chars - blank)
     features = np.stack(
         [
             np.ones(len(words)),
             np.log1p(words) / 5,
-            np.minimum(1, 5 * of(symbols) / ink),
-            of(big) / letters,
-            np.minimum(1, of(shouts) / words),
+            np.minimum(1, 5 * symbols / ink),
+            big / letters,
+            np.minimum(1, shouts / words),
             (inner_repeats[word_b] - inner_repeats[word_a]) / words,
             duplicate,
-            of(digits) / ink,
+            digits / ink,
             words < 3,
             np.isin(last, list(b".!?:\"")),
             np.minimum(2, ink / words / 8),
-            (of(marks) - of(big) - of(small) - of(digits)) / ink,
+            (marks - big - small - digits) / ink,
         ],
         axis=1,
     )
-    for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
-        u, v, p, q = line_first[i], line_first[i + 1], first[i], first[i + 1]
-        total = lambda sums: int(sums[b] - sums[a])  # noqa: B023, E731
-        yield Measured(int(q - p), total(lead) - total(blank), total(symbols), int(duplicate[u:v].sum()), int(repeats[q] - repeats[p]), chars[u:v], features[u:v])
+    for u, v, p, q in zip(line_first[:-1], line_first[1:], first[:-1], first[1:], strict=True):
+        yield Measured(int(q - p), int((chars - blank)[u:v].sum()), int(symbols[u:v].sum()), int(duplicate[u:v].sum()), int(repeats[q] - repeats[p]), chars[u:v], features[u:v])
 
 
 def _log_add(x: np.ndarray, axis: int) -> np.ndarray:
@@ -172,24 +250,43 @@ def _log_add(x: np.ndarray, axis: int) -> np.ndarray:
     return (most + np.log(np.exp(x - most).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
+def spliced(documents: list[tuple[int, np.ndarray]], seed: int = 1) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(labels, features) of sequences of a run of lines from a good and one from a bad document, in either order.
+
+    Each run of the label that has more of them is used once, runs of the other label go round.
+    """
+    runs = {y: [x[i : i + CHUNK] for label, x in documents if label == y for i in range(0, len(x), CHUNK)] for y in (0, 1)}
+    if not (runs[0] and runs[1]):
+        return []
+    dice, n = np.random.default_rng(seed), max(len(runs[0]), len(runs[1]))
+    for own in runs.values():
+        dice.shuffle(own)
+    out = []
+    for i, first in enumerate(dice.integers(0, 2, n).tolist()):
+        one, two = runs[first][i % len(runs[first])], runs[1 - first][i % len(runs[1 - first])]
+        out.append((np.repeat([first, 1 - first], [len(one), len(two)]), np.concatenate([one, two])))
+    return out
+
+
 def fit_field(documents: list[tuple[int, np.ndarray]], rounds: int = 120, rate: float = 0.1, decay: float = 1e-3) -> LineField:
     """Maximum likelihood of label sequences by forward-backward, all sequences of a round at once, with Adam steps."""
-    runs = [(y, x[i : i + CHUNK]) for y, x in documents for i in range(0, len(x), CHUNK)]
-    if len({y for y, _ in runs}) < 2:
+    runs = spliced(documents)
+    if not runs:
         return PRIOR
     n, longest = len(runs), max(len(x) for _, x in runs)
-    x, there = np.zeros((n, longest, len(FEATURES))), np.zeros((n, longest), bool)
-    y = np.array([label for label, _ in runs])
-    for i, (_, own) in enumerate(runs):
-        x[i, : len(own)], there[i, : len(own)] = own, True
-    # both labels count alike, however many lines each has
-    share = there.sum(axis=1)
-    per = np.where(y == 1, 0.5 / share[y == 1].sum(), 0.5 / share[y == 0].sum())
+    x, there, y = np.zeros((n, longest, len(FEATURES)), np.float32), np.zeros((n, longest), bool), np.zeros((n, longest))
+    for i, (label, own) in enumerate(runs):
+        x[i, : len(own)], there[i, : len(own)], y[i, : len(own)] = own, True, label
+    # a line of either label counts alike, however many there are
+    per = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (there - y).sum())) * there
+    each = per.sum(axis=1) / np.maximum(1, there.sum(axis=1))
+    pairs = there[:, 1:]
+    gold = np.array([[(each[:, None] * pairs * (y[:, :-1] == a) * (y[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)])
     w, moves = np.zeros(len(FEATURES)), np.zeros((2, 2))
     first, second = np.zeros(w.size + 4), np.zeros(w.size + 4)
     for step in range(1, rounds + 1):
         score = np.zeros((n, longest, 2))
-        score[:, :, 1] = x @ w
+        score[:, :, 1] = x @ w.astype(np.float32)
         ahead, behind = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
         ahead[:, 0] = score[:, 0]
         for t in range(1, longest):
@@ -200,12 +297,9 @@ def fit_field(documents: list[tuple[int, np.ndarray]], rounds: int = 120, rate:
         total = _log_add(ahead + behind, 2)[:, :1]
         ahead, behind = ahead - total[:, :, None], behind
         marginal = np.exp(ahead + behind)[:, :, 1] * there
-        node = ((y[:, None] * there - marginal)[:, :, None] * x * per[:, None, None]).sum((0, 1))
+        node = np.einsum("ij,ijk->k", (y - marginal) * each[:, None], x)
         pair = np.exp(ahead[:, :-1, :, None] + moves + (score + behind)[:, 1:, None, :]) * there[:, 1:, None, None]
-        edge = -(pair * per[:, None, None, None]).sum((0, 1))
-        same = np.maximum(share - 1, 0) * per
-        edge[1, 1] += same[y == 1].sum()
-        edge[0, 0] += same[y == 0].sum()
+        edge = gold - (pair * each[:, None, None, None]).sum((0, 1))
         slope = np.concatenate([node, edge.ravel()]) - decay * np.concatenate([w, moves.ravel()])
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
         move = rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
@@ -213,8 +307,16 @@ def fit_field(documents: list[tuple[int, np.ndarray]], rounds: int = 120, rate:
     return LineField(w, moves)
 
 
-def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", label: str = "quality", most_docs: int = TRAIN_DOCS) -> LineField:
-    """Fits the field on at most ``most_docs`` labelled documents."""
+def _some_runs(features: np.ndarray, most: int) -> np.ndarray:
+    """All lines, or of very many ``most`` in runs at even distances."""
+    if len(features) <= most:
+        return features
+    starts = np.linspace(0, len(features) - CHUNK, max(1, most // CHUNK)).astype(np.int64)
+    return np.concatenate([features[a : a + CHUNK] for a in starts])
+
+
+def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", label: str = "quality", most_docs: int = TRAIN_DOCS, most_lines: int = TRAIN_LINES) -> LineField:
+    """Fits the field on at most ``most_docs`` labelled documents, ``most_lines`` lines of each."""
     bound_batches(docs.sparkSession)
     sample = labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(label).cast("int").alias("y"))
     sample = hashed_sample(sample, "i", most_docs)
@@ -222,14 +324,13 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in pieces(parts, "text", SMALL_PIECE):
-            made = [m.features.astype(np.float32).ravel() for m in measure(texts)]
-            made = [x if 0 < len(x) <= TRAIN_LINES * len(FEATURES) else None for x in made]
-            out = pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(made, pa.list_(pa.float32()))], names=["i", "y", "x"])
-            yield out.filter(out.column(2).is_valid())
+            made = [_some_runs(m.features, most_lines).astype(np.float32).tobytes() for m in measure(texts)]
+            out = pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(made, pa.binary())], names=["i", "y", "x"])
+            yield out.filter(pa.array([bool(x) for x in made], pa.bool_()))
 
     kind = source.schema["i"].dataType.simpleString()
-    rows = source.mapInArrow(batches, f"i {kind}, y int, x array<float>").orderBy("i", "y").limit(most_docs).collect()
-    return fit_field([(1 if y else 0, np.array(x).reshape(-1, len(FEATURES))) for _, y, x in rows])
+    rows = source.mapInArrow(batches, f"i {kind}, y int, x binary").orderBy("i", "y").limit(most_docs).collect()
+    return fit_field([(1 if y else 0, np.frombuffer(x, np.float32).reshape(-1, len(FEATURES))) for _, y, x in rows])
 
 
 def judge(docs: DataFrame, field: LineField, text: str = "text", id_col: str = "doc_id", keep: list[str] | None = None) -> DataFrame:

@@ -78,11 +78,11 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bo
     return mix(found[0] | found[1] << np.uint64(31))
 
 
-def cut(data: np.ndarray) -> Iterator[np.ndarray]:
+def cut(data: np.ndarray, size: int | None = None) -> Iterator[np.ndarray]:
     """Pieces of one long text, cut behind separators where there is one near."""
-    at = 0
+    at, size = 0, size or PIECE_BYTES
     while at < len(data):
-        end = min(len(data), at + PIECE_BYTES)
+        end = min(len(data), at + size)
         if end < len(data):
             near = np.flatnonzero((data[at:end] == 32) | ((data[at:end] >= 9) & (data[at:end] <= 13)))
             if len(near):
@@ -95,17 +95,20 @@ def cut(data: np.ndarray) -> Iterator[np.ndarray]:
         at = end
 
 
+def bounded(texts: Texts) -> list[Texts]:
+    """The texts as they are, or one long text in parts of whole words."""
+    if len(texts) == 1 and len(texts.data) > PIECE_BYTES:
+        return [Texts.of(piece, np.array([0, len(piece)], np.int64)) for piece in cut(texts.data)]
+    return [texts]
+
+
 def words_of(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all words, and how many words lie before each text (one more entry than texts)."""
-    if len(texts) == 1 and len(texts.data) > PIECE_BYTES:
-        made = []
-        for piece in cut(texts.data):
-            starts, ends, _ = word_bounds(piece, np.array([0, len(piece)], np.int64))
-            made.append(word_hashes(piece, starts, ends))
-        hashes = np.concatenate(made) if made else np.zeros(0, np.uint64)
-        return hashes, np.array([0, len(hashes)], np.int64)
-    starts, ends, before = word_bounds(texts.data, texts.offsets)
-    return word_hashes(texts.data, starts, ends), before
+    made = []
+    for part in bounded(texts):
+        starts, ends, before = word_bounds(part.data, part.offsets)
+        made.append(word_hashes(part.data, starts, ends))
+    return (made[0], before) if len(made) == 1 else ((hashes := np.concatenate(made)), np.array([0, len(hashes)], np.int64))
 
 
 def shingle_sets(texts: Texts, k: int) -> Iterator[np.ndarray]:
