@@ -8,8 +8,14 @@ The model is trained on at most TRAIN_DOCS documents of each language, in order
 n-gram counts, and the driver gets BUCKETS counts for each language. A script is a candidate's if LEAST_SHARE of the
 language's words begin in it.
 
+Viterbi runs in chunks of words: what a chunk does to the scores of all languages is worked out for all chunks at once,
+these maps are composed, and with the scores at the start of each chunk known all chunks are decoded side by side.
+
 Edge cases: a text that is null or has no letter is ``und`` with score 0; so is every text if nothing could be learned.
-Words without letters belong to the span around them. Repeated rows give repeated rows; an empty table an empty table.
+Words without letters belong to the span around them. Words in a script that no language admits count for none: a text of
+such words only gets the first language by name, with score 0. Of languages with equally many characters the first by name
+is predicted. A text of any length is read in bounded parts, of which only numbers for each word are kept. Repeated rows
+give repeated rows; an empty table an empty table. Other columns, whatever their names, are not carried along.
 """
 
 from __future__ import annotations
@@ -23,13 +29,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitforge.llm.sampling import hashed_sample_by
-from hitforge.llm.shingles import mix, word_hashes
+from hitforge.llm.shingles import bounded, mix, word_hashes
 from hitforge.llm.text_batches import Texts, bound_batches, pieces, word_bounds
 from hitforge.llm.transducer import E, L, LETTER, R_OR_V, STMD, class_table
+from hitforge.storage import written
 
 TRAIN_DOCS = 1000
+#: Ids of training documents that may be broadcast, after a count; more, of very many languages, go through a shuffle join.
+BROADCAST_IDS = 1_000_000
 BUCKETS, LENGTHS = 1 << 15, (1, 2, 3, 4)
 LEAST_SHARE = 0.001
+#: Words of a chunk, and the most languages for which maps of chunks are worked out; with more, a text is one chunk.
+CHUNK, FEW = 512, 16
 #: Log odds that a switch of language costs, and the most that one word can say against a language.
 SWITCH, MOST = 6.0, 8.0
 
@@ -116,34 +127,68 @@ class LanguageModel:
         logs[~said] = 0
         return logs
 
-    def label(self, words: Words) -> np.ndarray:
-        """The language of every word by Viterbi, all texts of the piece step by step together, longest first."""
-        emit = self.scores(words)
-        counts = np.diff(words.first)
-        order = np.argsort(-counts, kind="stable")
-        begins, counts = words.first[:-1][order], counts[order]
-        steps, out = int(counts[0]) if len(counts) else 0, np.zeros(len(words.which), np.int8)
-        active = np.searchsorted(-counts, -np.arange(steps), side="left")  # texts longer than t
-        best = np.zeros((int(active[0]) if steps else 0, len(self.languages)))
-        switched = np.zeros((len(words.which), len(self.languages)), bool)
-        source = np.zeros(len(words.which), np.int8)
-        for t in range(steps):
-            n = active[t]
-            at, best = begins[:n] + t, best[:n]
-            if t:
-                top = best.argmax(axis=1)
-                moved = best[np.arange(n), top] - SWITCH
-                switched[at] = moved[:, None] > best
-                source[at] = top
-                best = np.maximum(best, moved[:, None])
-            best = best + emit[words.which[at]]
-            ended = np.arange(active[t + 1] if t + 1 < steps else 0, n)
-            out[at[ended]] = best[ended].argmax(axis=1)
-        for t in range(steps - 1, 0, -1):
-            at = begins[: active[t]] + t
-            now = out[at]
-            out[at - 1] = np.where(switched[at, now], source[at], now)
-        return out
+    def said(self, words: Words) -> np.ndarray:
+        """Which distinct words have a letter, of a script that some language admits."""
+        return words.lettered & self.admits[words.scripts].any(axis=1)
+
+
+def viterbi(emit: np.ndarray, first: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
+    """The best label of every word, from scores [word, label], where ``first`` tells the first word of each text."""
+    n, labels = emit.shape
+    counts = np.diff(first)
+    chunk = chunk if labels <= FEW else max(1, int(counts.max(initial=1)))
+    per_text = -(-counts // chunk)
+    text = np.repeat(np.arange(len(counts)), per_text)
+    begins = first[text] + chunk * (np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text))
+    sizes = np.minimum(begins + chunk, first[text + 1]) - begins
+    goes_on = np.append(text[1:] == text[:-1], False) if len(text) else np.zeros(0, bool)
+
+    def active(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks in order of length, and how many are longer than t, for each t."""
+        order = which[np.argsort(-sizes[which], kind="stable")]
+        return order, np.searchsorted(-sizes[order], -np.arange(int(sizes[order].max(initial=0))), side="left")
+
+    start = np.zeros((len(text), labels))
+    order, longer = active(np.flatnonzero(goes_on))
+    maps = np.full((len(order), labels, labels), -1e18)
+    maps[:, np.arange(labels), np.arange(labels)] = 0
+    for t, m in enumerate(longer):
+        part = maps[:m]
+        np.maximum(part, part.max(axis=2, keepdims=True) - SWITCH, out=part)
+        part += emit[begins[order[:m]] + t][:, None, :]
+    for i in np.argsort(order, kind="stable"):
+        ahead = (start[order[i]][:, None] + maps[i]).max(axis=0)
+        start[order[i] + 1] = ahead - ahead.max()
+
+    switched, source, out = np.zeros((n, labels), bool), np.zeros(n, np.int16), np.zeros(n, np.int16)
+    order, longer = active(np.arange(len(text)))
+    best = start[order]
+    for t, m in enumerate(longer):
+        at, own = begins[order[:m]] + t, best[:m]
+        top = own.argmax(axis=1)
+        moved = own[np.arange(m), top] - SWITCH
+        switched[at], source[at] = moved[:, None] > own, top
+        np.maximum(own, moved[:, None], out=own)
+        own += emit[at]
+    last = np.empty(len(text), np.int64)
+    last[order] = best.argmax(axis=1)
+
+    # the label before each chunk, for each label at its end
+    behind, longer = active(np.flatnonzero(np.append(False, goes_on[:-1])) if len(text) else np.zeros(0, np.int64))
+    before = np.repeat(np.arange(labels)[None, :], len(behind), axis=0)
+    for t in range(len(longer) - 1, -1, -1):
+        at, own = begins[behind[: longer[t]]] + t, before[: longer[t]]
+        before[: longer[t]] = np.where(np.take_along_axis(switched[at], own, axis=1), source[at][:, None], own)
+    for i in np.argsort(-behind, kind="stable"):
+        last[behind[i] - 1] = before[i, last[behind[i]]]
+
+    order, longer = active(np.arange(len(text)))
+    out[begins + sizes - 1] = last
+    for t in range(len(longer) - 1, 0, -1):
+        at = begins[order[: longer[t]]] + t
+        now = out[at]
+        out[at - 1] = np.where(switched[at, now], source[at], now)
+    return out
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -156,18 +201,21 @@ def train(docs: DataFrame, text: str = "text", language: str = "lang", id_col: s
     bound_batches(docs.sparkSession)
     usable = docs.filter(F.col(id_col).isNotNull() & F.col(language).isNotNull() & F.col(text).isNotNull() & ~held_out(id_col))
     chosen = hashed_sample_by(usable.select(F.col(id_col).alias("i"), F.col(language).cast("string").alias("lang")), "lang", "i", most).distinct()
-    source = usable.select(F.col(id_col).alias("i"), F.col(text).cast("string").alias("text")).join(F.broadcast(chosen), "i").select("lang", "text")
+    chosen = written(chosen)
+    chosen = F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else chosen
+    source = usable.select(F.col(id_col).alias("i"), F.col(text).cast("string").alias("text")).join(chosen, "i").select("lang", "text")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for part, texts in pieces(parts, "text"):
-            words, langs = read_words(texts), part.column(0).to_pylist()
-            for lang in set(langs):
-                mine = [np.arange(words.first[i], words.first[i + 1]) for i, x in enumerate(langs) if x == lang]
-                times = np.bincount(words.which[np.concatenate(mine)], minlength=len(words.lettered)) * words.lettered
-                grams = np.bincount(words.grams, weights=times[words.gram_of], minlength=BUCKETS)
-                scripts = np.bincount(words.scripts, weights=times, minlength=N_SCRIPTS)
-                sums[lang] = sums.get(lang, 0) + np.concatenate([grams, scripts])
+            langs = part.column(0).to_pylist()
+            for words in map(read_words, bounded(texts)):
+                for lang in set(langs):
+                    mine = [np.arange(words.first[i], words.first[i + 1]) for i, x in enumerate(langs) if x == lang]
+                    times = np.bincount(words.which[np.concatenate(mine)], minlength=len(words.lettered)) * words.lettered
+                    grams = np.bincount(words.grams, weights=times[words.gram_of], minlength=BUCKETS)
+                    scripts = np.bincount(words.scripts, weights=times, minlength=N_SCRIPTS)
+                    sums[lang] = sums.get(lang, 0) + np.concatenate([grams, scripts])
         for lang, total in sums.items():
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(total[at])], names=["lang", "at", "n"])
@@ -194,27 +242,33 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", id_col:
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(model.languages)
         for part, texts in pieces(parts, "_text"):
-            words = read_words(texts)
-            known = words.lettered[words.which] if n else np.zeros(len(words.which), bool)
-            labels = model.label(words) if n else np.zeros(len(words.which), np.int8)
-            owner = np.repeat(np.arange(len(texts)), np.diff(words.first))
-            sizes = (words.ends - words.starts) * known
-            share = np.bincount(owner * max(1, n) + labels, weights=sizes, minlength=len(texts) * max(1, n)).reshape(len(texts), -1)
-            total, best = share.sum(axis=1), share.argmax(axis=1)
-            predicted = [model.languages[b] if t else "und" for b, t in zip(best.tolist(), total.tolist(), strict=True)]
+            made, counts, at = [], np.zeros(len(texts), np.int64), 0
+            for piece in bounded(texts):
+                words = read_words(piece)
+                counts += np.diff(words.first)
+                known, said = words.lettered[words.which], (model.said(words) if n else np.zeros(len(words.lettered), bool))[words.which]
+                made.append((words.starts + at, words.ends + at, known, said, model.scores(words)[words.which].astype(np.float32) if n else None))
+                at += len(piece.data)
+            starts, ends, known, said = (np.concatenate([m[i] for m in made]) for i in range(4))
+            first = np.append(0, np.cumsum(counts))
+            labels = viterbi(np.concatenate([m[4] for m in made]), first) if n else np.zeros(len(starts), np.int16)
+            owner, sizes = np.repeat(np.arange(len(texts)), counts), ends - starts
+            share = np.bincount(owner * max(1, n) + labels, weights=sizes * said, minlength=len(texts) * max(1, n)).reshape(len(texts), -1)
+            total = np.bincount(owner, weights=sizes * known, minlength=len(texts))
+            predicted = [model.languages[b] if t and n else "und" for b, t in zip(share.argmax(axis=1).tolist(), total.tolist(), strict=True)]
             score = share.max(axis=1) / np.maximum(1, total)
             columns = [part.column(0), pa.array(predicted, pa.string()), pa.array(score)]
             if spans:
-                columns.append(pa.array([_spans(words, labels, known, i, int(texts.offsets[i]), model.languages) for i in range(len(texts))], span_type))
+                columns.append(pa.array([_spans(starts[a:b] - o, ends[a:b] - o, labels[a:b], known[a:b], model.languages) for a, b, o in zip(first[:-1], first[1:], texts.offsets[:-1], strict=True)], span_type))
             yield pa.RecordBatch.from_arrays(columns, names=[id_col, "lang_pred", "score", "spans"][: len(columns)])
 
     shape = f"`{id_col}` {source.schema[id_col].dataType.simpleString()}, lang_pred string, score double"
     return source.mapInArrow(batches, shape + ", spans array<struct<start:bigint,end:bigint,lang:string>>" * spans)
 
 
-def _spans(words: Words, labels: np.ndarray, known: np.ndarray, i: int, begin: int, languages: tuple[str, ...]) -> list[dict]:
-    a, b = words.first[i], words.first[i + 1]
-    if not known[a:b].any():
+def _spans(starts: np.ndarray, ends: np.ndarray, labels: np.ndarray, known: np.ndarray, languages: tuple[str, ...]) -> list[dict]:
+    """Stretches of words of one label, of one text."""
+    if not known.any() or not languages:
         return []
-    cuts = np.concatenate([[a], np.flatnonzero(np.diff(labels[a:b])) + a + 1, [b]])
-    return [{"start": int(words.starts[u]) - begin, "end": int(words.ends[v - 1]) - begin, "lang": languages[labels[u]]} for u, v in zip(cuts, cuts[1:], strict=False)]
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(labels)) + 1, [len(labels)]])
+    return [{"start": int(starts[u]), "end": int(ends[v - 1]), "lang": languages[labels[u]]} for u, v in zip(cuts, cuts[1:], strict=False)]
