@@ -43,19 +43,28 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share
     """source, source_size, target from one row for each source.
 
     Resharing what lies above the limits by weight ends where every source has a common rate times its weight, or its
-    limit. Sorted by limit over weight, the sources at their limit come first; running sums give the rate.
+    limit. Each round finds the sources that the rate of the last one brings to their limits, until none is new: rounds are
+    sums over the sources, of which there may be very many.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    by_ratio = Window.orderBy("ratio", F.col("source").asc_nulls_last())
-    rest = by_ratio.rowsBetween(0, Window.unboundedFollowing)
-    done = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    weight = F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
-    sized = sources.withColumn("weight", weight).withColumn("bound", F.col("source_size") * most).withColumn("ratio", F.col("bound") / F.col("weight"))
-    whole = F.sum("source_size").over(Window.partitionBy()) * share
-    rated = sized.withColumn("rate", (whole - F.coalesce(F.sum("bound").over(done), F.lit(0.0))) / F.sum("weight").over(rest))
-    # the first source in this order that stays under its limit has the common rate
-    common = F.min(F.when(F.col("rate") <= F.col("ratio"), F.struct("ratio", "source", "rate"))).over(Window.partitionBy())["rate"]
-    return rated.withColumn("common", common).select("source", "source_size", F.least("bound", F.coalesce(F.col("common") * F.col("weight"), F.col("bound"))).alias("target"))
+    sized = written(_numbered(sources).withColumn("bound", F.col("source_size") * most).withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), ((F.col("place") - 1) % len(weights) + 1).cast("int"))))
+    whole, rate, full = share * (sized.agg(F.sum("source_size")).first()[0] or 0), 0.0, -1
+    while True:
+        over = F.col("bound") < rate * F.col("weight")
+        n, bounds, free = sized.agg(F.count_if(over), F.coalesce(F.sum(F.when(over, F.col("bound"))), F.lit(0.0)), F.sum(F.when(~over, F.col("weight")))).first()
+        if n == full or not free:
+            break
+        full, rate = n, (whole - bounds) / free
+    target = F.least("bound", rate * F.col("weight")) if free else F.col("bound")
+    return sized.select("source", "source_size", target.cast("double").alias("target"))
+
+
+def _numbered(sources: DataFrame) -> DataFrame:
+    """``sources`` with ``place``, from 1 on in order of names by code point, null last: ranges of names, and their offsets."""
+    ranges = written(sources.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("range", F.spark_partition_id()))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = ranges.groupBy("range").agg(F.count(F.lit(1)).alias("n")).select("range", before.alias("before"))
+    inner = F.row_number().over(Window.partitionBy("range").orderBy(F.col("source").asc_nulls_last()))
+    return ranges.withColumn("inner", inner).join(offsets, "range").withColumn("place", F.col("inner") + F.col("before")).drop("range", "inner", "before")
 
 
 def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.ndarray:
