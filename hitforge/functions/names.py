@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 TOKEN = r"[\p{L}\p{N}_]+"
 
 
+def bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f(c) with c worked out once, however often f mentions it, in whatever place the optimizer puts the result."""
+    return F.get(F.transform(F.array(c), f), 0)
+
+
 def strip(c: Column) -> Column:
     """Without Unicode white space at both ends."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -58,8 +63,7 @@ def collapse_spaces(c: Column) -> Column:
 def strip_name(name: Column, patterns: Sequence[str]) -> Column:
     """Applies strip patterns in order and tidies the rest; null if nothing is left."""
     stripped = reduce(lambda c, p: F.regexp_replace(c, f"(?iU){p}", ""), patterns, name)
-    tidy = collapse_spaces(stripped)
-    return F.when(tidy != "", tidy)
+    return bound(collapse_spaces(stripped), lambda tidy: F.when(tidy != "", tidy))
 
 
 def bad_exact(name: Column, values: Sequence[str]) -> Column:

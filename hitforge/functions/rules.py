@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitforge.functions.names import bad_exact, bad_regex, bad_substring, strip_name
+from hitforge.functions.names import bad_exact, bad_regex, bad_substring, bound, strip_name
 
 #: Plain rules of up to this many characters must be the whole name; longer ones may stand anywhere in it.
 EXACT = 6
@@ -29,15 +29,14 @@ class RuleSet:
 
     def is_bad_name(self, name: Column) -> Column:
         """Empty, or hit by an exact, substring or pattern rule."""
-        hit = bad_exact(name, self.exact) | bad_substring(name, self.substring) | bad_regex(name, self.regex)
-        return F.coalesce((name == "") | hit, F.lit(True))
+        return bound(name, lambda n: F.coalesce((n == "") | bad_exact(n, self.exact) | bad_substring(n, self.substring) | bad_regex(n, self.regex), F.lit(True)))
 
     def is_bad_symbol(self, symbol: Column) -> Column:
         return F.coalesce((symbol == "") | bad_regex(symbol, self.symbol), F.lit(True))
 
     def valid_symbol(self, symbol: Column) -> Column:
         """The symbol, or an empty text where it is bad."""
-        return F.when(self.is_bad_symbol(symbol), "").otherwise(symbol)
+        return bound(symbol, lambda s: F.when(self.is_bad_symbol(s), "").otherwise(s))
 
     def table(self, spark: SparkSession) -> DataFrame:
         """(kind, rule) rows."""

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from hitforge.functions.names import extract_accessions, normalize_name
 from hitforge.functions.rules import RuleSet
 from hitforge.functions.similarity import pair_alike
+from hitforge.operators.hits import one_value
 
 #: Averages this close count as equal, as sums of floats depend on their order.
 NEAR = 1e-12
@@ -149,9 +150,9 @@ def top_hits(hits: DataFrame, n: int = 5) -> DataFrame:
 
 
 def xref_symbol(accessions: DataFrame, id_map: DataFrame, gene_info: DataFrame) -> DataFrame:
-    """Adds the symbol behind each accession by way of its gene id; empty where there is none."""
-    ids = id_map.select("accession", F.col("gene_id").alias("ncbi_id"))
-    info = gene_info.select(F.col("gene_id").alias("ncbi_id"), F.col("symbol").alias("ncbi_symbol"))
+    """Adds the symbol behind each accession by way of its gene id; empty where there is none. The last line of a key counts."""
+    ids = one_value(id_map, "accession", "gene_id").select("accession", F.col("gene_id").alias("ncbi_id"))
+    info = one_value(gene_info, "gene_id", "symbol").select(F.col("gene_id").alias("ncbi_id"), F.col("symbol").alias("ncbi_symbol"))
     return accessions.join(ids, "accession", "left").join(info, "ncbi_id", "left").withColumn("ncbi_symbol", F.coalesce("ncbi_symbol", F.lit(""))).drop("ncbi_id")
 
 

@@ -69,10 +69,14 @@ def annotate_headers(records: DataFrame, annotations: DataFrame) -> DataFrame:
 
 
 def annotate_fasta(records: DataFrame, annotations: DataFrame) -> DataFrame:
-    """(value, ord): records of new header and sequence. A repeated transcript takes the gene of its last record."""
+    """(value, ord): records with a new header where there is one; the lines below stay as they were.
+
+    A repeated transcript takes the gene of its last record.
+    """
     last = records.groupBy("transcript_id").agg(F.max_by("gene_id", "ord").alias("gene_id"))
     joined = annotate_headers(records.drop("gene_id").join(last, "transcript_id"), annotations)
-    return joined.select(F.concat(F.lit(">"), "new_header", F.lit("\n"), "sequence").alias("value"), "ord")
+    changed = F.concat(F.col("new_header"), F.substr("record", F.length(F.substring_index("record", "\n", 1)) + 1))
+    return joined.select(F.concat(F.lit(">"), F.when(F.col("new_header") == F.col("header"), F.col("record")).otherwise(changed)).alias("value"), "ord")
 
 
 def feature_type_counts(features: DataFrame) -> DataFrame:

@@ -63,8 +63,8 @@ def filter_funnel(hits: DataFrame, rules: RuleSet, n: int = 30) -> DataFrame:
 
 
 def transcript_to_gene(hits: DataFrame, transcripts: DataFrame) -> DataFrame:
-    """Adds the gene of each transcript; an unknown transcript is its own gene."""
-    return hits.join(transcripts.select("transcript_id", "gene_id"), "transcript_id", "left").withColumn("gene_id", F.coalesce("gene_id", F.col("transcript_id")))
+    """Adds the gene of each transcript, by its last record where ``ord`` tells; an unknown transcript is its own gene."""
+    return hits.join(one_value(transcripts, "transcript_id", "gene_id"), "transcript_id", "left").withColumn("gene_id", F.coalesce("gene_id", F.col("transcript_id")))
 
 
 def gene_hit_index(hits: DataFrame) -> DataFrame:
@@ -105,10 +105,14 @@ def last_value(rows: DataFrame, key: str, value: str, order: str = "ord") -> Dat
     return rows.groupBy(key).agg(F.max_by(value, order).alias(value))
 
 
+def one_value(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """One row for each key: its last value by ``ord``, or of tables without order, whose keys are unique, its only one."""
+    return last_value(rows, key, value) if "ord" in rows.columns else rows.select(key, value)
+
+
 def fasta_stats(transcripts: DataFrame) -> DataFrame:
-    """One row: sequences, unique genes, unique transcripts, genes with several transcripts."""
-    last = last_value(transcripts, "transcript_id", "gene_id")
-    many = last.groupBy("gene_id").agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("multi_isoform_genes"))
+    """One row: sequences, unique genes, unique transcripts, genes with several sequences, a repeated transcript's included."""
+    many = transcripts.groupBy("gene_id").agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("multi_isoform_genes"))
     return transcripts.agg(F.count(F.lit(1)).alias("sequences"), F.countDistinct("gene_id").alias("genes"), F.countDistinct("transcript_id").alias("transcripts")).crossJoin(F.broadcast(many))
 
 

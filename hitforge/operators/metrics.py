@@ -58,10 +58,25 @@ def annotation_output_counts(annotations: DataFrame) -> DataFrame:
     return annotations.agg(F.count_if(F.coalesce(named, F.lit(False))).alias("annotated"), F.count(F.lit(1)).alias("total"))
 
 
+def queries_lost(stats: DataFrame) -> DataFrame:
+    """One row: queries that have no hit below the e-value threshold, and their percentage, from ``hit_stats``."""
+    lost = F.col("queries_before") - F.col("queries_after")
+    return stats.select(lost.alias("queries_lost"), percent(lost, F.col("queries_before")).alias("percent_lost"))
+
+
+def labelled(table: DataFrame, key: str, prefix: str = "") -> DataFrame:
+    """(metric, value) of a table with a row for each ``key``: the metric is prefix, key and column."""
+    values = [c for c in table.columns if c != key]
+    pairs = F.array(*[F.struct(F.concat(F.lit(prefix), F.col(key), F.lit(f"_{c}")).alias("metric"), F.col(c).cast("double").alias("value")) for c in values])
+    return table.select(F.explode(pairs).alias("p")).select("p.metric", "p.value")
+
+
 def run_summary(*tables: DataFrame) -> DataFrame:
-    """(metric, value) rows of one-row tables."""
+    """(metric, value) rows of one-row tables, and of tables that already have this form."""
 
     def melted(table: DataFrame) -> DataFrame:
+        if table.columns == ["metric", "value"]:
+            return table
         pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in table.columns])
         return table.select(F.explode(pairs).alias("p")).select("p.metric", "p.value")
 

@@ -53,14 +53,20 @@ def namespace_filter(terms: DataFrame, primary: DataFrame, namespaces: tuple[str
     return terms.join(good, "go_id", "left_semi")
 
 
-def most_specific_terms(terms: DataFrame, paths: DataFrame, key: str = "gene_id") -> DataFrame:
-    """Drops each term of a gene that has a descendant among the gene's own terms."""
+def specific_intersection(terms: DataFrame, paths: DataFrame, key: str = "gene_id") -> DataFrame:
+    """(key, go_id, n_below) of terms with descendants among the gene's own terms, and how many there are."""
     below = paths.select(F.col("ancestor").alias("go_id"), "descendant")
     if below.count() <= BROADCAST_CLOSURE:
         below = F.broadcast(below)
-    own = terms.select(F.col(key).alias("_g"), F.col("go_id").alias("_d")).distinct()
-    covered = terms.join(below, "go_id").join(own, (F.col(key) == F.col("_g")) & (F.col("descendant") == F.col("_d")), "left_semi").select(key, "go_id").distinct()
-    return terms.join(covered, [key, "go_id"], "left_anti")
+    terms = terms.select(key, "go_id").distinct()
+    own = terms.select(F.col(key).alias("_g"), F.col("go_id").alias("_d"))
+    met = terms.join(below, "go_id").join(own, (F.col(key) == F.col("_g")) & (F.col("descendant") == F.col("_d")))
+    return met.groupBy(key, "go_id").agg(F.countDistinct("descendant").alias("n_below"))
+
+
+def most_specific_terms(terms: DataFrame, paths: DataFrame, key: str = "gene_id") -> DataFrame:
+    """Drops each term of a gene that has a descendant among the gene's own terms."""
+    return terms.join(specific_intersection(terms, paths, key), [key, "go_id"], "left_anti")
 
 
 def hits_go_terms(hits: DataFrame, go_map: DataFrame, keys: list[str]) -> DataFrame:

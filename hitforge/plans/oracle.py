@@ -24,6 +24,12 @@ def jaccard(a: str, b: str) -> str:
     return f"CASE WHEN len({x}) > 0 AND len({y}) > 0 THEN len(list_intersect({x}, {y}))::DOUBLE / len(list_distinct(list_concat({x}, {y}))) ELSE 0.0::DOUBLE END"
 
 
+def equal(a: str, b: str) -> str:
+    """Whether two names have likeness 1: the same text or the same words, whatever the case."""
+    x, y = (f"list_sort(list_distinct(regexp_extract_all(lower({c}), '{TOKENS}')))" for c in (a, b))
+    return f"(lower({a}) = lower({b}) OR (len({x}) > 0 AND {x} = {y}))"
+
+
 HITS = f"""{ctes("ph", "pt", "ptp", "pu")},
 ev AS (SELECT * FROM ph WHERE evalue <= {EVALUE}),
 nm AS (SELECT *, min(ord) OVER (PARTITION BY transcript_id) AS tx_ord, {CLEAN.format(TITLE)} AS name, {SYMBOL} AS symbol FROM ev),
@@ -65,15 +71,23 @@ prim AS (SELECT DISTINCT gene_id, go_id FROM (SELECT gene_id, unnest({KEYS}) AS
 nsp AS (SELECT gene_id, go_id FROM prim JOIN po_terms ON go_id = id WHERE namespace IN ('biological_process', 'molecular_function')),
 paths AS (WITH RECURSIVE c(ancestor, descendant) AS (SELECT parent, child FROM po_edges UNION SELECT e.parent, c.descendant FROM c JOIN po_edges e ON e.child = c.ancestor) SELECT * FROM c),
 spec AS (SELECT * FROM nsp t WHERE NOT EXISTS (SELECT 1 FROM paths p JOIN nsp o ON o.go_id = p.descendant WHERE p.ancestor = t.go_id AND o.gene_id = t.gene_id)),
-nspec AS (SELECT gene_id, count(*) AS n_go_terms, string_agg(go_id, ';' ORDER BY go_id) AS go_terms FROM spec GROUP BY gene_id),
+nconc AS (SELECT p.gene_id, avg(CASE WHEN {equal("p.name", "protein_name")} THEN 1 ELSE 0 END) AS name_concordance FROM pool p JOIN ann USING (gene_id) WHERE protein_name <> '' GROUP BY ALL),
+supp AS (SELECT w.gene_id, w.hit_idx, w.subject_id FROM won w JOIN sel USING (gene_id) WHERE w.subject_id LIKE 'sp|%' AND ((gene_symbol <> '' AND lower(w.symbol) = gene_symbol) OR {equal("w.name", "protein_name")})
+    AND NOT EXISTS (SELECT 1 FROM ranked r WHERE r.place <= 5 AND r.gene_id = w.gene_id AND r.hit_idx = w.hit_idx)),
+more AS (SELECT DISTINCT gene_id, go_id FROM (SELECT gene_id, unnest({KEYS}) AS accession FROM supp) JOIN gm USING (accession)),
+labels AS (SELECT gene_id, CASE WHEN max(new) = 1 THEN 'cluster_top5+swissprot_supplement' ELSE 'cluster_top5' END AS go_source
+    FROM (SELECT gene_id, 0 AS new FROM prim UNION ALL SELECT gene_id, 1 FROM more m WHERE NOT EXISTS (SELECT 1 FROM prim p WHERE p.gene_id = m.gene_id AND p.go_id = m.go_id)) GROUP BY gene_id),
+full_terms AS (SELECT gene_id, go_id FROM (SELECT * FROM prim UNION SELECT * FROM more) JOIN po_terms ON go_id = id WHERE namespace IN ('biological_process', 'molecular_function')),
+full_spec AS (SELECT * FROM full_terms t WHERE NOT EXISTS (SELECT 1 FROM paths p JOIN full_terms o ON o.go_id = p.descendant WHERE p.ancestor = t.go_id AND o.gene_id = t.gene_id)),
+nspec AS (SELECT gene_id, count(*) AS n_go_terms, string_agg(go_id, ';' ORDER BY go_id) AS go_terms FROM full_spec GROUP BY gene_id),
 summ AS (SELECT w.gene_id, count(*) AS n_cluster_hits, round(max(fraction), 6) AS cluster_fraction, CAST(sum(CAST(bitscore AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_cluster_bitscore,
     string_agg(name, '|' ORDER BY member_pos) AS names, coalesce(string_agg(symbol, '|' ORDER BY member_pos) FILTER (symbol <> ''), '') AS symbols
     FROM won w JOIN winner USING (gene_id, cluster_id) GROUP BY w.gene_id),
 final AS (SELECT pu.gene_id, coalesce(protein_name, '') AS protein_name, coalesce(gene_symbol, '') AS gene_symbol, coalesce(symbol_source, '') AS symbol_source, coalesce(propagated, false) AS propagated,
     coalesce(n_total_hits, 0) AS n_total_hits, coalesce(n_isoforms, 0) AS n_isoforms, coalesce(n_cluster_hits, 0) AS n_cluster_hits, coalesce(cluster_fraction, 0) AS cluster_fraction,
     coalesce(mean_cluster_bitscore, 0) AS mean_cluster_bitscore, coalesce(names, '') AS names, coalesce(symbols, '') AS symbols, top1.subject_id AS top_hit_sseqid, coalesce(top1.bitscore, 0) AS top_hit_bitscore,
-    round(coalesce(symbol_concordance, 0), 6) AS symbol_concordance, coalesce(n_go_terms, 0) AS n_go_terms, coalesce(go_terms, '') AS go_terms
-    FROM pu LEFT JOIN ann USING (gene_id) LEFT JOIN counts USING (gene_id) LEFT JOIN summ USING (gene_id) LEFT JOIN top1 USING (gene_id) LEFT JOIN conc USING (gene_id) LEFT JOIN nspec USING (gene_id))"""
+    round(coalesce(name_concordance, 0), 6) AS name_concordance, coalesce(go_source, '') AS go_source, round(coalesce(symbol_concordance, 0), 6) AS symbol_concordance, coalesce(n_go_terms, 0) AS n_go_terms, coalesce(go_terms, '') AS go_terms
+    FROM pu LEFT JOIN ann USING (gene_id) LEFT JOIN counts USING (gene_id) LEFT JOIN summ USING (gene_id) LEFT JOIN top1 USING (gene_id) LEFT JOIN conc USING (gene_id) LEFT JOIN nconc USING (gene_id) LEFT JOIN labels USING (gene_id) LEFT JOIN nspec USING (gene_id))"""
 
 
 def hits_sql(select: str) -> str:

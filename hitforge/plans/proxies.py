@@ -25,16 +25,22 @@ PROXIES = {
                lpad(CAST(l_partkey AS VARCHAR(20)), 12, '0'), lpad(CAST(l_suppkey AS VARCHAR(20)), 12, '0')) AS ord
         FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey""",
     "pt": "SELECT o_orderkey AS transcript_id, o_custkey AS gene_id, o_orderkey AS ord FROM {orders}",
+    # each order's lines are records of one transcript, most of them with other genes; the last one counts
+    "ptr": """SELECT l_orderkey AS transcript_id, l_suppkey AS gene_id, concat(lpad(CAST(l_linenumber AS VARCHAR(20)), 4, '0'),
+        lpad(CAST(l_partkey AS VARCHAR(20)), 12, '0'), lpad(CAST(l_suppkey AS VARCHAR(20)), 12, '0')) AS ord FROM {lineitem}""",
+    # accessions and gene ids that occur several times
+    "px_ids": """SELECT concat('P', lpad(CAST(l_partkey AS VARCHAR(20)), 6, '0')) AS accession, CAST(l_suppkey % 40 AS VARCHAR(20)) AS gene_id,
+        concat(lpad(CAST(l_orderkey AS VARCHAR(20)), 12, '0'), lpad(CAST(l_linenumber AS VARCHAR(20)), 4, '0'), lpad(CAST(l_suppkey AS VARCHAR(20)), 12, '0')) AS ord FROM {lineitem}""",
+    "px_infos": "SELECT CAST(s_suppkey % 40 AS VARCHAR(20)) AS gene_id, s_name AS symbol, s_suppkey AS ord FROM {supplier}",
     "ptp": "SELECT o_orderkey AS transcript_id, o_custkey AS gene_id FROM {orders} WHERE o_orderstatus <> 'P'",
     "pu": "SELECT c_custkey AS gene_id, c_custkey AS gene_ord FROM {customer}",
     "pg": f"""SELECT concat('P', lpad(CAST(p_partkey AS VARCHAR(20)), 6, '0')) AS accession,
-        concat({GO.format("p_size")}, ';', {GO.format("p_partkey % 63 + 1")}) AS go_terms FROM {{part}}""",
+        concat({GO.format("p_size")}, ';', {GO.format("p_partkey")}) AS go_terms FROM {{part}}""",
     "po_edges": f"""SELECT {GO.format("p_partkey")} AS child, {GO.format("CAST((p_partkey - p_partkey % 2) / 2 AS BIGINT)")} AS parent
-        FROM {{part}} WHERE p_partkey BETWEEN 2 AND 63""",
+        FROM {{part}} WHERE p_partkey > 1""",
     "po_terms": f"""SELECT {GO.format("p_partkey")} AS id, CASE p_partkey % 3 WHEN 0 THEN 'biological_process'
-        WHEN 1 THEN 'molecular_function' ELSE 'cellular_component' END AS namespace FROM {{part}} WHERE p_partkey BETWEEN 1 AND 63""",
-    "po_alt": f"""SELECT {GO.format("p_partkey + 1000")} AS alt_id, {GO.format("p_partkey")} AS id
-        FROM {{part}} WHERE p_partkey BETWEEN 1 AND 63 AND p_partkey % 5 = 0""",
+        WHEN 1 THEN 'molecular_function' ELSE 'cellular_component' END AS namespace FROM {{part}}""",
+    "po_alt": f"""SELECT concat('GO:A', CAST(p_partkey AS VARCHAR(20))) AS alt_id, {GO.format("p_partkey")} AS id FROM {{part}} WHERE p_size < 25""",
     "px_id": """SELECT concat('P', lpad(CAST(p_partkey AS VARCHAR(20)), 6, '0')) AS accession,
         CASE WHEN p_partkey % 3 = 0 THEN '' ELSE CAST(p_partkey % 40 AS VARCHAR(20)) END AS gene_id, p_partkey AS ord FROM {part}""",
     "px_info": "SELECT CAST(n_nationkey AS VARCHAR(20)) AS gene_id, CASE WHEN n_nationkey % 7 = 0 THEN '-' ELSE n_name END AS symbol, n_nationkey AS ord FROM {nation}",

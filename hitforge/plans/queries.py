@@ -89,20 +89,30 @@ def _namespaced(t: Tables, won: DataFrame | None = None) -> DataFrame:
     return written(ontology.namespace_filter(_primary(t, won), t.po_terms, ("BP", "MF")))
 
 
+#: Likeness from which names count as the same where SQL is to say so too: equal texts or equal words. Tests take less.
+EQUAL = 1.0
+
+
+def _terms(t: Tables, won: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All terms of each gene, the specific ones, and their source, with the supplement."""
+    return ontology.gene_go_terms(won, written(_chosen(t, won)), readers.explode_go_map(t.pg), t.po_terms, ontology.closure(t.po_edges), ("BP", "MF"), EQUAL)
+
+
 def _final(t: Tables) -> DataFrame:
     """The annotation table on the proxy clusters, genes without hits included."""
     pool, clustered = written(_pool(t)), _clustered(t)
     won = written(clusters.winning_hits(clustered))
     ann = written(_annotated(t, won).drop("gene_ord"))
-    specific = ontology.most_specific_terms(_namespaced(t, won), ontology.closure(t.po_edges))
+    _, specific, labels = _terms(t, won)
     terms = specific.groupBy("gene_id").agg(F.count(F.lit(1)).alias("n_go_terms"), F.array_join(F.array_sort(F.collect_set("go_id")), ";").alias("go_terms"))
     top = clusters.best_hit(clusters.symbol_group_hits(won)).select("gene_id", F.col("subject_id").alias("top_hit_sseqid"), F.col("bitscore").alias("top_hit_bitscore"))
     summary = clusters.cluster_summary(clustered).withColumns({"cluster_fraction": F.round("cluster_fraction", 6)})
     concordance = propagation.symbol_concordance(pool, ann).withColumn("symbol_concordance", F.round("symbol_concordance", 6))
+    names = propagation.name_concordance(pool, ann, EQUAL).withColumn("name_concordance", F.round("name_concordance", 6))
     out = t.pu.select("gene_id")
-    for part in (ann, hits.gene_hit_counts(pool), summary, top, concordance, terms):
+    for part in (ann, hits.gene_hit_counts(pool), summary, top, concordance, names, labels, terms):
         out = hits.gene_universe_join(out, part) if part is ann else out.join(part, "gene_id", "left")
-    return out.fillna({"protein_name": "", "gene_symbol": "", "symbol_source": "", "go_terms": "", "propagated": False}).fillna(0)
+    return out.fillna({"protein_name": "", "gene_symbol": "", "symbol_source": "", "go_terms": "", "go_source": "", "propagated": False}).fillna(0)
 
 
 # 2.1, 2.3: scans, projections, filters
@@ -129,20 +139,24 @@ _add("gaf_evidence_filter", lambda t: refdata.gaf_evidence_filter(t.pa, ["click"
 _add("gaf_taxon_filter", lambda t: refdata.gaf_taxon_filter(t.pa, ["3", "6"]), proxy_sql("pa", "SELECT * FROM pa WHERE list_has_any(regexp_extract_all(taxon, 'taxon:([0-9]+)', 1), ['3', '6'])"))
 _add("namespace_filter", lambda t: ontology.namespace_filter(readers.explode_go_map(t.pg), t.po_terms, ("BP", "CC")).select("accession", "go_id"), proxy_sql("pg po_terms", "SELECT DISTINCT accession, go_id FROM (SELECT accession, unnest(string_split(go_terms, ';')) AS go_id FROM pg) JOIN po_terms ON go_id = id WHERE namespace IN ('biological_process', 'cellular_component')"))
 _add("placeholder_filter", lambda t: _info(t), proxy_sql("px_info", "SELECT * FROM px_info WHERE symbol NOT IN ('', '-', 'NEWENTRY')"))
-_add("hits_outside_universe", lambda t: t.ph.join(t.pu.filter("gene_id % 3 <> 0"), "gene_id", "left_semi").groupBy("gene_id").agg(F.count(F.lit(1)).alias("n")), proxy_sql("ph pu", "SELECT gene_id, count(*) AS n FROM ph WHERE gene_id IN (SELECT gene_id FROM pu WHERE gene_id % 3 <> 0) GROUP BY ALL"))
+_add("hits_outside_universe", lambda t: t.ph.join(t.ptp.select("gene_id").distinct(), "gene_id", "left_semi").groupBy("gene_id").agg(F.count(F.lit(1)).alias("n")), proxy_sql("ph ptp", "SELECT gene_id, count(*) AS n FROM ph WHERE gene_id IN (SELECT gene_id FROM ptp) GROUP BY ALL"))
 
 # 2.4: joins
 
 _add("transcript_to_gene_join", lambda t: hits.transcript_to_gene(t.ph.drop("gene_id"), t.ptp).select("ord", "gene_id"), proxy_sql("ph ptp", "SELECT ord, coalesce(ptp.gene_id, ph.transcript_id) AS gene_id FROM ph LEFT JOIN ptp ON ph.transcript_id = ptp.transcript_id"))
+_add("last_transcript_record", lambda t: hits.transcript_to_gene(t.ph.drop("gene_id"), t.ptr).select("ord", "gene_id"), proxy_sql("ph ptr", "SELECT ph.ord, l.gene_id FROM ph JOIN (SELECT transcript_id, max_by(gene_id, ord) AS gene_id FROM ptr GROUP BY ALL) l ON ph.transcript_id = l.transcript_id"))
 _add("isoform_merge", lambda t: _pool(t).select("gene_id", "transcript_id", "ord", "hit_idx"), hits_sql("SELECT gene_id, transcript_id, ord, hit_idx FROM pool"))
 _add("gene_universe_join", lambda t: hits.gene_universe_join(t.pu, hits.gene_hit_counts(hits.hit_evalue_filter(t.ph, 0.0))).select("gene_id", F.coalesce("n_total_hits", F.lit(0)).alias("n_total_hits")), proxy_sql("ph pu", "SELECT pu.gene_id, count(ph.ord) AS n_total_hits FROM pu LEFT JOIN (SELECT * FROM ph WHERE evalue <= 0.0) ph ON pu.gene_id = ph.gene_id GROUP BY ALL"))
 _add("semi_join_reference", lambda t: t.pg.join(hits.accession_set(hits.hit_evalue_filter(t.ph, 0.0)), "accession", "left_semi"), proxy_sql("ph pg", f"SELECT * FROM pg WHERE accession IN (SELECT unnest({KEYS}) FROM ph WHERE evalue <= 0.0)"))
 _add("hits_accession_join", lambda t: ontology.hits_go_terms(t.ph, readers.explode_go_map(t.pg), ["transcript_id"]), proxy_sql("ph pg", f"SELECT DISTINCT transcript_id, go_id FROM (SELECT transcript_id, unnest({KEYS}) AS accession FROM ph) JOIN (SELECT accession, unnest(string_split(go_terms, ';')) AS go_id FROM pg) USING (accession)"))
 _add("xref_symbol_lookup", lambda t: clusters.xref_symbol(t.pg.select("accession"), _ids(t), _info(t)), proxy_sql("pg px_id px_info", "SELECT pg.accession, coalesce(i.symbol, '') AS ncbi_symbol FROM pg LEFT JOIN (SELECT * FROM px_id WHERE gene_id <> '') d ON pg.accession = d.accession LEFT JOIN (SELECT * FROM px_info WHERE symbol <> '-') i ON d.gene_id = i.gene_id"))
+_add("xref_last_line", lambda t: clusters.xref_symbol(t.pg.select("accession"), t.px_ids, t.px_infos), proxy_sql("pg px_ids px_infos", """SELECT pg.accession, coalesce(i.symbol, '') AS ncbi_symbol FROM pg
+    LEFT JOIN (SELECT accession, max_by(gene_id, ord) AS gene_id FROM px_ids GROUP BY ALL) d ON pg.accession = d.accession LEFT JOIN (SELECT gene_id, max_by(symbol, ord) AS symbol FROM px_infos GROUP BY ALL) i ON d.gene_id = i.gene_id"""))
 _add("xref_first_valid_symbol", lambda t: clusters.xref_first_valid_symbol(t.ph.select(F.col("ord").alias("gene_id"), "subject_id"), _ids(t), _info(t), RULES), proxy_sql("ph px_id px_info", f"""SELECT gene_id, min_by(symbol, pos) AS xref_symbol FROM (SELECT k.gene_id, pos, i.symbol FROM (SELECT ord AS gene_id, unnest({KEYS}) AS accession, generate_subscripts({KEYS}, 1) AS pos FROM ph) k
     JOIN px_id d ON k.accession = d.accession JOIN px_info i ON d.gene_id = i.gene_id WHERE d.gene_id <> '' AND i.symbol <> '-' AND NOT regexp_matches(i.symbol, '(?i)^Brand1\\d$')) GROUP BY gene_id"""))
-ALT = "(SELECT p_partkey AS k, concat('GO:', lpad(CAST(p_partkey % 1100 AS VARCHAR), 7, '0')) AS go_id FROM part)"
-_add("alt_id_join", lambda t: ontology.alt_id_join(t.sql("SELECT p_partkey AS k, concat('GO:', lpad(CAST(p_partkey % 1100 AS VARCHAR(20)), 7, '0')) AS go_id FROM {part}"), t.po_terms, t.po_alt).select("k", "go_id"), proxy_sql("po_terms po_alt", f"SELECT k, coalesce(p.id, a.id) AS go_id FROM {ALT} x LEFT JOIN po_terms p ON x.go_id = p.id LEFT JOIN po_alt a ON x.go_id = a.alt_id WHERE coalesce(p.id, a.id) IS NOT NULL"))
+MIXED = "SELECT p_partkey AS k, CASE WHEN p_size < 30 THEN concat('GO:A', CAST(p_partkey AS VARCHAR(20))) ELSE concat('GO:', lpad(CAST(p_partkey AS VARCHAR(20)), 7, '0')) END AS go_id FROM {part}"
+ALT = f"({MIXED.replace('{part}', 'part')})"
+_add("alt_id_join", lambda t: ontology.alt_id_join(t.sql(MIXED), t.po_terms, t.po_alt).select("k", "go_id"), proxy_sql("po_terms po_alt", f"SELECT k, coalesce(p.id, a.id) AS go_id FROM {ALT} x LEFT JOIN po_terms p ON x.go_id = p.id LEFT JOIN po_alt a ON x.go_id = a.alt_id WHERE coalesce(p.id, a.id) IS NOT NULL"))
 PF_GENE = "CASE ftype WHEN 'type A' THEN 'gene' WHEN 'type N' THEN 'mRNA' ELSE 'exon' END"
 _add("feature_annotation_join", lambda t: features.feature_annotation_join(t.pf.withColumn("ftype", F.expr(PF_GENE)), t.sql("SELECT concat('A-', CAST(o_orderkey AS VARCHAR(20))) AS gene_id, o_orderpriority AS protein_name, o_orderstatus AS gene_symbol FROM {orders}")).select(*FEATURE_ORDER, "ftype", "protein_name", "gene_symbol"), proxy_sql("pf", f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {PF_GENE} AS ftype, o_orderpriority AS protein_name, o_orderstatus AS gene_symbol FROM pf LEFT JOIN orders ON
     CASE {PF_GENE} WHEN 'gene' THEN regexp_extract(attrs, '^ID=([^;]+)', 1) WHEN 'mRNA' THEN regexp_extract(attrs, 'Parent=([^;]+)', 1) END = concat('A-', CAST(o_orderkey AS VARCHAR))"""))
@@ -166,7 +180,7 @@ _add("sequence_annotation_join", lambda t: features.annotate_headers(_records(t)
 _add("hit_stats", lambda t: hits.hit_stats(t.ph, EVALUE), proxy_sql("ph", f"""SELECT count(*) AS total_hits, count(*) FILTER (evalue > {EVALUE}) AS filtered_hits, count(*) FILTER (evalue <= {EVALUE}) AS passing_hits, count(DISTINCT transcript_id) AS queries_before,
     count(DISTINCT transcript_id) FILTER (evalue <= {EVALUE}) AS queries_after, count(*) FILTER (evalue <= {EVALUE} AND subject_id LIKE 'sp|%') AS sp_hits, count(*) FILTER (evalue <= {EVALUE} AND subject_id LIKE 'tr|%') AS tr_hits,
     count(*) FILTER (evalue <= {EVALUE} AND subject_id LIKE 'xx|%') AS other_hits FROM ph"""))
-_add("fasta_stats", lambda t: hits.fasta_stats(_records(t)), "SELECT count(*) AS sequences, count(DISTINCT conv_id) AS genes, count(DISTINCT (conv_id, turn)) AS transcripts, (SELECT count(*) FROM (SELECT conv_id FROM conversations GROUP BY conv_id HAVING count(DISTINCT turn) > 1)) AS multi_isoform_genes FROM conversations")
+_add("fasta_stats", lambda t: hits.fasta_stats(_records(t)), "SELECT count(*) AS sequences, count(DISTINCT conv_id) AS genes, count(DISTINCT (conv_id, turn)) AS transcripts, (SELECT count(*) FROM (SELECT conv_id FROM conversations GROUP BY conv_id HAVING count(*) > 1)) AS multi_isoform_genes FROM conversations")
 _add("filter_funnel", lambda t: hits.filter_funnel(hits.hit_evalue_filter(t.ph, EVALUE), RULES, TOP_N), hits_sql("SELECT (SELECT count(*) FROM ev) AS hits_in, (SELECT count(*) FROM good) AS hits_surviving, (SELECT count(*) FROM best) AS hits_topn, (SELECT count(DISTINCT transcript_id) FROM good) AS transcripts_left"))
 _add("gene_hit_counts", lambda t: hits.gene_hit_counts(_pool(t)), hits_sql("SELECT gene_id, count(*) AS n_total_hits, count(DISTINCT transcript_id) AS n_isoforms FROM pool GROUP BY ALL"))
 _add("cluster_scores", lambda t: clusters.cluster_scores(_clustered(t)).withColumn("score", F.round("score", 4)), clusters_sql("SELECT gene_id, cluster_id, n, round(score, 4) AS score FROM scores"))
@@ -188,7 +202,7 @@ _add("symbol_source_stats", lambda t: metrics.symbol_source_stats(_annotated(t))
 _add("go_reduction_stats", lambda t: (lambda terms: metrics.go_reduction_stats(terms, ontology.most_specific_terms(terms, ontology.closure(t.po_edges))))(_namespaced(t)), clusters_sql("SELECT (SELECT count(DISTINCT go_id) FROM nsp) AS terms_before, (SELECT count(DISTINCT go_id) FROM spec) AS terms_after, round(100.0 * ((SELECT count(DISTINCT go_id) FROM nsp) - (SELECT count(DISTINCT go_id) FROM spec)) / (SELECT count(DISTINCT go_id) FROM nsp), 1) AS percent_reduced"))
 SPREAD = "round(avg({0}), 6) AS mean, round(median({0}), 6) AS median, round(min({0}), 6) AS min, round(max({0}), 6) AS max"
 _rounded = lambda df: df.select(*[F.round(c, 6).alias(c) if k == "double" else F.col(c) for c, k in df.dtypes])
-_add("concordance_stats", lambda t: _rounded(metrics.concordance_stats(_final(t).withColumn("name_concordance", F.col("cluster_fraction")))), clusters_sql(f"SELECT 'name' AS measure, {SPREAD.format('cluster_fraction')} FROM final WHERE protein_name <> '' UNION ALL SELECT 'symbol', {SPREAD.format('symbol_concordance')} FROM final WHERE gene_symbol <> ''"))
+_add("concordance_stats", lambda t: _rounded(metrics.concordance_stats(_final(t))), clusters_sql(f"SELECT 'name' AS measure, {SPREAD.format('name_concordance')} FROM final WHERE protein_name <> '' UNION ALL SELECT 'symbol', {SPREAD.format('symbol_concordance')} FROM final WHERE gene_symbol <> ''"))
 _add("cluster_fraction_stats", lambda t: _rounded(metrics.cluster_fraction_stats(_final(t))), clusters_sql(f"SELECT {SPREAD.format('cluster_fraction')} FROM final WHERE cluster_fraction > 0"))
 _add("ontology_stats", lambda t: metrics.ontology_stats(t.po_terms), proxy_sql("po_terms", "SELECT namespace, count(*) AS terms FROM po_terms GROUP BY ALL"))
 _add("annotation_output_counts", lambda t: metrics.annotation_output_counts(_final(t)), clusters_sql("SELECT count(*) FILTER (protein_name <> '' OR gene_symbol <> '') AS annotated, count(*) AS total FROM final"))
@@ -217,7 +231,7 @@ _sets = lambda t: t.pg.select("accession", N.split_terms(F.col("go_terms")).alia
 SETS = "(SELECT accession, string_split(go_terms, ';') AS a, [split_part(go_terms, ';', 2), 'GO:0000001'] AS b FROM pg)"
 _add("go_union", lambda t: _sets(t).select("accession", F.array_join(F.array_sort(F.array_union("a", "b")), ";").alias("terms")), proxy_sql("pg", f"SELECT accession, array_to_string(list_sort(list_distinct(list_concat(a, b))), ';') AS terms FROM {SETS}"))
 _add("go_new_terms", lambda t: _sets(t).select("accession", F.array_join(F.array_sort(F.array_except("b", "a")), ";").alias("terms")), proxy_sql("pg", f"SELECT accession, array_to_string(list_sort(list_filter(list_distinct(b), lambda x: NOT list_contains(a, x))), ';') AS terms FROM {SETS}"))
-_add("specific_intersection", lambda t: ontology.descendants(t.po_edges).groupBy("id").agg(F.count(F.lit(1)).alias("n")), clusters_sql("SELECT ancestor AS id, count(*) AS n FROM paths GROUP BY ALL"))
+_add("specific_intersection", lambda t: ontology.specific_intersection(_namespaced(t), ontology.closure(t.po_edges)), clusters_sql("SELECT t.gene_id, t.go_id, count(*) AS n_below FROM nsp t JOIN paths p ON p.ancestor = t.go_id JOIN nsp o ON o.go_id = p.descendant AND o.gene_id = t.gene_id GROUP BY ALL"))
 _add("combined_hits", lambda t: hits.combined_hits(t.ph.filter("evalue <= 0.02"), t.ph.filter("evalue > 0.02")).groupBy("gene_id").agg(F.count(F.lit(1)).alias("n")), proxy_sql("ph", "SELECT gene_id, count(*) AS n FROM ph GROUP BY ALL"))
 _add("global_term_union", lambda t: _primary(t).select("go_id").distinct(), clusters_sql("SELECT DISTINCT go_id FROM prim"))
 _add("accession_set", lambda t: hits.accession_set(t.ph), proxy_sql("ph", f"SELECT DISTINCT unnest({KEYS}) AS accession FROM ph"))
@@ -241,7 +255,7 @@ _add("fmt2", lambda t: t.lineitem.select("l_extendedprice", similarity.fmt2("l_e
 
 # 2.10: similarity, clusters, selection, ontology, propagation
 
-_add("sequence_ratio", lambda t: t.part.select(F.col("p_name").alias("a")).distinct().join(t.part.select(F.lower("p_type").alias("b")).distinct()).select("a", "b", similarity.sequence_ratio("a", "b").alias("ratio")), None)
+_add("sequence_ratio", lambda t: t.part.select(F.col("p_name").alias("a"), F.lower("p_type").alias("b")).distinct().select("a", "b", similarity.sequence_ratio("a", "b").alias("ratio")), None)
 _add("name_similarity", lambda t: similarity.name_similarity(similarity.within_gene_pairs(_pool(t)).select("gene_id", "i", "j", "name_i", "name_j"), "name_i", "name_j"), None)
 _add("pair_similarity", lambda t: similarity.similarity_pairs(_pool(t)).filter("similarity >= 0.3").groupBy("gene_id").agg(F.count(F.lit(1)).alias("pairs"), F.round(F.avg("similarity"), 6).alias("mean")), None)
 _add("similarity_pairs", lambda t: similarity.similarity_pairs(_pool(t)), None)
@@ -284,21 +298,42 @@ _add("build_go_map", lambda t: _gaf_map(t), proxy_sql("pa", f"SELECT DISTINCT ac
 PREFIXED = r"regexp_replace(protein_name, '^(?:sp|tr)\|[A-Za-z0-9]+\|[A-Za-z0-9_]+\s+(.+)$', '\1')"
 _add("gene2symbol", lambda t: sinks.gene2symbol(_final(t)), clusters_sql("SELECT gene_id, gene_symbol FROM final"))
 _add("gene2name", lambda t: sinks.gene2name(_final(t)), clusters_sql(f"SELECT gene_id, {PREFIXED} AS protein_name FROM final"))
-_add("gene2go", lambda t: sinks.gene2go(t.pu, ontology.most_specific_terms(_namespaced(t), ontology.closure(t.po_edges))), clusters_sql("SELECT gene_id, go_terms FROM final"))
-_add("annotation_evidence", lambda t: sinks.annotation_evidence(_evidence(t)), clusters_sql(f"""SELECT gene_id, gene_symbol, {PREFIXED} AS protein_name, n_isoforms, n_total_hits, n_cluster_hits, names AS winning_cluster_names, symbols AS winning_cluster_symbols, coalesce(top_hit_sseqid, '') AS top_hit_sseqid, top_hit_bitscore,
-    CASE WHEN top_hit_sseqid IS NULL THEN '' ELSE {SOURCE.replace("subject_id", "top_hit_sseqid")} END AS top_hit_source, mean_cluster_bitscore, CAST(0 AS DOUBLE) AS name_concordance, symbol_concordance, '' AS go_source, n_go_terms FROM final"""))
-
-
-def _evidence(t: Tables) -> DataFrame:
-    return _final(t).withColumns({"name_concordance": F.lit(0.0), "go_source": F.lit("")})
-
-
-@query(clusters_sql(f"""SELECT unnest(['genes', 'genes_with_hits', 'genes_with_name', 'genes_with_symbol', 'genes_with_go', 'percent_hits', 'percent_name', 'percent_symbol', 'percent_go', 'annotated', 'total']) AS metric,
-    unnest([genes, genes_with_hits, genes_with_name, genes_with_symbol, genes_with_go, percent_hits, percent_name, percent_symbol, percent_go, annotated, genes]::DOUBLE[]) AS value
-    FROM (SELECT count(*) AS genes, {COVER}, count(*) FILTER (protein_name <> '' OR gene_symbol <> '') AS annotated FROM final)"""))
+_add("gene2go", lambda t: sinks.gene2go(t.pu, _terms(t, _won(t))[1]), clusters_sql("SELECT gene_id, go_terms FROM final"))
+_add("annotation_evidence", lambda t: sinks.annotation_evidence(_final(t)), clusters_sql(f"""SELECT gene_id, gene_symbol, {PREFIXED} AS protein_name, n_isoforms, n_total_hits, n_cluster_hits, names AS winning_cluster_names, symbols AS winning_cluster_symbols, coalesce(top_hit_sseqid, '') AS top_hit_sseqid, top_hit_bitscore,
+    CASE WHEN top_hit_sseqid LIKE 'sp|%' THEN 'sp' WHEN top_hit_sseqid LIKE 'tr|%' THEN 'tr' ELSE '' END AS top_hit_source, mean_cluster_bitscore, name_concordance, symbol_concordance, go_source, n_go_terms FROM final"""))
+
+
+def _summary_sql() -> str:
+    """Every metric of the summary as a row."""
+    ev = f"evalue <= {EVALUE}"
+    one_row = {
+        f"(SELECT count(*) AS total_hits, count(*) FILTER (NOT {ev}) AS filtered_hits, count(*) FILTER ({ev}) AS passing_hits, count(DISTINCT transcript_id) AS queries_before, count(DISTINCT transcript_id) FILTER ({ev}) AS queries_after,"
+        + ", ".join(f" count(*) FILTER ({ev} AND ({SOURCE}) = '{s}') AS {s}_hits" for s in ("sp", "tr", "other"))
+        + ", queries_before - queries_after AS queries_lost, round(100.0 * (queries_before - queries_after) / queries_before, 1) AS percent_lost FROM ph)": ("total_hits", "filtered_hits", "passing_hits", "queries_before", "queries_after", "sp_hits", "tr_hits", "other_hits", "queries_lost", "percent_lost"),
+        f"(SELECT count(*) AS genes, {COVER}, count(*) FILTER (protein_name <> '' OR gene_symbol <> '') AS annotated, count(*) AS total FROM final)": ("genes", *[f"{kind}_{k}" for kind in ("genes_with", "percent") for k in ("hits", "name", "symbol", "go")], "annotated", "total"),
+        "(SELECT *, round(100.0 * (terms_before - terms_after) / terms_before, 1) AS percent_reduced FROM (SELECT (SELECT count(DISTINCT go_id) FROM full_terms) AS terms_before, (SELECT count(DISTINCT go_id) FROM full_spec) AS terms_after))": ("terms_before", "terms_after", "percent_reduced"),
+    }
+    parts = [f"SELECT '{c}' AS metric, CAST({c} AS DOUBLE) AS value FROM {table}" for table, columns in one_row.items() for c in columns]
+    parts.append("SELECT concat('symbols_', CASE WHEN propagated THEN 'propagation' ELSE symbol_source END, '_genes'), CAST(count(*) AS DOUBLE) FROM ann WHERE propagated OR symbol_source <> '' GROUP BY ALL")
+    parts.append("SELECT concat('ontology_', namespace, '_terms'), CAST(count(*) AS DOUBLE) FROM po_terms GROUP BY namespace")
+    for measure, column, where in (("concordance_name", "name_concordance", "protein_name <> ''"), ("concordance_symbol", "symbol_concordance", "gene_symbol <> ''"), ("fraction_cluster", "cluster_fraction", "cluster_fraction > 0")):
+        parts += [f"SELECT '{measure}_{f}', round({g}({column}), 6) FROM final WHERE {where}" for f, g in (("mean", "avg"), ("median", "median"), ("min", "min"), ("max", "max"))]
+    return " UNION ALL ".join(parts)
+
+
+@query(clusters_sql(_summary_sql()))
 def run_summary(t: Tables) -> DataFrame:
-    final = written(_final(t))
-    return metrics.run_summary(metrics.annotation_coverage(final), metrics.annotation_output_counts(final))
+    """All reports of a run over one annotation table."""
+    final, won = written(_final(t)), _won(t)
+    terms, specific, _ = _terms(t, won)
+    stats = hits.hit_stats(t.ph, EVALUE)
+    sources = metrics.symbol_source_stats(final)
+    fractions = metrics.cluster_fraction_stats(final).select(F.lit("cluster").alias("measure"), "*")
+    return metrics.run_summary(
+        stats, metrics.queries_lost(stats), metrics.annotation_coverage(final), metrics.annotation_output_counts(final), metrics.go_reduction_stats(terms, specific),
+        metrics.labelled(sources, "symbol_source", "symbols_"), metrics.labelled(metrics.ontology_stats(t.po_terms), "namespace", "ontology_"),
+        metrics.labelled(_rounded(metrics.concordance_stats(final)), "measure", "concordance_"), metrics.labelled(_rounded(fractions), "measure", "fraction_"),
+    )
 
 
 _add("write_go_map", lambda t: refdata.go_map_lines(_gaf_map(t)).orderBy("accession"), proxy_sql("pa", f"SELECT accession, string_agg(DISTINCT go_id, ';' ORDER BY go_id) AS go_terms FROM pa WHERE {GAF_OK} GROUP BY accession"))

@@ -34,14 +34,17 @@ def read_hits(spark: SparkSession, path) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path) -> DataFrame:
-    """(transcript_id, gene_id, header, sequence, ord): one splittable record for each ``>``; ``gene=`` names the gene."""
+    """(transcript_id, gene_id, header, sequence, record, ord): one splittable record for each ``>``; ``gene=`` names the gene.
+
+    ``sequence`` is one line; ``record`` is the text as it stands, header and lines, with \\n between lines.
+    """
     records = _lines(spark, path, "\n>")
     text = F.regexp_replace(F.regexp_replace("value", "\r", ""), "^>", "")
     rows = records.select(text.alias("t"), "ord").filter(F.col("t") != "")
     header = F.substring_index("t", "\n", 1)
-    rows = rows.select(F.rtrim(header).alias("header"), F.regexp_replace(F.substr("t", F.length(header) + 1), r"\n", "").alias("sequence"), "ord")
+    rows = rows.select(F.rtrim(header).alias("header"), F.regexp_replace(F.substr("t", F.length(header) + 1), r"\n", "").alias("sequence"), F.regexp_replace("t", r"\n\z", "").alias("record"), "ord")
     first = F.get(F.split(strip(F.col("header")), r"(?U)\s+"), 0)
-    return rows.select(first.alias("transcript_id"), F.coalesce(header_tag(F.col("header"), "gene="), first).alias("gene_id"), "header", "sequence", "ord")
+    return rows.select(first.alias("transcript_id"), F.coalesce(header_tag(F.col("header"), "gene="), first).alias("gene_id"), "header", "sequence", "record", "ord")
 
 
 def read_obo(spark: SparkSession, path) -> tuple[DataFrame, DataFrame, DataFrame]:

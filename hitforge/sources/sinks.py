@@ -33,10 +33,11 @@ def annotation_evidence(annotations: DataFrame) -> DataFrame:
     """The 16 evidence columns, numbers raw; genes without hits have empty texts and zeros."""
     number = lambda c, kind: F.coalesce(c, F.lit(0)).cast(kind).alias(c)
     joined = lambda c: F.coalesce(F.array_join(c, "|"), F.lit("")).alias(f"winning_cluster_{c}")
+    source = hit_source(F.col("top_hit_sseqid"))
     rows = annotations.select(
         "gene_id", _text("gene_symbol").alias("gene_symbol"), strip_db_prefix(_text("protein_name")).alias("protein_name"), number("n_isoforms", "bigint"), number("n_total_hits", "bigint"),
         number("n_cluster_hits", "bigint"), joined("names"), joined("symbols"), _text("top_hit_sseqid").alias("top_hit_sseqid"), number("top_hit_bitscore", "double"),
-        F.when(F.col("top_hit_sseqid").isNotNull(), hit_source(F.col("top_hit_sseqid"))).otherwise("").alias("top_hit_source"), number("mean_cluster_bitscore", "double"),
+        F.when(F.coalesce(source, F.lit("other")) == "other", "").otherwise(source).alias("top_hit_source"), number("mean_cluster_bitscore", "double"),
         number("name_concordance", "double"), number("symbol_concordance", "double"), _text("go_source").alias("go_source"), number("n_go_terms", "bigint"),
     )
     return rows.select(*EVIDENCE).orderBy("gene_id")

@@ -9,17 +9,34 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``. Only where that is unset, as in tests, a temporary folder of this machine."""
+    """The folder in ``spark.checkpoint.dir``. Where that is unset, a local master gets a temporary folder; a cluster an error."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
         spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+def tables_dir(spark: SparkSession) -> str:
+    """Where this application's intermediate tables are."""
+    return f"{shared_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame) -> DataFrame:
-    """Writes a table to the shared folder and reads it: lineage ends there, it survives lost executors, and its size is known."""
+    """Writes a table to the shared folder and reads it: lineage ends there, it survives lost executors, and its size is known.
+
+    The tables stay until ``clear``, as a result may be read at any later time.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = f"{tables_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes this application's intermediate tables; results that were not saved can't be read afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(tables_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -33,7 +33,7 @@ def test_fasta(spark, tmp_path):
     assert got == [("t1", "g1", "ACG>TAA"), ("t1", "g2", "TT"), ("t2", "t2", "CC"), ("t3", "", "GG")]
     ann = spark.createDataFrame([("g2", "sp|Q|A_B kinase", "kin")], "gene_id string, protein_name string, gene_symbol string")
     lines = [r.value for r in features.annotate_fasta(rows, ann).orderBy("ord").collect()]
-    assert lines[0] == ">t1 gene=g1 Name=kin product=kinase\nACG>TAA" and lines[1] == ">t2\nCC"
+    assert lines[0] == ">t1 gene=g1 Name=kin product=kinase\nACG>T\nAA" and lines[1] == ">t2\nCC"
     assert hits.fasta_stats(rows).first().asDict() == {"sequences": 4, "genes": 4, "transcripts": 3, "multi_isoform_genes": 0}
 
 
