@@ -361,7 +361,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     links = links.union(of_ids.join(first, "doc_id").filter("node <> v").select(F.col("node").alias("u"), "v"))
 
     groups = written(classes.select("set_id", "rep", "node").join(components(links), "node", "left"))
-    smallest = groups.filter("component is not null").groupBy("component").agg(F.min("rep").alias("component_id"))
+    smallest = written(groups.filter("component is not null").groupBy("component").agg(F.min("rep").alias("component_id")))
+    smallest = F.broadcast(smallest) if smallest.count() <= BROADCAST_IDS else smallest
     of_class = written(groups.join(smallest, "component", "left").select("set_id", F.coalesce("component_id", "rep").alias("component_id")))
     linked = rows.select("doc_id", "n_shingles", "set_id").join(of_class, "set_id").select("doc_id", "n_shingles", "component_id")
     others = all_rows.filter("not (n_shingles > 0 and doc_id is not null)").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
