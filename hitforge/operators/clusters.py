@@ -50,8 +50,9 @@ def linkage(names: list[str], symbols: list[str], threshold: float) -> list[list
 def cluster_hits(hits: DataFrame, threshold: float = 0.5, max_hits: int | None = None) -> DataFrame:
     """Adds cluster_id (the smallest index in it) and member_pos (the place in order of merging).
 
-    Genes with one hit stay in the JVM. A gene's hits are at most the top n of each of its transcripts, so a group is
-    bounded by the gene's number of transcripts; ``max_hits`` can bound it further and is off unless asked for.
+    Genes with one hit stay in the JVM. Average linkage needs all pairs of a gene's hits, so that a gene is one group, with a
+    matrix of 8 n² bytes. Its hits are at most the top n of each of its transcripts, which bounds n by the number of its
+    transcripts; ``max_hits`` bounds it further by leaving out hits and is off unless asked for.
     """
     counted = hits.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("gene_id")))
     if max_hits:
