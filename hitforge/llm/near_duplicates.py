@@ -42,6 +42,8 @@ EXTRA = 336
 BROADCAST_IDS = 1_000_000
 #: Similarity by signature below which a pair can't be 0.75 (five standard deviations of 672 minima).
 SIGNATURE_LEAST = 0.667
+#: Classes with their digests that may be broadcast, after a count (about 100 bytes each).
+BROADCAST_CLASSES = 300_000
 #: Buckets of more than BLOCK rows that may be broadcast, after a count (about 100 bytes each); more go through a shuffle join.
 BROADCAST_BUCKETS = 100_000
 #: Rows of a bucket that are compared with each other at once.
@@ -143,6 +145,16 @@ def _told_apart(rows: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     return rows.join(few(exact), "words_id", "left").withColumn("set_id", F.coalesce("exact", "set_id")).drop("exact")
 
 
+def _looked_up(table: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
+    """A written table for a join, broadcast if it has ``most`` rows at most."""
+    return F.broadcast(table) if table.count() <= most else table
+
+
+def _of(signed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``signed`` of the nodes in ``nodes(doc_id)``; other rows aren't shuffled where the nodes are few."""
+    return signed.join(_looked_up(written(nodes.distinct())), "doc_id", "left_semi")
+
+
 def _alike(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) of sets near enough in size, whose signatures agree well enough."""
 
@@ -153,6 +165,7 @@ def _alike(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
                 same = ((a == b).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
                 yield part.filter(pa.array(same >= SIGNATURE_LEAST)).select(["u", "v"])
 
+    signed = _of(signed, pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")))
     one = signed.select(F.col("doc_id").alias("v"), F.col("size").alias("nv"), F.col("signature").alias("sv"))
     two = signed.select(F.col("doc_id").alias("u"), F.col("size").alias("nu"), F.col("signature").alias("su"))
     sized = pairs.join(one, "v").join(two, "u").filter(100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv"))
@@ -162,8 +175,7 @@ def _alike(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
 def _texts(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(doc_id, text) of the nodes in ``nodes(node)``: the text that stands for each."""
     wanted = written(classes.join(nodes.distinct(), "node").select("node", F.col("rep").alias("doc_id"), "h"))
-    ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    return docs.withColumn("h", F.xxhash64("text")).join(ids, ["doc_id", "h"]).select(F.col("node").alias("doc_id"), "text").dropDuplicates(["doc_id"])
+    return docs.withColumn("h", F.xxhash64("text")).join(_looked_up(wanted), ["doc_id", "h"]).select(F.col("node").alias("doc_id"), "text").dropDuplicates(["doc_id"])
 
 
 def _overlap(one: np.ndarray, other: np.ndarray) -> int:
@@ -241,7 +253,8 @@ def _compared(left: DataFrame, signed: DataFrame, sets: DataFrame, percent: int
     looked at in the first band whose keys are equal only, and not where links of this place have joined its parts, as a
     link inside a component adds nothing.
     """
-    rows = _dealt(left.join(signed.select("doc_id", "size"), "doc_id"))
+    signed = written(_of(signed, left.select("doc_id")))
+    rows = _dealt(left.join(_looked_up(signed.select("doc_id", "size")), "doc_id"))
     rows = rows.join(signed.select("doc_id", "bands", "signature").join(sets, "doc_id"), "doc_id")
     rows = rows.select("key", "i", "j", "own", "role", "band", "doc_id", "part", "size", "bands", "signature", "shingles")
 
@@ -334,8 +347,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     # a node for each class of equal sets: numbers of their own, as one id may have several texts
     of_set = rows.groupBy("set_id").agg(F.min(F.struct("doc_id", "h")).alias("r"))
     classes = written(of_set.select("set_id", F.col("r.doc_id").alias("rep"), F.col("r.h").alias("h"), F.monotonically_increasing_id().alias("node")))
-    chosen = rows.join(classes.select("set_id", F.col("rep").alias("doc_id"), "h", "node"), ["set_id", "doc_id", "h"])
-    signed = written(chosen.select(F.col("node").alias("doc_id"), F.col("n_shingles").alias("size"), "bands", "signature").dropDuplicates(["doc_id"]))
+    # looked up by the digest too, so that it is the right text of an id
+    standing = _looked_up(classes.select("set_id", F.col("rep").alias("doc_id"), "h", "node"), BROADCAST_CLASSES)
+    signed = written(rows.join(standing, ["set_id", "doc_id", "h"]).select(F.col("node").alias("doc_id"), F.col("n_shingles").alias("size"), "bands", "signature"))
+    if signed.count() > classes.count():  # repeated rows
+        signed = written(signed.dropDuplicates(["doc_id"]))
 
     banded = signed.select("doc_id", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("key")
@@ -362,8 +378,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
 
     groups = written(classes.select("set_id", "rep", "node").join(components(links), "node", "left"))
     smallest = written(groups.filter("component is not null").groupBy("component").agg(F.min("rep").alias("component_id")))
-    smallest = F.broadcast(smallest) if smallest.count() <= BROADCAST_IDS else smallest
-    of_class = written(groups.join(smallest, "component", "left").select("set_id", F.coalesce("component_id", "rep").alias("component_id")))
+    of_class = written(groups.join(_looked_up(smallest), "component", "left").select("set_id", F.coalesce("component_id", "rep").alias("component_id")))
     linked = rows.select("doc_id", "n_shingles", "set_id").join(of_class, "set_id").select("doc_id", "n_shingles", "component_id")
     others = all_rows.filter("not (n_shingles > 0 and doc_id is not null)").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     out = linked.unionByName(others)
