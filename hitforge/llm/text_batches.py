@@ -17,7 +17,10 @@ BATCH_BYTES = 16 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Bounds Arrow batches by bytes as well as by rows, so that very long texts don't pile up in one batch."""
+    """Bounds Arrow batches by bytes as well as by rows, so that very long texts don't pile up in one batch.
+
+    This is a setting of the session, which stays: queries that were made before are bounded by it too.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
