@@ -82,6 +82,24 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hitforge.llm.substring_dedup import substring_dedup
+
+    return substring_dedup(_table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hitforge.llm.filter_audit import filter_audit
+
+    return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hitforge.llm.source_divergence import source_divergence
+
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_languages": op2_languages,
@@ -93,12 +111,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_url_filters": op10_url_filters,
+    "op11_substring_dedup": op11_substring_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_source_divergence": op13_source_divergence,
 }
 
-def _oracle_sql() -> dict[str, str]:
-    from hitforge.llm import near_duplicates, secrets
 
-    return {"op3_secrets": secrets.oracle_sql(), "op9_near_duplicates": near_duplicates.oracle_sql()}
+def _oracle_sql() -> dict[str, str]:
+    from hitforge.llm import filter_audit, near_duplicates, secrets, source_divergence, substring_dedup
+
+    return {
+        "op3_secrets": secrets.oracle_sql(),
+        "op9_near_duplicates": near_duplicates.oracle_sql(),
+        "op11_substring_dedup": substring_dedup.oracle_sql(),
+        "op12_filter_audit": filter_audit.oracle_sql(),
+        "op13_source_divergence": source_divergence.oracle_sql(),
+    }
 
 
 ORACLE_SQL: dict[str, str] = _oracle_sql()

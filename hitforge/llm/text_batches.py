@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -104,3 +105,28 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     starts = np.flatnonzero(inside & ~before)
     ends = np.flatnonzero(inside & ~after) + 1
     return starts, ends, np.searchsorted(starts, offsets)
+
+
+def counted_words(data: np.ndarray, split: Callable[[bytes], list[bytes]], size: int = PIECE_BYTES) -> Iterator[Counter]:
+    """Counts of the words into which ``split`` cuts a text, each word in one of the counters; separators end words.
+
+    A text of more than ``size`` bytes is gone through once for each share of its words by hash, in pieces, so that a
+    counter holds about one share of its different words.
+    """
+    turns = -(-len(data) // size)
+    if turns <= 1:
+        yield Counter(split(data.tobytes()))
+        return
+    for turn in range(turns):
+        found: Counter = Counter()
+        at = 0
+        while at < len(data):
+            end = min(len(data), at + size)
+            while end < len(data):
+                ends = np.flatnonzero(is_separator(data[end : end + size]))
+                end = min(len(data), end + (int(ends[0]) if len(ends) else size))
+                if len(ends):
+                    break
+            found.update(word for word in split(data[at:end].tobytes()) if hash(word) % turns == turn)
+            at = end
+        yield found
