@@ -37,7 +37,7 @@ from hitforge.storage import written
 #: Words of a passage, and of the windows of the first level.
 PASSAGE, FIRST = 13, 4
 #: Words of a chunk, and windows of a range, about.
-CHUNK_WORDS, RANGE_WINDOWS = 1 << 21, 1 << 21
+CHUNK_WORDS, RANGE_WINDOWS = 1 << 20, 1 << 20
 #: Ids that may be broadcast, after a count (about 50 bytes each), and spans of removed words; more go through a shuffle join.
 BROADCAST_IDS, BROADCAST_SPANS = 1_000_000, 2_000_000
 
