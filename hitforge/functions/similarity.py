@@ -6,8 +6,10 @@ import re
 from difflib import SequenceMatcher
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
@@ -18,18 +20,35 @@ from hitforge.functions.names import normalize_name, token_jaccard
 BONUS, SYMBOLS_DIFFER, CAP = 0.2, 0.8, 0.3
 
 
-@lru_cache(maxsize=200_000)
+#: Likeness this close counts as equal, as sums of floats depend on their order.
+NEAR = 1e-12
+#: Texts of a worker's caches, and characters of the longest pair that is kept in them.
+KEPT, KEPT_CHARS = 100_000, 400
+#: Hits of one tile of a gene's pairs.
+TILE = 1024
+
+
+def _ratio(a: str, b: str) -> float:
+    return 1.0 if a == b else SequenceMatcher(None, a, b).ratio()
+
+
+_kept_ratio = lru_cache(maxsize=KEPT)(_ratio)
+
+
 def ratio(a: str, b: str) -> float:
     """Twice the characters in matching blocks over all characters; the order of the arguments matters."""
-    return 1.0 if a == b else SequenceMatcher(None, a, b).ratio()
+    return _kept_ratio(a, b) if len(a) + len(b) <= KEPT_CHARS else _ratio(a, b)
 
 
-@lru_cache(maxsize=200_000)
 def _tokens(name: str) -> frozenset[str]:
+    return _kept_tokens(name) if len(name) <= KEPT_CHARS else frozenset(re.findall(r"\w+", name))
+
+
+@lru_cache(maxsize=KEPT)
+def _kept_tokens(name: str) -> frozenset[str]:
     return frozenset(re.findall(r"\w+", name))
 
 
-@lru_cache(maxsize=200_000)
 def names_alike(a: str, b: str) -> float:
     """The larger of token overlap and ratio, for two normalised names."""
     x, y = _tokens(a), _tokens(b)
@@ -51,6 +70,68 @@ def pair_alike(name_a: str, symbol_a: str, name_b: str, symbol_b: str) -> float:
     return min(1.0, likeness + BONUS) if symbols == 1.0 else likeness
 
 
+def _char_counts(texts: list[str]) -> np.ndarray:
+    """How often each character of the texts is in each of them."""
+    place = {c: i for i, c in enumerate(sorted(set().union(*texts)))}
+    counts = np.zeros((len(texts), len(place)), np.int32)
+    for row, text in zip(counts, texts, strict=True):
+        for c in text:
+            row[place[c]] += 1
+    return counts
+
+
+def _ratio_bound(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """What the ratio can reach at most, from character counts: matching blocks take each character once."""
+    shared = np.zeros((len(one), len(other)), np.int32)
+    for a, b in zip(one.T, other.T, strict=True):
+        some, more = np.flatnonzero(a), np.flatnonzero(b)
+        if len(some) and len(more):
+            shared[np.ix_(some, more)] += np.minimum.outer(a[some], b[more])
+    size = one.sum(axis=1)[:, None] + other.sum(axis=1)
+    return np.where(size > 0, 2 * shared / np.maximum(size, 1), 1.0)
+
+
+class Labels:
+    """Different pairs of normalised name and lower-case symbol, with upper bounds of their likeness.
+
+    The bounds are matrices over character counts and shared words, so that only pairs which can reach a threshold are compared.
+    """
+
+    def __init__(self, names: list[str], symbols: list[str]):
+        self.names, self.symbols = names, symbols
+        self.chars = _char_counts(names)
+        words = [_tokens(n) for n in names]
+        place = {w: i for i, w in enumerate(sorted(set().union(*words)))}
+        self.words = np.zeros((len(names), len(place)), np.float32)
+        for row, own in zip(self.words, words, strict=True):
+            row[[place[w] for w in own]] = 1
+        kinds = {s: i for i, s in enumerate(dict.fromkeys(symbols))}
+        self.symbol = np.array([kinds[s] for s in symbols], np.int64)
+        self.blank = np.array([not s for s in symbols], bool)
+        chars = _char_counts(list(kinds))
+        self.far = _ratio_bound(chars, chars) < SYMBOLS_DIFFER - NEAR
+
+    def bounds(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Upper bounds of the likeness of pairs in ``a`` and ``b``, in whichever order."""
+        shared = self.words[a] @ self.words[b].T
+        either = self.words[a].sum(axis=1)[:, None] + self.words[b].sum(axis=1) - shared
+        top = np.maximum(_ratio_bound(self.chars[a], self.chars[b]), shared / np.maximum(either, 1))
+        both = ~self.blank[a][:, None] & ~self.blank[b]
+        top = np.where(both & (self.symbol[a][:, None] == self.symbol[b]), np.minimum(1.0, top + BONUS), top)
+        return np.where(both & self.far[np.ix_(self.symbol[a], self.symbol[b])], np.minimum(top, CAP), top)
+
+    def alike(self, u: int, v: int) -> float:
+        """The likeness of two of them, ``u`` being the first."""
+        return pair_alike(self.names[u], self.symbols[u], self.names[v], self.symbols[v])
+
+
+def classes(names: list[str], symbols: list[str]) -> tuple[np.ndarray, Labels]:
+    """The number of each row's pair of name and symbol, in order of first rows, and these pairs."""
+    places: dict[tuple[str, str], int] = {}
+    of = np.array([places.setdefault(pair, len(places)) for pair in zip(names, symbols, strict=True)], np.int64)
+    return of, Labels([n for n, _ in places], [s for _, s in places])
+
+
 @pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """``ratio`` of two columns."""
@@ -78,12 +159,61 @@ def pair_similarity(name_likeness: Column, symbol_a: Column, symbol_b: Column, s
     return F.when(both, moved).otherwise(name_likeness)
 
 
-def within_gene_pairs(hits: DataFrame) -> DataFrame:
-    """Pairs of one gene's hits, the lower index first: gene_id, i, j, names and symbols of both."""
-    rows = hits.select("gene_id", "hit_idx", normalize_name(F.col("name")).alias("name"), F.lower("symbol").alias("symbol"))
-    a = rows.withColumnsRenamed({"hit_idx": "i", "name": "name_i", "symbol": "symbol_i"})
-    b = rows.withColumnsRenamed({"hit_idx": "j", "name": "name_j", "symbol": "symbol_j"})
-    return a.join(b, "gene_id").filter("i < j")
+def normal_hits(hits: DataFrame) -> DataFrame:
+    """gene_id, hit_idx, normalised name and lower-case symbol."""
+    return hits.select("gene_id", "hit_idx", normalize_name(F.col("name")).alias("name"), F.lower("symbol").alias("symbol"))
+
+
+def tiled(rows: DataFrame, place: str, tile: int = TILE) -> DataFrame:
+    """Each row once for every tile of its gene's pairs that it is in: ``tile_i`` and ``tile_j``, the lower first, and ``own``.
+
+    A gene's rows are cut into stretches of ``tile`` places; a tile holds two of them, so that a gene of very many rows is
+    many groups of bounded size.
+    """
+    own = (F.col(place) / tile).cast("int")
+    counted = rows.withColumn("own", own).withColumn("_last", F.max(own).over(Window.partitionBy("gene_id")))
+    return counted.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_last")))).withColumns({"tile_i": F.least("own", "_o"), "tile_j": F.greatest("own", "_o")}).drop("_last", "_o")
+
+
+def within_gene_pairs(hits: DataFrame, tile: int = TILE) -> DataFrame:
+    """Pairs of one gene's hits, the lower index first: gene_id, i, j, names and symbols of both. Hot genes are joined in tiles."""
+    rows = tiled(normal_hits(hits), "hit_idx", tile)
+    a = rows.filter("own = tile_i").drop("own").withColumnsRenamed({"hit_idx": "i", "name": "name_i", "symbol": "symbol_i"})
+    b = rows.filter("own = tile_j").drop("own").withColumnsRenamed({"hit_idx": "j", "name": "name_j", "symbol": "symbol_j"})
+    return a.join(b, ["gene_id", "tile_i", "tile_j"]).filter("i < j").drop("tile_i", "tile_j")
+
+
+def similar_pairs(hits: DataFrame, threshold: float, tile: int = TILE) -> DataFrame:
+    """gene_id, i, j, similarity of the pairs of a gene's hits that reach ``threshold``.
+
+    Equal hits are compared once, and only those whose bounds from characters and words can reach the threshold. A tile is
+    one task's group, so that its size doesn't grow with the gene.
+    """
+
+    def pairs(key: tuple, table: pa.Table) -> pa.Table:
+        rows = table.sort_by("hit_idx")
+        at, own = rows.column("hit_idx").to_numpy(), rows.column("own").to_numpy()
+        of, labels = classes([n or "" for n in rows.column("name").to_pylist()], [s or "" for s in rows.column("symbol").to_pylist()])
+        every = np.arange(len(labels.names))
+        near = labels.bounds(every, every) >= threshold - NEAR
+        ones, others, found = [], [], []
+        known: dict[tuple[int, int], float] = {}
+        for r in range(len(at)):
+            later = np.flatnonzero(near[of[r]][of[r + 1 :]] & ((own[r + 1 :] == key[2].as_py()) & (own[r] == key[1].as_py()))) + r + 1
+            for s in later.tolist():
+                pair = (int(of[r]), int(of[s]))
+                if pair not in known:
+                    known[pair] = labels.alike(*pair)
+                if known[pair] >= threshold - NEAR:
+                    ones.append(r)
+                    others.append(s)
+                    found.append(known[pair])
+        gene = pa.array([key[0].as_py()] * len(ones), table.schema.field("gene_id").type)
+        return pa.table([gene, pa.array(at[ones], pa.int64()), pa.array(at[others], pa.int64()), pa.array(found, pa.float64())], names=["gene_id", "i", "j", "similarity"])
+
+    rows = tiled(normal_hits(hits), "hit_idx", tile)
+    kind = rows.schema["gene_id"].dataType.simpleString()
+    return rows.groupBy("gene_id", "tile_i", "tile_j").applyInArrow(pairs, f"gene_id {kind}, i bigint, j bigint, similarity double")
 
 
 def similarity_pairs(hits: DataFrame) -> DataFrame:

@@ -4,77 +4,78 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitforge.functions.names import extract_accessions, normalize_name
 from hitforge.functions.rules import RuleSet
-from hitforge.functions.similarity import pair_alike
+from hitforge.functions.similarity import TILE, Labels, tiled
+from hitforge.operators.graphs import connected
 from hitforge.operators.hits import one_value
+from hitforge.operators.linkage import joined_pairs, linkage
+from hitforge.storage import written
 
-#: Averages this close count as equal, as sums of floats depend on their order.
-NEAR = 1e-12
+#: Hits of a gene that one task clusters by itself; of a larger gene only its parts that can merge are one task each.
+LARGE = 4096
 
 
-def linkage(names: list[str], symbols: list[str], threshold: float) -> list[list[int]]:
-    """Clusters as lists of positions in order of merging; the first best pair merges while its average reaches the threshold.
-
-    ``sums`` holds the summed likeness of every pair of clusters, so a merge adds two rows and two columns.
-    """
-    n = len(names)
-    sums = np.full((n, n), -np.inf)
-    for i in range(n):
-        for j in range(i + 1, n):
-            sums[i, j] = pair_alike(names[i], symbols[i], names[j], symbols[j])
-    members, sizes = [[i] for i in range(n)], np.ones(n)
-    while True:
-        means = sums / np.outer(sizes, sizes)
-        best = means.max(initial=-np.inf)
-        if not best >= threshold - NEAR:
-            break
-        a, b = divmod(int(np.flatnonzero(means >= best - NEAR)[0]), n)
-        row_b = np.where(np.arange(n) < b, sums[:, b], sums[b])
-        row_a = np.where(np.arange(n) < a, sums[:, a], sums[a]) + row_b
-        sums[b], sums[:, b] = -np.inf, -np.inf
-        alive = np.array([bool(m) for m in members])
-        for k in range(n):
-            if alive[k] and k not in (a, b):
-                sums[min(a, k), max(a, k)] = row_a[k]
-        sizes[a] += sizes[b]
-        members[a] += members[b]
-        members[b] = []
-    return [m for m in members if m]
-
-
-def cluster_hits(hits: DataFrame, threshold: float = 0.5, max_hits: int | None = None) -> DataFrame:
+def cluster_hits(hits: DataFrame, threshold: float = 0.5, max_hits: int | None = None, large: int = LARGE, tile: int = TILE) -> DataFrame:
     """Adds cluster_id (the smallest index in it) and member_pos (the place in order of merging).
 
-    Genes with one hit stay in the JVM. Average linkage needs all pairs of a gene's hits, so that a gene is one group, with a
-    matrix of 8 n² bytes. Its hits are at most the top n of each of its transcripts, which bounds n by the number of its
-    transcripts; ``max_hits`` bounds it further by leaving out hits and is off unless asked for.
+    Two clusters merge only if a pair of their hits reaches the threshold, so that parts of a gene which no such pair
+    connects are clustered apart, with the same result. Genes with one hit stay in the JVM, those of up to ``large`` hits are
+    one task. Of larger ones the pairs are looked at in tiles of their different hits, and every connected part is a task.
+    ``max_hits`` leaves out hits and is off unless asked for.
     """
-    counted = hits.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("gene_id")))
     if max_hits:
-        counted = counted.filter(F.col("hit_idx") < max_hits)
-    lone = counted.filter("_n = 1").drop("_n").withColumns({"cluster_id": F.lit(0).cast("bigint"), "member_pos": F.lit(0).cast("bigint")})
-    rows = counted.filter("_n > 1").drop("_n").withColumns({"_name": normalize_name(F.col("name")), "_symbol": F.lower(F.coalesce("symbol", F.lit("")))})
-    labels = rows.select("gene_id", "hit_idx", "_name", "_symbol").groupBy("gene_id").applyInPandas(
-        _labels(threshold), T.StructType([rows.schema["gene_id"], T.StructField("hit_idx", T.LongType()), T.StructField("cluster_id", T.LongType()), T.StructField("member_pos", T.LongType())])
-    )
-    return rows.drop("_name", "_symbol").join(labels, ["gene_id", "hit_idx"]).unionByName(lone)
+        hits = hits.filter(F.col("hit_idx") < max_hits)
+    counted = hits.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("gene_id")))
+    lone = counted.filter("_n = 1").drop("_n").withColumns({"cluster_id": F.col("hit_idx").cast("bigint"), "member_pos": F.lit(0).cast("bigint")})
+    rows = counted.filter("_n > 1").withColumns({"_name": F.coalesce(normalize_name(F.col("name")), F.lit("")), "_symbol": F.lower(F.coalesce("symbol", F.lit("")))})
+    kinds = T.StructType([rows.schema["gene_id"], T.StructField("hit_idx", T.LongType()), T.StructField("cluster_id", T.LongType()), T.StructField("member_pos", T.LongType())])
+    of_gene = rows.filter(F.col("_n") <= large).select("gene_id", "hit_idx", "_name", "_symbol")
+    labels = of_gene.groupBy("gene_id").applyInPandas(_labels(threshold), kinds)
+    many = written(hits.groupBy("gene_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > large).select("gene_id"))
+    if not many.isEmpty():
+        hot = written(rows.filter(F.col("_n") > large).select("gene_id", "hit_idx", "_name", "_symbol"))
+        parts = hot.join(connected_parts(hot, threshold, tile), ["gene_id", "_name", "_symbol"])
+        labels = labels.unionByName(parts.groupBy("gene_id", "part").applyInPandas(_labels(threshold), kinds))
+    return rows.drop("_name", "_symbol", "_n").join(labels, ["gene_id", "hit_idx"]).unionByName(lone)
+
+
+def connected_parts(hits: DataFrame, threshold: float, tile: int = TILE) -> DataFrame:
+    """(gene_id, _name, _symbol, part): which different hits of a gene are connected by pairs that reach the threshold.
+
+    A tile of a gene's pairs gives edges of a spanning forest only, so that there are fewer than two for each of its hits.
+    """
+    kinds = hits.groupBy("gene_id", "_name", "_symbol").agg(F.min("hit_idx").alias("first"), F.max("hit_idx").alias("last"))
+    place = F.row_number().over(Window.partitionBy("gene_id").orderBy("first")) - 1
+    kinds = written(kinds.withColumn("place", place).withColumn("node", F.monotonically_increasing_id()))
+
+    def forest(key: tuple, table: pa.Table) -> pa.Table:
+        node, own, first, last = (table.column(c).to_numpy() for c in ("node", "own", "first", "last"))
+        labels = Labels(table.column("_name").to_pylist(), table.column("_symbol").to_pylist())
+        a, b = np.flatnonzero(own == key[1].as_py()), np.flatnonzero(own == key[2].as_py())
+        found = joined_pairs(labels, a, b, first, last, threshold)
+        return pa.table([pa.array(node[[u for u, _ in found]], pa.int64()), pa.array(node[[v for _, v in found]], pa.int64())], names=["u", "v"])
+
+    edges = tiled(kinds, "place", tile).groupBy("gene_id", "tile_i", "tile_j").applyInArrow(forest, "u bigint, v bigint")
+    parts = connected(edges).withColumnRenamed("component", "part")
+    return kinds.join(parts, "node", "left").select("gene_id", "_name", "_symbol", F.coalesce("part", "node").alias("part"))
 
 
 def _labels(threshold: float):
-    def of_gene(rows: pd.DataFrame) -> pd.DataFrame:
+    def of_rows(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("hit_idx", kind="stable")
         index = rows["hit_idx"].to_numpy()
-        made = [(index[i], index[min(c)], place) for c in linkage(rows["_name"].tolist(), rows["_symbol"].tolist(), threshold) for place, i in enumerate(c)]
+        made = [(index[i], index[c[0]], place) for c in linkage(rows["_name"].tolist(), rows["_symbol"].tolist(), threshold) for place, i in enumerate(c)]
         out = pd.DataFrame(made, columns=["hit_idx", "cluster_id", "member_pos"])
         out.insert(0, "gene_id", rows["gene_id"].iloc[0])
         return out
 
-    return of_gene
+    return of_rows
 
 
 def _mean_bits():

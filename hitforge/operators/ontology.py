@@ -12,19 +12,29 @@ from hitforge.storage import written
 
 #: Short and long names of namespaces.
 NAMESPACES = {"BP": "biological_process", "MF": "molecular_function", "CC": "cellular_component"}
-#: Rows of the closure that may be broadcast, after a count.
-BROADCAST_CLOSURE = 2_000_000
+#: Terms with their ancestors that may be broadcast, after a count of the ancestors (about 20 bytes each).
+BROADCAST_ANCESTORS = 2_000_000
 
 
 def closure(edges: DataFrame) -> DataFrame:
-    """(ancestor, descendant) over all paths; each round joins only what the last one found, as many rounds as the deepest path."""
-    edges = written(edges.select("child", "parent").distinct())
-    found = written(edges.select(F.col("parent").alias("ancestor"), F.col("child").alias("descendant")))
-    fresh = found
-    while not fresh.isEmpty():
-        step = fresh.join(edges, fresh["ancestor"] == edges["child"]).select(F.col("parent").alias("ancestor"), "descendant").distinct()
-        fresh = written(step.join(found, ["ancestor", "descendant"], "left_anti"))
-        found = found.unionByName(fresh)
+    """(ancestor, descendant) over all paths, in rounds of doubled lengths: as many as the logarithm of the deepest path.
+
+    After k rounds ``found`` has every path of up to 2**k edges and ``exact`` those of that many. A round puts the second
+    before the first, so that a path of a tree is made once. A round without new pairs ends it, on cycles too: a pair that
+    is further apart than 2**k has one on its way that is just one edge further.
+    """
+    found = written(edges.select(F.col("parent").alias("ancestor"), F.col("child").alias("descendant")).distinct())
+    exact = found
+
+    def behind(paths: DataFrame) -> DataFrame:
+        lower = exact.select(F.col("ancestor").alias("by"), F.col("descendant"))
+        return lower.join(paths.select("ancestor", F.col("descendant").alias("by")), "by").select("ancestor", "descendant").distinct()
+
+    while not exact.isEmpty():
+        fresh = written(behind(found).join(found, ["ancestor", "descendant"], "left_anti"))
+        if fresh.isEmpty():
+            break
+        exact, found = written(behind(exact)), found.unionByName(fresh)
     return found
 
 
@@ -53,15 +63,23 @@ def namespace_filter(terms: DataFrame, primary: DataFrame, namespaces: tuple[str
     return terms.join(good, "go_id", "left_semi")
 
 
+def ancestor_lists(paths: DataFrame) -> DataFrame:
+    """(go_id, above): one row for each term that has ancestors, with all of them in order."""
+    return paths.groupBy(F.col("descendant").alias("go_id")).agg(F.array_sort(F.collect_set("ancestor")).alias("above"))
+
+
 def specific_intersection(terms: DataFrame, paths: DataFrame, key: str = "gene_id") -> DataFrame:
-    """(key, go_id, n_below) of terms with descendants among the gene's own terms, and how many there are."""
-    below = paths.select(F.col("ancestor").alias("go_id"), "descendant")
-    if below.count() <= BROADCAST_CLOSURE:
-        below = F.broadcast(below)
-    terms = terms.select(key, "go_id").distinct()
-    own = terms.select(F.col(key).alias("_g"), F.col("go_id").alias("_d"))
-    met = terms.join(below, "go_id").join(own, (F.col(key) == F.col("_g")) & (F.col("descendant") == F.col("_d")))
-    return met.groupBy(key, "go_id").agg(F.countDistinct("descendant").alias("n_below"))
+    """(key, go_id, n_below) of terms with descendants among the gene's own terms, and how many there are.
+
+    A gene's terms are expanded upwards, by their lists of ancestors, so that between the joins there are as many rows as
+    terms times their depth; a term near the root has few ancestors, but nearly all terms as descendants.
+    """
+    index = written(ancestor_lists(paths))
+    if (index.agg(F.sum(F.size("above"))).first()[0] or 0) <= BROADCAST_ANCESTORS:
+        index = F.broadcast(index)
+    own = terms.select(key, "go_id").distinct()
+    above = own.join(index, "go_id").select(key, F.explode("above").alias("go_id"))
+    return above.groupBy(key, "go_id").agg(F.count(F.lit(1)).alias("n_below")).join(own, [key, "go_id"], "left_semi")
 
 
 def most_specific_terms(terms: DataFrame, paths: DataFrame, key: str = "gene_id") -> DataFrame:

@@ -257,7 +257,7 @@ _add("fmt2", lambda t: t.lineitem.select("l_extendedprice", similarity.fmt2("l_e
 
 _add("sequence_ratio", lambda t: t.part.select(F.col("p_name").alias("a"), F.lower("p_type").alias("b")).distinct().select("a", "b", similarity.sequence_ratio("a", "b").alias("ratio")), None)
 _add("name_similarity", lambda t: similarity.name_similarity(similarity.within_gene_pairs(_pool(t)).select("gene_id", "i", "j", "name_i", "name_j"), "name_i", "name_j"), None)
-_add("pair_similarity", lambda t: similarity.similarity_pairs(_pool(t)).filter("similarity >= 0.3").groupBy("gene_id").agg(F.count(F.lit(1)).alias("pairs"), F.round(F.avg("similarity"), 6).alias("mean")), None)
+_add("pair_similarity", lambda t: similarity.similar_pairs(written(_pool(t)), 0.3).groupBy("gene_id").agg(F.count(F.lit(1)).alias("pairs"), F.round(F.avg("similarity"), 6).alias("mean")), None)
 _add("similarity_pairs", lambda t: similarity.similarity_pairs(_pool(t)), None)
 _add("cluster_hits", lambda t: clusters.cluster_hits(selected_hits(t.ph.drop("gene_id"), t.pt, Params(evalue=EVALUE, rules=RULES))).select("gene_id", "hit_idx", "cluster_id", "member_pos"), None)
 _add("select_name_symbol", lambda t: _chosen(t), clusters_sql("SELECT * FROM sel"))

@@ -2,33 +2,37 @@
 
 import random
 from difflib import SequenceMatcher
+from itertools import product
+from statistics import fmean
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from hitforge.functions.rules import RuleSet
-from hitforge.functions.similarity import fmt2, names_alike, pair_alike
+from hitforge.functions.similarity import classes, fmt2, names_alike, pair_alike, similar_pairs, within_gene_pairs
 from hitforge.operators import clusters, propagation
+from hitforge.operators.graphs import connected
+from hitforge.operators.linkage import linkage
 from hitforge.plans.annotate import Params, annotate
 
 WORDS = ["kinase", "beta", "protein", "zinc", "finger", "like", "tide", "diet"]
 
 
 def plain_clusters(names, symbols, threshold):
-    """Average linkage as it is stated: all averages anew in each round."""
-    groups = {i: [i] for i in range(len(names))}
-    likeness = {(i, j): pair_alike(names[i], symbols[i], names[j], symbols[j]) for i in groups for j in groups if i < j}
+    """From the definition: of all pairs of groups the one with the greatest mean, then the least first members, becomes one."""
+
+    def rank(pair):
+        likeness = [pair_alike(names[i], symbols[i], names[j], symbols[j]) for i, j in (sorted(p) for p in product(*pair))]
+        return round(fmean(likeness), 9), -pair[0][0], -pair[1][0]
+
+    groups = {(i,) for i in range(len(names))}
     while len(groups) > 1:
-        best, pair = -1.0, None
-        ids = list(groups)
-        for x, a in enumerate(ids):
-            for b in ids[x + 1 :]:
-                mean = sum(likeness[min(i, j), max(i, j)] for i in groups[a] for j in groups[b]) / (len(groups[a]) * len(groups[b]))
-                if mean > best + 1e-12:
-                    best, pair = mean, (a, b)
-        if best < threshold - 1e-12:
+        best = max(((a, b) for a in groups for b in groups if a[0] < b[0]), key=rank)
+        if rank(best)[0] < threshold:
             break
-        groups[pair[0]] += groups.pop(pair[1])
-    return list(groups.values())
+        groups = groups - {*best} | {best[0] + best[1]}
+    return sorted(map(list, groups))
 
 
 def test_likeness():
@@ -45,7 +49,29 @@ def test_linkage():
         n = dice.randint(2, 12)
         names = [" ".join(dice.sample(WORDS, dice.randint(1, 3))) for _ in range(n)]
         symbols = [dice.choice(["", "kin1", "kin2", "zf"]) for _ in range(n)]
-        assert clusters.linkage(names, symbols, 0.5) == plain_clusters(names, symbols, 0.5)
+        threshold = dice.choice([0.3, 0.5, 0.5, 0.8, 1.0, 1.2])
+        assert linkage(names, symbols, threshold) == plain_clusters(names, symbols, threshold)
+        of, labels = classes(names, symbols)
+        every = np.arange(len(labels.names))
+        top = labels.bounds(every, every)
+        assert all(top[u, v] >= labels.alike(u, v) - 1e-12 for u in every for v in every if u != v)
+
+
+def test_linkage_of_many_hits():
+    """50,000 hits of 500 different names and symbols; the memory of a matrix of hits would be 20 GB."""
+    import tracemalloc
+
+    dice = random.Random(6)
+    parts = [a + b for a in ("ki", "ze", "pro", "al", "mu", "ta") for b in ("nase", "tein", "dine", "lase", "rin")]
+    kinds = [(" ".join(dice.sample(parts, 4)), dice.choice(["", f"s{i % 40}"])) for i in range(500)]
+    rows = [dice.choice(kinds) for _ in range(50_000)]
+    tracemalloc.start()
+    made = linkage([n for n, _ in rows], [s for _, s in rows], 0.6)
+    assert tracemalloc.get_traced_memory()[1] < 1 << 30
+    tracemalloc.stop()
+    assert sorted(i for m in made for i in m) == list(range(50_000)) and len(made) > 1
+    for m in made:  # equal hits are never parted
+        assert {rows[i] for i in m}.isdisjoint(rows[i] for other in made if other is not m for i in other)
 
 
 def test_cluster_hits_any_partitioning(spark):
@@ -62,6 +88,36 @@ def test_cluster_hits_any_partitioning(spark):
         got = clusters.cluster_hits(hits.repartition(5)).select("gene_id", "hit_idx", "cluster_id", "member_pos").collect()
         assert {tuple(r) for r in got} == want
     spark.conf.set("spark.sql.shuffle.partitions", "4")
+    # genes of more than four hits in tiles of two kinds of hits, and one task for each connected part
+    got = clusters.cluster_hits(hits, large=4, tile=2).select("gene_id", "hit_idx", "cluster_id", "member_pos").collect()
+    assert {tuple(r) for r in got} == want
+    kinds = hits.withColumnsRenamed({"name": "_name"}).selectExpr("gene_id", "hit_idx", "lower(_name) as _name", "lower(symbol) as _symbol")
+    assert clusters.connected_parts(kinds, 0.5, 2).groupBy("gene_id").agg(F.countDistinct("part").alias("n")).filter("n > 1").count() > 0
+
+
+@pytest.mark.parametrize("tile", [1, 3, 1000])
+def test_pairs_in_tiles(spark, tile):
+    dice = random.Random(9)
+    rows = [(g, i, " ".join(dice.sample(WORDS, 2)), dice.choice(["", "KIN", "zf", None])) for g in range(6) for i in range(dice.randint(1, 9))]
+    hits = spark.createDataFrame(rows, "gene_id string, hit_idx bigint, name string, symbol string")
+    of = {(str(g), i): (n, (s or "").lower()) for g, i, n, s in rows}
+    every = {(g, i, j): pair_alike(*of[g, i], *of[g, j]) for g, i in of for h, j in of if g == h and i < j}
+    assert {(r.gene_id, r.i, r.j) for r in within_gene_pairs(hits, tile).collect()} == set(every)
+    got = similar_pairs(hits, 0.3, tile).collect()
+    assert {(r.gene_id, r.i, r.j): r.similarity for r in got} == {k: v for k, v in every.items() if v >= 0.3} and len(got) < len(every)
+
+
+def test_connected(spark):
+    dice = random.Random(3)
+    pairs = [(dice.randint(0, 80), dice.randint(0, 80)) for _ in range(50)] + [(i, i + 1) for i in range(100, 140)] + [(7, 7)]
+    root = {}
+    for u, v in pairs:
+        if u != v:
+            a, b = root.setdefault(u, {u}), root.setdefault(v, {v})
+            for i in (both := a | b):
+                root[i] = both
+    got = {r.node: r.component for r in connected(spark.createDataFrame(pairs, "u bigint, v bigint")).collect()}
+    assert got == {i: min(r) for i, r in root.items()}
 
 
 def won(spark, rows):

@@ -101,6 +101,41 @@ def test_concordance_and_terms(spark):
     assert set(below) == want_terms - want_specific
 
 
+def test_closure_by_doubling(spark, monkeypatch):
+    """Chains, a tree, a graph with cycles: all paths, in as many rounds as the logarithm of the deepest one."""
+    dice = random.Random(2)
+    graphs = {
+        "chain": [(i, i + 1) for i in range(30)], "tree": [(i, i // 2) for i in range(2, 200)], "cycle": [(i, (i + 1) % 7) for i in range(7)] + [(9, 3)],
+        "mixed": [(dice.randint(0, 25), dice.randint(0, 25)) for _ in range(40)],
+    }
+    for pairs in graphs.values():
+        above = defaultdict(set)
+        for c, p in pairs:
+            above[c].add(p)
+        for _ in range(40):
+            for c in list(above):
+                above[c] |= set().union(*(above[p] for p in above[c] if p in above))
+        rounds = []
+        monkeypatch.setattr(ontology, "written", lambda df: rounds.append(1) or storage.written(df))
+        got = {(r.descendant, r.ancestor) for r in ontology.closure(spark.createDataFrame(pairs, "child int, parent int")).collect()}
+        assert got == {(c, p) for c, ps in above.items() for p in ps}
+        assert len(rounds) <= 2 * 6 + 1
+
+
+def test_specific_terms_go_upwards(spark):
+    """A gene with the root has as many rows between the joins as terms times depth, not as the root has descendants."""
+    edges = spark.createDataFrame([(i, i // 2) for i in range(2, 2001)], "child int, parent int")
+    terms = spark.createDataFrame([(g, t) for g in range(50) for t in (1, 3, 1000 + 7 * g)], "gene_id int, go_id int")
+    paths = storage.written(ontology.closure(edges))
+    met = ontology.specific_intersection(terms, paths)
+    want = {(g, a): sum(1 for d in own if a in {d >> k for k in range(1, 12)}) for g in range(50) for own in [(1, 3, 1000 + 7 * g)] for a in own}
+    assert {(r.gene_id, r.go_id): r.n_below for r in met.collect()} == {k: v for k, v in want.items() if v}
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode(above") == 1 and "descendant" not in plan
+    expanded = terms.join(ontology.ancestor_lists(paths), "go_id").agg(F.sum(F.size("above"))).first()[0]
+    assert expanded <= 150 * 11
+
+
 def test_similarity_of_pairs(spark):
     rows = pool(8, genes=5, most=9)
     table = spark.createDataFrame(rows, HITS)
