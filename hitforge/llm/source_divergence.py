@@ -7,7 +7,7 @@ The sum is split into three: the baselines over all terms; what a source's own t
 which depends on their frequency only and is worked out for each different one against all peers at once; and what changes
 where both have the term. For that last one a source goes through the term-major index of its terms and scatters into a
 dense accumulator with one sum for each peer, so postings are never written out in pairs. The index is dealt into buckets
-of whole terms, about POSTINGS each, and the accumulators of the buckets are added up.
+of whole terms of bounded size, and the accumulators of the buckets are added up.
 
 Tasks hold one bucket, or one source's different frequencies with one number for each peer; the result itself has a row
 for each two sources of a language, so this is no more than one source's share of it.
@@ -37,8 +37,10 @@ LEAST_DOCS, TOP_TERMS = 10, 10
 SCALE, PLUS = 1_000_000_000, 2
 #: Terms that a worker counts before it hands them on.
 HELD_TERMS = 300_000
-#: Postings of a bucket, about, and those that are scattered at once.
-POSTINGS, STEP = 1_000_000, 1 << 18
+#: Postings of a bucket, about: more where there are more pairs of sources, so that a bucket's sums are no more than its postings, up to MOST.
+POSTINGS, MOST = 1 << 16, 1 << 20
+#: Postings that are scattered at once.
+STEP = 1 << 18
 #: Numbers of one block of frequencies times peers.
 BLOCK = 1 << 20
 #: Sources that may be broadcast, after a count (about 60 bytes each); more go through a shuffle join.
@@ -195,7 +197,7 @@ def source_divergence(docs: DataFrame, text: str = "text", lang: str = "lang", s
     langs = kept.groupBy("lang").agg(F.sum("first").alias("terms"), F.sum("n").alias("lang_total"), F.count(F.lit(1)).alias("postings"))
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = counted.filter("term is null").select("lang", "source").join(totals, ["lang", "source"], "left").join(langs, "lang", "left").na.fill(0)
-    groups = groups.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1)
+    groups = groups.withColumns({"place": F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1, "sources": F.count(F.lit(1)).over(Window.partitionBy("lang"))})
     groups = written(groups.withColumn("p0", F.coalesce(_share("0", "total", "terms"), F.lit(1))))
 
     named = kept.join(_looked_up(groups), ["lang", "source"]).withColumns({"p": _share("n", "total", "terms"), "q": _share("lang_n", "lang_total", "terms")})
@@ -203,7 +205,8 @@ def source_divergence(docs: DataFrame, text: str = "text", lang: str = "lang", s
     above = named.filter("p > q").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), F.expr("(p - q) * (p - q) div (p + q)").alias("value"))
     above = above.withColumn("rank", F.row_number().over(by_value)).filter(F.col("rank") <= top_terms)
 
-    bucket = F.pmod(F.xxhash64("term"), F.ceil(F.col("postings") / POSTINGS))
+    size = F.greatest(F.lit(POSTINGS), F.least(F.lit(MOST), F.col("sources") * F.col("sources")))
+    bucket = F.pmod(F.xxhash64("term"), F.ceil(F.col("postings") / size))
     postings = named.select("lang", bucket.alias("bucket"), "term", F.col("place").cast("bigint").alias("place"), "p", "p0")
     times = named.groupBy("lang", "source", "p").agg(F.count(F.lit(1)).alias("m")).groupBy("lang", "source").agg(F.collect_list(F.struct("p", "m")).alias("h"))
     peers = groups.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "p0"))), lambda x: x.p0).alias("peers"))
