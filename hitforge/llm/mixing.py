@@ -1,8 +1,8 @@
 """Mixing of sources to target weights by subset-sum budget fitting (operator 5).
 
 Sizes are words. Every source gets a target; what whole passes over the source don't fill is its remaining budget. From
-a histogram of exact sizes each size gives the same share of its documents, and a bounded-knapsack dynamic program over
-the sizes that are left fits the rest as closely as it can. Then documents are selected within each size by a seeded hash, as many as the histogram plan says.
+a histogram of exact sizes each size gives about the same share of its documents, a few less, and a bounded-knapsack
+dynamic program over all that are left fits the rest as closely as it can. Then documents are selected within each size by a seeded hash, as many as the histogram plan says.
 
 The plan of a source reads its histogram, never its documents: it is bounded by the number of different sizes.
 Documents of one size are dealt into slices of the seeded hash; only the slice in which the cut falls ranks its rows,
@@ -25,9 +25,8 @@ from hitforge.storage import written
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2.0
-#: Sums that the dynamic program keeps. A rest of more words than that is first fitted to a stretch of this many equal ones;
-#: exchanges of single documents then work in words.
-SUMS = 1 << 17
+#: Sums that the dynamic program keeps, about, and documents that are left to it.
+SUMS, ROOM = 1 << 17, 4096
 #: Rows of one (source, size, slice) that are ranked together, about.
 SLICE_ROWS = 50_000
 #: Sources, and ids with their copies, that may be broadcast after a count; more go through a shuffle join.
@@ -70,7 +69,8 @@ def _numbered(sources: DataFrame) -> DataFrame:
 def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.ndarray:
     """How many documents of each of the ascending ``sizes`` to take, so that their words come near to ``budget``.
 
-    Even shares first, then the dynamic program, then exchanges of single documents of any size while they come nearer.
+    Even shares but for some documents of each size, then the dynamic program, then exchanges of single documents of any
+    size while they come nearer.
     Sizes are divided by what they have in common.
     """
     unit = int(np.gcd.reduce(sizes)) or 1
@@ -79,39 +79,48 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.nda
 
 
 def _filled(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.ndarray:
-    """Even shares and the program.
+    """Even shares, less a slack of documents of each size, and the program for all that this leaves open.
 
-    The program keeps up to SUMS sums, of larger budgets one for each stretch of equal width, and the step that first
-    reached each; sizes are added in seeded order, with counts in powers of two.
+    The slack is ROOM documents over all sizes: a source of few documents is wholly the program's, and of one with many sizes
+    at least one document of each is. The program keeps the sums that it reaches, and the step that first reached each; sizes
+    are added in seeded order, with counts in powers of two. Where there can be more than SUMS sums and they are larger than
+    that, it keeps one for each stretch of equal width.
     """
     total = int((sizes * counts).sum())
     if budget <= 0 or not total:
         return np.zeros(len(sizes), np.int64)
     if budget >= total:
         return counts.astype(np.int64)
-    taken = np.array([int(c) * budget // total for c in counts.tolist()], np.int64)
+    slack = max(1, ROOM // len(sizes))
+    taken = np.array([max(0, int(c) * budget // total - slack) for c in counts.tolist()], np.int64)
     goal = budget - int((sizes * taken).sum())
     # sums beyond the goal by up to one document may be nearer than those below it
     most = goal + min(goal, int(sizes.max()))
-    width = most // SUMS + 1
-    reached, sums, before, by = (np.zeros(most // width + 1, kind) for kind in (bool, np.int64, np.int64, np.int64))
-    reached[0], steps = True, []
+    few = float(np.log2(counts - taken + 1.0).sum()) <= np.log2(SUMS)
+    width = 1 if few else most // SUMS + 1
+    sums, before, by, steps = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64), []
+    reached = None if few else np.zeros(most // width + 1, bool)
+    if not few:
+        reached[0] = True
     for i in np.random.default_rng(seed).permutation(len(sizes)):
         size = int(sizes[i])
         have, power = min(int(counts[i] - taken[i]), most // size) if size else 0, 1
-        while have > 0 and not reached[goal // width]:
+        while have > 0 and not (reached[goal // width] if not few else (sums == goal).any()):
             n = min(power, have)
-            old = np.flatnonzero(reached)[::-1]  # the smallest of those that fall together is written last
-            old = old[sums[old] + n * size <= most]
+            old = np.flatnonzero(sums + n * size <= most)
             new = (sums[old] + n * size) // width
-            old, new = old[~reached[new]], new[~reached[new]]
-            sums[new], before[new], by[new], reached[new] = sums[old] + n * size, old, len(steps), True
+            if few:
+                fresh = old[~np.isin(new, sums)]
+            else:
+                old, new = old[~reached[new]], new[~reached[new]]
+                first = np.empty(len(reached), np.int64)
+                first[new[::-1]] = old[::-1]  # of those that fall together the one that was reached first
+                fresh = first[new[first[new] == old]]
+                reached[new] = True
+            sums, before, by = np.append(sums, sums[fresh] + n * size), np.append(before, fresh), np.append(by, np.full(len(fresh), len(steps)))
             steps.append((int(i), n))
             have, power = have - n, power * 2
-        if reached[goal // width]:
-            break
-    places = np.flatnonzero(reached)
-    at = int(places[np.abs(sums[places] - goal).argmin()])  # of two that are equally near, the smaller
+    at = int(np.lexsort((sums, np.abs(sums - goal)))[0])  # of two that are equally near, the smaller
     while at:
         i, n = steps[by[at]]
         taken[i] += n
