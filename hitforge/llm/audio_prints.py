@@ -9,9 +9,10 @@ Recordings with equal fingerprints are one class. Every integer is a landmark, r
 two classes that share landmarks have a histogram of offsets; every offset with a vote is tested by the bit errors over
 the whole overlap. The best confirmed alignment with an earlier class is given, and how many classes are confirmed.
 
-Landmarks of up to RARE places are joined by value. Classes that hold a more frequent one are also dealt into blocks, and
-each two blocks meet in one place, where landmarks are joined and offsets tested without writing the pairs down. A pair
-of classes is looked at in one of the two ways only, and none is left out.
+Landmarks of up to RARE places are joined by value. Classes that hold a more frequent one are dealt into blocks by the least
+of these, so that copies of a recording fall together. Two blocks meet only where they share a landmark, and a class comes
+to a block only where one of that block has a landmark of its own; there landmarks are joined and offsets tested without
+writing the pairs down. A pair of classes is looked at in one of the two ways only, and none is left out.
 
 Edge cases: null, empty and short audio has no integers and isn't aligned. A row without id is fingerprinted and not
 aligned. Repeated rows fall into one class; of rows with one id and different audio the class rows are kept apart by
@@ -42,6 +43,8 @@ BLOCK = 8192
 RARE = 16
 #: Integers of a block of classes, about; the least number of blocks; shared landmarks and compared integers at once.
 BLOCK_INTS, LEAST_BLOCKS, RUN, CELLS = 1 << 19, 12, 1 << 20, 1 << 21
+#: Blocks whose number of parts may be broadcast (16 bytes each).
+BROADCAST_BLOCKS = 1_000_000
 #: Filter values from -2 to 2 are told apart by so many bins.
 BINS = 4096
 GRAY = np.array([0, 1, 3, 2], np.uint32)
@@ -261,15 +264,31 @@ def _alignments(ids: np.ndarray, ints: np.ndarray, starts: np.ndarray, sizes: np
 FOUND = "doc_id bigint, links bigint, anchor_id bigint, position bigint, votes bigint, good boolean, bit_errors double"
 
 
-def _in_blocks(first: DataFrame) -> DataFrame:
-    """FOUND of the alignments of ``first(doc_id, ints, marks)`` with each other."""
-    ints = first.agg(F.sum(F.size("ints"))).first()[0] or 0
-    blocks = max(LEAST_BLOCKS, -(-ints // BLOCK_INTS))
-    own = F.pmod(F.xxhash64("doc_id"), F.lit(blocks))
-    rows = first.select("doc_id", "ints", "marks", own.alias("own")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    rows = rows.select((F.least("own", "other") * blocks + F.greatest("own", "other")).alias("pair"), "own", "doc_id", "ints", "marks")
+def _meetings(first: DataFrame, marks: DataFrame) -> DataFrame:
+    """(doc_id, own, other): the block of each class, and the blocks of which some class shares a landmark with it, its own too.
+
+    ``marks(value, doc_id, n)`` are the shared landmarks of the classes ``first(doc_id, ints)``. Blocks go by the least frequent
+    landmark in an order by hash, are about BLOCK_INTS integers, and a larger group of one such landmark has several.
+    """
+    least = marks.filter(F.col("n") > RARE).groupBy("doc_id").agg(F.min(F.xxhash64("value")).alias("by"))
+    sized = written(first.select("doc_id", F.size("ints").alias("n_ints")).join(least, "doc_id"))
+    blocks = max(LEAST_BLOCKS, -(-(sized.agg(F.sum("n_ints")).first()[0] or 0) // BLOCK_INTS))
+    binned = sized.withColumn("bin", F.pmod("by", F.lit(blocks)))
+    parts = written(binned.groupBy("bin").agg(F.ceil(F.sum("n_ints") / BLOCK_INTS).alias("parts")))  # a row for each block at most
+    parts = F.broadcast(parts) if blocks <= BROADCAST_BLOCKS else parts
+    own = written(binned.join(parts, "bin").select("doc_id", (F.col("bin") * (1 << 20) + F.pmod(F.xxhash64("doc_id"), "parts")).alias("own")))
+    held = written(marks.select("value", "doc_id").join(own, "doc_id").distinct())
+    among = held.groupBy("value").agg(F.collect_set("own").alias("others"))
+    return held.join(among, "value").select("doc_id", "own", F.explode("others").alias("other")).distinct()
+
+
+def _in_blocks(first: DataFrame, marks: DataFrame) -> DataFrame:
+    """FOUND of the alignments of ``first(doc_id, ints, marks)`` with each other, by their shared landmarks ``marks(value, doc_id, n)``."""
+    meetings = written(_meetings(first, marks))
+    rows = meetings.join(first.select("doc_id", "ints", "marks"), "doc_id").select(F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "doc_id", "ints", "marks")
+
     def met(group: pa.Table) -> pa.Table:
-        i, j = divmod(group.column("pair")[0].as_py(), blocks)
+        i, j = group.column("low")[0].as_py(), group.column("high")[0].as_py()
         ids, block = group.column("doc_id").to_numpy(), group.column("own").to_numpy()
         ints, marks = (group.column(c).combine_chunks() for c in ("ints", "marks"))
         sizes, counts = (x.value_lengths().to_numpy().astype(np.int64) for x in (ints, marks))
@@ -285,7 +304,8 @@ def _in_blocks(first: DataFrame) -> DataFrame:
         return pa.table([pa.array(ids[rows]), pa.array(links[rows]), *columns], names=["doc_id", "links", "anchor_id", "position", "votes", "good", "bit_errors"])
 
     # a number of partitions of its own: the rows are few for the work on them
-    return rows.repartition(min(4000, blocks * (blocks + 1)), "pair").groupBy("pair").applyInArrow(met, FOUND)
+    places = meetings.select(F.least("own", "other"), F.greatest("own", "other")).distinct().count()
+    return rows.repartition(max(1, min(4000, places)), "low", "high").groupBy("low", "high").applyInArrow(met, FOUND)
 
 
 def _by_value(first: DataFrame, marks: DataFrame) -> DataFrame:
@@ -330,7 +350,7 @@ def _linked(first: DataFrame) -> DataFrame:
     shared = written(marks.join(counts, "value"))
     often = written(shared.filter(F.col("n") > RARE).select("doc_id").distinct())
     flagged = shared.filter(F.col("n") <= RARE).join(often.withColumn("yes", F.lit(True)), "doc_id", "left").select("value", "doc_id", "at", F.coalesce("yes", F.lit(False)).alias("often"))
-    found = _by_value(first, flagged).unionByName(_in_blocks(written(first.join(often, "doc_id", "left_semi"))))
+    found = _by_value(first, flagged).unionByName(_in_blocks(written(first.join(often, "doc_id", "left_semi")), written(shared.join(often, "doc_id", "left_semi").select("value", "doc_id", "n"))))
     best = F.when(F.col("anchor_id").isNotNull(), F.struct("good", "votes", (-F.col("anchor_id")).alias("a"), (-F.abs("position")).alias("p"), "position", "bit_errors"))
     return found.groupBy("doc_id").agg(F.sum("links").alias("links"), F.max(best).alias("b"))
 
