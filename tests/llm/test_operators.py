@@ -869,3 +869,49 @@ def test_anchor_among_quarters(spark):
     got = {r.doc_id: r for r in audio_prints.align(written(rows)).collect()}
     # the fourth's quarter ends where the song does, so that is an alignment too
     assert (got[6].anchor_id, got[6].position, got[6].aligned, got[6].links, got[5].links) == (5, 0, True, 2, 2)
+
+
+def test_unrelated_groups_never_meet(spark):
+    """Two groups of 1,000 near copies: a class comes to no block of the other group, and to few of its own."""
+    from hitforge.storage import written
+
+    dice = np.random.default_rng(14)
+    rows = []
+    for group in range(2):
+        song = dice.integers(-(2**31), 2**31, 60).astype(np.int32)
+        for i in range(1000):
+            own = song.copy()
+            own[dice.integers(0, 60, 2)] ^= np.int32(1)
+            rows.append((1000 * group + i, own.tolist(), audio_prints.landmarks(own).tolist()))
+    first = written(spark.createDataFrame(rows, "doc_id bigint, ints array<int>, marks array<int>"))
+    marks = first.select("doc_id", F.explode(F.transform("marks", lambda p: F.get("ints", p))).alias("value"))
+    marks = written(marks.join(marks.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "value"))
+    met = audio_prints._meetings(first, marks).collect()
+    blocks = [{r.own for r in met if r.doc_id // 1000 == group} for group in range(2)]
+    other = [{r.other for r in met if r.doc_id // 1000 == group} for group in range(2)]
+    assert other == blocks and (blocks[0].isdisjoint(blocks[1]) or len(blocks[0] & blocks[1]) < len(blocks[0] | blocks[1]))
+    assert {r.doc_id for r in met} == set(range(2000)) and len(met) <= 2000 * max(map(len, blocks))
+    assert max(map(len, blocks)) <= audio_prints.LEAST_BLOCKS
+
+
+@pytest.mark.parametrize("kind", ["few", "mixed"])
+def test_fit_comes_near_whole_budgets(kind):
+    """Against the best of all subset sums of the whole source, not of what even shares leave."""
+    if kind == "few":
+        for sizes, counts, budget, best in (([247_702, 379_486, 630_745], [2, 2, 1], 1_124_424, 1725), ([41, 314], [3, 2], 551, 77)):
+            assert abs(budget - (np.array(sizes) * mixing.fit(np.array(sizes), np.array(counts), budget, 7)).sum()) == best
+    dice = random.Random(1 if kind == "few" else 2)
+    for _ in range(300):
+        n = dice.randint(1, 8 if kind == "few" else 40)
+        sizes = sorted(dice.sample(range(1, dice.choice([60, 1000, 100_000, 900_000])), n))
+        counts = [dice.randint(1, 3 if kind == "few" else 500) for _ in sizes]
+        total = sum(s * c for s, c in zip(sizes, counts, strict=True))
+        budget = dice.randint(1, total)
+        off = abs(budget - int((np.array(sizes) * mixing.fit(np.array(sizes), np.array(counts), budget, 7)).sum()))
+        if kind == "few":
+            reach = {0}
+            for s, c in zip(sizes, counts, strict=True):
+                reach = {r + k * s for r in reach for k in range(c + 1)}
+            assert off == min(abs(budget - r) for r in reach)
+        else:
+            assert off <= max(0.01 * budget, sizes[-1] / 2)
