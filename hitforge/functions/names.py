@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -73,12 +74,27 @@ def bad_exact(name: Column, values: Sequence[str]) -> Column:
 
 def bad_substring(name: Column, values: Sequence[str]) -> Column:
     """Whether a name contains one of the long rules."""
-    return reduce(lambda a, b: a | b, [F.contains(F.lower(name), F.lit(v.lower())) for v in values], F.lit(False))
+    if not values:
+        return F.lit(False)
+    return F.lower(name).rlike("|".join(f"\\Q{v.lower()}\\E" for v in trimmed(values))) if all("\\E" not in v for v in values) else reduce(lambda a, b: a | b, [F.contains(F.lower(name), F.lit(v.lower())) for v in values])
+
+
+def trimmed(values: Sequence[str]) -> list[str]:
+    """The values without those that contain another one."""
+    lower = sorted({v.lower() for v in values}, key=lambda v: (len(v), v))
+    return [v for i, v in enumerate(lower) if not any(w in v for w in lower[:i])]
+
+
+#: What makes a pattern mean something else inside an alternation: references to groups, names of groups, comments.
+APART = re.compile(r"\\[1-9k]|\(\?<[A-Za-z]|\(\?[a-zA-Z]*x|\\Q")
 
 
 def bad_regex(name: Column, patterns: Sequence[str]) -> Column:
-    """Whether a pattern is found in a name, whatever the case."""
-    return reduce(lambda a, b: a | b, [name.rlike(f"(?iU){p}") for p in patterns], F.lit(False))
+    """Whether a pattern is found in a name, whatever the case: one alternation of all patterns that can be part of one."""
+    together = [p for p in dict.fromkeys(patterns) if not APART.search(p)]
+    joined = [f"(?iU)(?:{')|(?:'.join(together)})"] if together else []
+    joined += [f"(?iU){p}" for p in patterns if APART.search(p)]
+    return reduce(lambda a, b: a | b, [name.rlike(p) for p in joined], F.lit(False))
 
 
 def normalize_name(name: Column) -> Column:

@@ -54,16 +54,19 @@ DEFAULT = RuleSet(
 )
 
 
-def valid_pattern(spark: SparkSession, pattern: str) -> bool:
-    """Whether Spark's regular expressions accept a pattern."""
-    try:
-        spark.range(1).select(F.lit("").rlike(f"(?iU){pattern}")).collect()
-        return True
-    except Exception as error:
-        if "PATTERN" not in str(error).upper():
-            raise
-        warnings.warn(f"rule skipped, not a regular expression: {pattern}", stacklevel=2)
-        return False
+def valid_patterns(spark: SparkSession, patterns: list[str]) -> list[bool]:
+    """Which patterns Spark's regular expressions accept: they are compiled by the JVM's own pattern class, without a job."""
+    from pyspark.errors import IllegalArgumentException  # which a syntax error of a pattern is
+
+    compiler, good = spark.sparkContext._jvm.java.util.regex.Pattern, []
+    for pattern in patterns:
+        try:
+            compiler.compile(f"(?iU){pattern}")
+            good.append(True)
+        except IllegalArgumentException:
+            warnings.warn(f"rule skipped, not a regular expression: {pattern}", stacklevel=3)
+            good.append(False)
+    return good
 
 
 def parse_rules(spark: SparkSession, lines: list[str]) -> RuleSet:
@@ -74,12 +77,13 @@ def parse_rules(spark: SparkSession, lines: list[str]) -> RuleSet:
             continue
         for prefix, kind in (("strip_regex:", "strip"), ("symbol_regex:", "symbol"), ("regex:", "regex")):
             if line.startswith(prefix):
-                if valid_pattern(spark, pattern := line[len(prefix) :].strip()):
-                    found[kind].append(pattern)
+                found[kind].append(line[len(prefix) :].strip())
                 break
         else:
             found["exact" if len(line) <= EXACT else "substring"].append(line.lower())
-    return RuleSet(**{k: tuple(v) for k, v in found.items()})
+    kinds = ("strip", "regex", "symbol")
+    good = iter(valid_patterns(spark, [p for k in kinds for p in found[k]]))
+    return RuleSet(**{k: tuple(p for p in v if k not in kinds or next(good)) for k, v in ((k, found[k]) for k in (*kinds, "exact", "substring"))})
 
 
 def read_rules(spark: SparkSession, path: str) -> RuleSet:

@@ -1,4 +1,4 @@
-"""Similarity of names and symbols. The matching-blocks ratio has no built-in form; it runs on distinct ordered pairs, in Arrow batches."""
+"""Similarity of names and symbols. The matching-blocks ratio has no built-in form; it runs on distinct ordered pairs, a batch at a time."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from hitforge.functions.matching import ratios
 from hitforge.functions.names import normalize_name, token_jaccard
 
 #: What equal symbols add, below which likeness of symbols caps, and the cap.
@@ -134,14 +135,27 @@ def classes(names: list[str], symbols: list[str]) -> tuple[np.ndarray, Labels]:
 
 @pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """``ratio`` of two columns."""
-    return pd.Series([ratio(x or "", y or "") for x, y in zip(a, b, strict=True)])
+    """``ratio`` of two columns; the blocks of all pairs of a batch are found side by side."""
+    return pd.Series(ratios(a.fillna("").tolist(), b.fillna("").tolist()))
 
 
-@pandas_udf(T.StringType())
-def fmt2(x: pd.Series) -> pd.Series:
-    """Two decimals, half to even on the exact binary value; only for text sinks."""
-    return x.map(lambda v: None if v is None or v != v else f"{v:.2f}")
+def fmt2(x: Column | str) -> Column:
+    """Two decimals of a number, half to even on the exact binary value; only for text sinks.
+
+    A hundred times the number is rounded, and the exact rest of that product (from the number's upper and lower half, of 26
+    bits each) decides where the rounded one is halfway. Numbers of 2**45 and more have few decimals and are left to Spark.
+    """
+    c = (F.col(x) if isinstance(x, str) else x).cast("double")
+    size, times = F.abs(c), 100.0 * F.abs(c)
+    upper = size * F.lit(134217729.0) - (size * F.lit(134217729.0) - size)
+    rest = (upper * 100.0 - times) + (size - upper) * 100.0
+    whole = F.floor(times)
+    over = (times - whole) - 0.5
+    up = (over > 0) | ((over == 0) & ((rest > 0) | ((rest == 0) & (whole % 2 == 1))))
+    # a product rounded up to a whole number stands just below it, which rounds to the same
+    cents = whole + up.cast("bigint")
+    text = F.concat(F.when(c.cast("string").startswith("-"), "-").otherwise(""), F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    return F.when(c.isNull() | F.isnan(c), F.lit(None).cast("string")).when(size < float(1 << 45), text).otherwise(F.format_string("%.2f", c))
 
 
 def name_similarity(pairs: DataFrame, a: str, b: str, out: str = "similarity") -> DataFrame:

@@ -18,16 +18,15 @@ def hit_stats(hits: DataFrame, threshold: float = 1e-5) -> DataFrame:
     """One row: hits before and after the e-value filter, distinct queries, and sources of what passes."""
     passes = F.isnan("evalue") | (F.col("evalue") <= threshold)
     source = hit_source(F.col("subject_id"))
-    return hits.agg(
-        F.count(F.lit(1)).alias("total_hits"),
-        F.count_if(~passes).alias("filtered_hits"),
-        F.count_if(passes).alias("passing_hits"),
-        F.countDistinct("transcript_id").alias("queries_before"),
-        F.countDistinct(F.when(passes, F.col("transcript_id"))).alias("queries_after"),
-        F.count_if(passes & (source == "sp")).alias("sp_hits"),
-        F.count_if(passes & (source == "tr")).alias("tr_hits"),
-        F.count_if(passes & (source == "other")).alias("other_hits"),
-    )
+    cases = {"filtered_hits": ~passes, "passing_hits": passes, **{f"{s}_hits": passes & (source == s) for s in ("sp", "tr", "other")}}
+    # counted by query first, so that distinct queries are rows and no hit is handed on more than once
+    by_query = hits.groupBy("transcript_id").agg(F.count(F.lit(1)).alias("total_hits"), *[F.count_if(case).alias(name) for name, case in cases.items()])
+    total = lambda name: F.coalesce(F.sum(name), F.lit(0)).alias(name)
+    return by_query.agg(
+        total("total_hits"), total("filtered_hits"), total("passing_hits"),
+        F.count("transcript_id").alias("queries_before"), F.count_if(F.col("transcript_id").isNotNull() & (F.col("passing_hits") > 0)).alias("queries_after"),
+        total("sp_hits"), total("tr_hits"), total("other_hits"),
+    )
 
 
 def with_names(hits: DataFrame, rules: RuleSet) -> DataFrame:
@@ -106,8 +105,8 @@ def last_value(rows: DataFrame, key: str, value: str, order: str = "ord") -> Dat
 
 
 def one_value(rows: DataFrame, key: str, value: str) -> DataFrame:
-    """One row for each key: its last value by ``ord``, or of tables without order, whose keys are unique, its only one."""
-    return last_value(rows, key, value) if "ord" in rows.columns else rows.select(key, value)
+    """One row for each key: its last value by ``ord``, or of tables without order its greatest one."""
+    return last_value(rows, key, value) if "ord" in rows.columns else rows.groupBy(key).agg(F.max(value).alias(value))
 
 
 def fasta_stats(transcripts: DataFrame) -> DataFrame:

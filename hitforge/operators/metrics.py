@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitforge.functions.names import percent
+from hitforge.storage import written
 
 
 def annotation_coverage(annotations: DataFrame) -> DataFrame:
@@ -30,21 +31,44 @@ def go_reduction_stats(terms: DataFrame, specific: DataFrame) -> DataFrame:
     return before.crossJoin(F.broadcast(after)).select("terms_before", "terms_after", gone.alias("percent_reduced"))
 
 
-def spread(rows: DataFrame, column: str) -> list:
-    """Mean, exact median, least and greatest of a column."""
-    return [F.avg(column).alias("mean"), F.median(column).alias("median"), F.min(column).alias("min"), F.max(column).alias("max")]
+def exact_medians(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, median): the middle value of each key, or the mean of the two in the middle.
+
+    Values are counted and dealt into ranges in order; from the ranges' sums it is known in which ones the middle places
+    fall, and only these are looked into. So no task holds more than a range of the different values.
+    """
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
+    ranged = written(counts.repartitionByRange(key, value).withColumn("range", F.spark_partition_id()))
+    by_range = Window.partitionBy(key).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy(key, "range").agg(F.sum("n").alias("of"))
+    sums = sums.withColumns({"before": F.coalesce(F.sum("of").over(by_range), F.lit(0)), "all": F.sum("of").over(Window.partitionBy(key))})
+    places = F.array(F.floor((F.col("all") - 1) / 2), F.floor(F.col("all") / 2))
+    middle = sums.withColumn("place", F.explode(places)).filter("place >= before and place < before + of").select(key, "range", "before", "place")
+    inside = Window.partitionBy(key, "range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    near = ranged.join(F.broadcast(middle.select(key, "range").distinct()), [key, "range"], "left_semi")
+    near = near.withColumn("inner", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    found = near.join(F.broadcast(middle), [key, "range"]).filter("place >= before + inner and place < before + inner + n")
+    return found.groupBy(key).agg(F.avg(value).alias("median"))
+
+
+def spread(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, mean, median, min, max) of a column for each key; the keys are few."""
+    others = rows.groupBy(key).agg(F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"))
+    return others.join(F.broadcast(exact_medians(rows, key, value)), key, "left").select(key, "mean", "median", "min", "max")
 
 
 def concordance_stats(annotations: DataFrame) -> DataFrame:
     """(measure, mean, median, min, max) of name concordance over genes with a name and symbol concordance over genes with a symbol."""
     names = annotations.filter("protein_name <> ''").select(F.lit("name").alias("measure"), F.col("name_concordance").alias("x"))
     symbols = annotations.filter("gene_symbol <> ''").select(F.lit("symbol").alias("measure"), F.col("symbol_concordance").alias("x"))
-    return names.unionByName(symbols).groupBy("measure").agg(*spread(annotations, "x"))
+    return spread(written(names.unionByName(symbols)), "measure", "x")
 
 
 def cluster_fraction_stats(annotations: DataFrame) -> DataFrame:
-    """One row: mean, median, min, max of the winning clusters' shares above 0."""
-    return annotations.filter("cluster_fraction > 0").agg(*spread(annotations, "cluster_fraction"))
+    """One row: mean, median, min, max of the winning clusters' shares above 0; nulls without any."""
+    rows = written(annotations.filter("cluster_fraction > 0").select(F.lit("cluster").alias("measure"), F.col("cluster_fraction").alias("x")))
+    one = annotations.sparkSession.range(1).select(F.lit("cluster").alias("measure"))
+    return one.join(F.broadcast(spread(rows, "measure", "x")), "measure", "left").drop("measure")
 
 
 def ontology_stats(terms: DataFrame) -> DataFrame:

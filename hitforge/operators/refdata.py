@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitforge.functions.names import taxa_of
-from hitforge.sources.readers import placeholder_filter
+from hitforge.sources.readers import is_written, placeholder_filter, table_name
+from hitforge.storage import written
 
 
 def gaf_filter(gaf: DataFrame, db: str = "UniProtKB") -> DataFrame:
@@ -31,7 +32,8 @@ def build_go_map(gaf: DataFrame, taxa: list[str] | None = None, evidence: list[s
 
 def go_map_stats(gaf: DataFrame, go_map: DataFrame) -> DataFrame:
     """One row: lines, accessions and annotations."""
-    made = go_map.agg(F.countDistinct("accession").alias("accessions"), F.count(F.lit(1)).alias("annotations"))
+    by_key = go_map.groupBy("accession").agg(F.count(F.lit(1)).alias("n"))
+    made = by_key.agg(F.count("accession").alias("accessions"), F.coalesce(F.sum("n"), F.lit(0)).alias("annotations"))
     return gaf.agg(F.count(F.lit(1)).alias("lines")).crossJoin(F.broadcast(made))
 
 
@@ -40,13 +42,37 @@ def go_map_lines(go_map: DataFrame) -> DataFrame:
     return go_map.groupBy("accession").agg(F.array_join(F.array_sort(F.collect_set("go_id")), ";").alias("go_terms"))
 
 
-def build_reference_tables(path: str, go_map: DataFrame, id_map: DataFrame, gene_info: DataFrame, rebuild: bool = False) -> None:
-    """Writes three keyed tables of two columns, sorted by key inside files; tables that are there stay unless rebuilt."""
-    mode = "overwrite" if rebuild else "ignore"
+#: Buckets of the keyed tables.
+BUCKETS = 64
+#: Keys of hits that may be broadcast, after a count (about 60 bytes each); more are joined by shuffle or by bucket.
+BROADCAST_KEYS = 1_000_000
+#: Names and keys of the lookup tables.
+TABLES = {"go_mapping": "accession", "ncbi_idmapping": "accession", "ncbi_geneinfo": "gene_id"}
+
+
+def build_reference_tables(path: str, go_map: DataFrame, id_map: DataFrame, gene_info: DataFrame, rebuild: bool = False, buckets: int = BUCKETS) -> None:
+    """Writes three keyed tables of two columns, dealt into buckets of their keys and sorted in each; tables that are there stay unless rebuilt.
+
+    A join on the key reads buckets where they are, so that a table of any size is shuffled once, when it is built.
+    """
+    spark = go_map.sparkSession
     tables = {
-        "go_mapping": (go_map.select("accession", "go_id"), "accession"),
-        "ncbi_idmapping": (placeholder_filter(id_map, "gene_id").groupBy("accession").agg(F.max_by("gene_id", "ord").alias("gene_id")), "accession"),
-        "ncbi_geneinfo": (placeholder_filter(gene_info, "symbol").groupBy("gene_id").agg(F.max_by("symbol", "ord").alias("symbol")), "gene_id"),
+        "go_mapping": go_map.select("accession", "go_id"),
+        "ncbi_idmapping": placeholder_filter(id_map, "gene_id").groupBy("accession").agg(F.max_by("gene_id", "ord").alias("gene_id")),
+        "ncbi_geneinfo": placeholder_filter(gene_info, "symbol").groupBy("gene_id").agg(F.max_by("symbol", "ord").alias("symbol")),
     }
-    for name, (table, key) in tables.items():
-        table.repartition(key).sortWithinPartitions(key).write.mode(mode).parquet(f"{path}/{name}")
+    for name, table in tables.items():
+        where, key = f"{path}/{name}", TABLES[name]
+        if not rebuild and is_written(spark, where):
+            continue
+        held = table_name(where)
+        spark.sql(f"DROP TABLE IF EXISTS {held}")
+        dealt = table.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+        dealt.option("path", where).saveAsTable(held)
+
+
+def wanted(table: DataFrame, keys: DataFrame, key: str, most: int | None = None) -> DataFrame:
+    """The rows of a lookup table whose key is among ``keys``, written: where these are few, no row of the table is shuffled."""
+    keys = written(keys.select(key).distinct())
+    few = keys.count() <= (BROADCAST_KEYS if most is None else most)
+    return written(table.join(F.broadcast(keys) if few else keys, key, "left_semi"))

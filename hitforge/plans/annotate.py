@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitforge.functions.rules import DEFAULT, RuleSet
-from hitforge.operators import clusters, hits, ontology, propagation
+from hitforge.operators import clusters, hits, ontology, propagation, refdata
 from hitforge.storage import written
 
 
@@ -42,6 +42,18 @@ def selected_hits(raw: DataFrame, transcripts: DataFrame, params: Params) -> Dat
     return hits.isoform_merge(best, transcripts, params.unique_subjects)
 
 
+def wanted_references(refs: References, won: DataFrame) -> References:
+    """The lookup tables reduced to the keys of the winning hits, which is all that is looked up."""
+    if refs.go_map is None and refs.id_map is None:
+        return refs
+    keys = written(hits.accession_set(won))
+    go_map = refs.go_map if refs.go_map is None else refdata.wanted(refs.go_map, keys, "accession")
+    if refs.id_map is None or refs.gene_info is None:
+        return replace(refs, go_map=go_map)
+    id_map = refdata.wanted(refs.id_map, keys, "accession")
+    return replace(refs, go_map=go_map, id_map=id_map, gene_info=refdata.wanted(refs.gene_info, id_map, "gene_id"))
+
+
 def annotate(raw: DataFrame, transcripts: DataFrame, genes: DataFrame, refs: References | None = None, params: Params | None = None) -> DataFrame:
     """One row for each of ``genes(gene_id, gene_ord)``: name, symbol, counts, concordance, terms and evidence.
 
@@ -51,6 +63,7 @@ def annotate(raw: DataFrame, transcripts: DataFrame, genes: DataFrame, refs: Ref
     pool = written(selected_hits(raw, transcripts, params).join(genes.select("gene_id"), "gene_id", "left_semi"))
     clustered = written(clusters.cluster_hits(pool, params.consensus))
     won = written(clusters.winning_hits(clustered))
+    refs = wanted_references(refs, won)
     chosen = written(clusters.select_name_symbol(won, params.rules, refs.id_map, refs.gene_info))
     first = propagation.propagate_symbols(chosen.join(genes.select("gene_id", "gene_ord"), "gene_id"))
     final = written(first.drop("gene_ord"))

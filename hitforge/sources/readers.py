@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitforge.functions.names import header_tag, split_terms, strip
+from hitforge.sources import block_gzip
 
 
 def file_order() -> Column:
@@ -14,8 +17,14 @@ def file_order() -> Column:
 
 
 def _lines(spark: SparkSession, path, line_sep: str | None = None) -> DataFrame:
+    """(value, ord) of text files. Block gzip is read in ranges of blocks; what plain gzip gives, which can't be cut, is dealt out after reading."""
+    paths = [path] if isinstance(path, str) else list(path)
+    zipped = all(p.endswith((".gz", ".bgz")) for p in paths)
+    if zipped and block_gzip.are_block_gzip(paths):
+        return block_gzip.read_records(spark, paths, line_sep or "\n").select("value", F.struct("path", "block", "seq").alias("ord"))
     reader = spark.read.option("lineSep", line_sep) if line_sep else spark.read
-    return reader.text(path).select("value", file_order().alias("ord"))
+    lines = reader.text(path).select("value", file_order().alias("ord"))
+    return lines.repartition(spark.sparkContext.defaultParallelism) if zipped else lines
 
 
 def read_hits(spark: SparkSession, path) -> DataFrame:
@@ -120,7 +129,28 @@ def read_gff3(spark: SparkSession, path) -> DataFrame:
     return rows.select("line", is_feature.alias("is_feature"), *[F.when(is_feature, F.get("f", i)).alias(n) for i, n in enumerate(names)], "ord")
 
 
-def read_reference_table(spark: SparkSession, path: str, keys: DataFrame | None = None, key: str | None = None) -> DataFrame:
-    """A keyed lookup table, reduced to the keys that are wanted."""
-    table = spark.read.parquet(path)
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written there as a whole."""
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+
+
+def table_name(path: str) -> str:
+    """The name under which the session knows the table in a folder."""
+    return f"`lookup_{hashlib.sha256(path.encode()).hexdigest()[:24]}`"
+
+
+def read_reference_table(spark: SparkSession, path: str, keys: DataFrame | None = None, key: str | None = None, buckets: int | None = None) -> DataFrame:
+    """A keyed lookup table, reduced to the keys that are wanted.
+
+    With ``key`` and ``buckets``, as it was built, the session reads it by bucket: joins on the key don't shuffle it.
+    """
+    if buckets and key:
+        name = table_name(path)
+        if not spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+            spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'")
+        table = spark.table(name)
+    else:
+        table = spark.read.parquet(path)
     return table if keys is None else table.join(keys.select(key), key, "left_semi")
