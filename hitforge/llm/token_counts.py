@@ -2,18 +2,18 @@
 
 Two deterministic transducers are composed. The first runs over classes of code points and marks where words begin; its
 chunks are functions from states to states, composed by a parallel prefix scan. The second runs over bytes: it is
-compiled from the vocabulary, has a state for each beginning of a word, and its transition at the end of a word emits the
-number of tokens that the word has. Every word's end leads back to its first state whatever went before, so the map of a
-stretch that holds an end is constant, and the scan of the first transducer gives the state at the start of every word:
-all words of a piece then run through the second one side by side, a byte at a time.
+compiled from the vocabulary and has a state for each beginning of a word. Each transition emits a count: by how many the
+tokens of the longer beginning differ from those of the shorter one, less than none where a byte lets tokens merge. The
+transition at the end of a word emits what its last merges add or take. Every word's end leads back to its first state
+whatever went before. So the map of a word is constant, with the sum of what its transitions emit, and such maps with
+their counts compose by a prefix scan of sums; all words of a piece run side by side, a byte at a time.
 
 A word that leads out of the automaton is merged pair by pair; when it comes again, its path is compiled in, as lazy automata do. The
 automaton has MOST_STATES at most: beyond that it starts again from the vocabulary. Counts don't depend on it.
 
 Edge cases: null and empty texts count 0 tokens and 0 bytes. Special strings inside a text count as one token each and
-part the text, which is how the tokenizer handles them unless told otherwise. Code points that the library classes or
-lower-cases otherwise than this Python, as their Unicode versions differ, are asked of the library once, where it is
-installed. A text of any length is read in bounded pieces; a very long word is merged in n log n. Repeated rows give
+part the text, which is how the tokenizer handles them unless told otherwise. Code points that the tokenizer
+classes or lower-cases by a later Unicode version than this Python's are in a table of fixed values. A text of any length is read in bounded pieces; a very long word is merged in n log n. Repeated rows give
 repeated rows; an empty table gives an empty table. Other columns, whatever their names, are not carried along.
 """
 
@@ -24,7 +24,7 @@ import json
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,8 @@ from hitforge.llm.transducer import LETTER, NUMBER, OTHER, SPACE, WHITE, class_t
 #: States of the automaton, slots of its table of transitions, and the longest word that is compiled in, in bytes.
 MOST_STATES, SLOTS, LONGEST = 1 << 20, 1 << 22, 64
 START, NOWHERE = 1, 0
+#: No word of the automaton ends in a state.
+NO_END = -(1 << 15)
 #: Words whose counts are kept in mind until they come again.
 MOST_ONCE = 300_000
 
@@ -58,11 +60,16 @@ def _slot(keys: np.ndarray) -> np.ndarray:
 
 
 class WordAutomaton:
-    """States and transitions (state, byte) in an open table of numbers, and what the end of a word emits in each state."""
+    """States and transitions (state, byte) in an open table of numbers, and what transitions emit.
 
-    def __init__(self):
+    One transition leads into each state, so that what it emits is held with the state: ``emits`` for it, ``ends`` for the end
+    of a word there (NO_END where none was compiled). ``tokens`` counts those of a beginning of a word.
+    """
+
+    def __init__(self, tokens: Callable[[bytes], int]):
         self.keys, self.next = np.full(SLOTS, -1, np.int64), np.zeros(SLOTS, np.int32)
-        self.emits, self.states = np.full(MOST_STATES + 1, -1, np.int32), 2
+        self.emits, self.upto, self.ends = np.zeros(MOST_STATES + 1, np.int16), np.zeros(MOST_STATES + 1, np.int16), np.full(MOST_STATES + 1, NO_END, np.int16)
+        self.states, self.tokens = 2, tokens
 
     def step(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """The next state of each, NOWHERE where there is no transition."""
@@ -95,13 +102,16 @@ class WordAutomaton:
             active = order[: int(np.searchsorted(-sizes[order], -i, side="left"))]
             symbols = data[starts[active] + i].astype(np.int64)
             found = self.step(states[active], symbols).astype(np.int64)
-            new, which = np.unique(states[active][found == NOWHERE] << 8 | symbols[found == NOWHERE], return_inverse=True)
+            without = np.flatnonzero(found == NOWHERE)
+            new, one, which = np.unique(states[active][without] << 8 | symbols[without], return_index=True, return_inverse=True)
             numbers = self.states + np.arange(len(new))
             self._insert(new, numbers)
+            self.upto[numbers] = [self.tokens(words[w][: i + 1]) for w in active[without[one]].tolist()]
+            self.emits[numbers] = self.upto[numbers] - self.upto[new >> 8]
             self.states += len(new)
             found[found == NOWHERE] = numbers[which]
             states[active] = found
-        self.emits[states] = counts[:fit]
+        self.ends[states] = np.array(counts[:fit], np.int16) - self.upto[states]
         return fit
 
     def _insert(self, keys: np.ndarray, values: np.ndarray) -> None:
@@ -116,15 +126,16 @@ class WordAutomaton:
             at[taken] = (at[taken] + 1) & (SLOTS - 1)
 
     def emitted(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """What each word emits at its end; -1 where a word leads out of the automaton or is no word of it."""
+        """The sum of what each word's transitions emit, its end's included; -1 where a word leads out of the automaton or ends in no end of it."""
         order = np.argsort(-sizes, kind="stable")
         by_size, states = -sizes[order], np.full(len(sizes), START, np.int32)
-        begins = starts[order]
+        begins, sums = starts[order], np.zeros(len(sizes), np.int32)
         for i in range(int(sizes.max(initial=0))):
             n = int(np.searchsorted(by_size, -i, side="left"))
             states[:n] = self.step(states[:n], data[begins[:n] + i])
-        out = np.empty(len(sizes), np.int32)
-        out[order] = np.where(states == NOWHERE, -1, self.emits[states])
+            sums[:n] += self.emits[states[:n]]
+        out, ends = np.empty(len(sizes), np.int32), self.ends[states]
+        out[order] = np.where((states == NOWHERE) | (ends == NO_END), -1, sums + ends)
         return out
 
 
@@ -147,7 +158,7 @@ class Tokenizer:
 
     def begin(self) -> None:
         """The automaton of the vocabulary's own words."""
-        self.automaton, self.once = WordAutomaton(), {}
+        self.automaton, self.once = WordAutomaton(self.begun), {}
         # a token may not be what merging its bytes leaves, so that its count is worked out like any other word's
         self.automaton.add(self.whole, [self.merged(w) for w in self.whole])
 
@@ -158,6 +169,11 @@ class Tokenizer:
         get = self.order.get
         return len(merge(made, lambda a, b: get((a, b), NEVER)))
 
+    def begun(self, part: bytes) -> int:
+        """Tokens of the beginning of a word."""
+        get = self.order.get
+        return len(merge([self.names[b] for b in part], lambda a, b: get((a, b), NEVER)))
+
     def normalize(self, text: str) -> str:
         """NFC, then lower case of each character by itself (so a capital sigma never becomes a final one)."""
         if text.isascii():
@@ -202,53 +218,45 @@ class Tokenizer:
         words = np.flatnonzero((kinds != SPACE) & (kinds != WHITE))
         emitted = np.zeros(len(kinds) + 1, np.int64)
         emitted[words + 1] = self.word_counts(data, bounds[words], np.diff(bounds)[words])
+        # the prefix scan of the words' maps: all are constant, so that their counts add up
         upto = np.cumsum(emitted)
         np.add.at(total, np.array(owner, np.int64), upto[first[1:]] - upto[first[:-1]])
         return total
 
 
+# Code points that are letters, numbers or capitals since later versions of Unicode than some Pythons know.
+NEW_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B),
+    (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C),
+    (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+NEW_NUMBERS = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)]
+#: First and last capital, and how far behind it its small letter is.
+NEW_CAPITALS = [
+    (0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1), (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC),
+    (0x10D50, 0x10D65, 32), (0x16EA0, 0x16EB8, 27),
+]
+
+
+@functools.cache
+def differences(path: str = "") -> tuple[dict[int, int], dict[int, str]]:
+    """Classes and small letters of code points that the tokenizer knows by its version of Unicode, whatever this Python's is."""
+    classes = {c: kind for kind, spans in ((LETTER, NEW_LETTERS), (NUMBER, NEW_NUMBERS)) for a, b in spans for c in range(a, b + 1)}
+    return classes, {c: chr(c + by) for a, b, by in NEW_CAPITALS for c in range(a, b + 1)}
+
+
 @functools.cache
-def differences(path: str) -> tuple[dict[int, int], dict[int, str]]:
-    """Code points that the library classes or lower-cases otherwise than this Python, with what it does; none without it."""
-    try:
-        from tokenizers import Tokenizer as Library
-    except ImportError:
-        return {}, {}
-    library = Library.from_file(path)
-    # all but surrogates, private use, and the planes that no version has filled
-    points = [c for c in [*range(0xD800), *range(0xF900, 0x40000), *range(0xE0000, 0xE1000)] if chr(c) not in "\x00"]
-    one = lambda c: library.normalizer.normalize_str(chr(c))
-    own = lambda c: unicodedata.normalize("NFC", chr(c)).replace("Σ", "σ").lower()
-    table = class_table()
-    lower = {c: low for c in points if table[c] not in (SPACE, WHITE) and (low := one(c)) != own(c)}
-    # between letters a letter joins both, between dashes another one does; white space falls away
-    joined = [{at for at, end in (span for _, span in library.pre_tokenizer.pre_tokenize_str(" ".join(f"{x}{chr(c)}{x}" for c in points))) if end - at == 3} for x in "a-"]
-    classes = {}
-    for i, c in enumerate(points):
-        if table[c] in (LETTER, NUMBER, OTHER):
-            kind = LETTER if 4 * i in joined[0] else OTHER if 4 * i in joined[1] else NUMBER
-            if kind != table[c]:
-                classes[c] = kind
-    return classes, lower
-
-
-_COMPILED: dict[str, Tokenizer] = {}
-
-
-def tokenizer(path: str, classes: dict[int, int] | None = None, lower: dict[int, str] | None = None) -> Tokenizer:
+def tokenizer(path: str) -> Tokenizer:
     """One compiled tokenizer for each worker and vocabulary."""
-    if path not in _COMPILED:
-        _COMPILED[path] = Tokenizer(path, classes, lower)
-    return _COMPILED[path]
+    return Tokenizer(path, *differences())
 
 
 def token_counts(df: DataFrame, path: str, text: str = "text", id_col: str = "doc_id", limit: int = 2048) -> DataFrame:
     """id_col, n_bytes, n_tokens, over_limit of each whole text."""
     bound_batches(df.sparkSession)
-    classes, lower = differences(path)
 
     def batches(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compiled = tokenizer(path, classes, lower)
+        compiled = tokenizer(path)
         for part, texts in pieces(of, "_text", SMALL_PIECE):
             sizes = np.diff(texts.offsets)
             if len(texts) == 1:
