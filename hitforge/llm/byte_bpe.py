@@ -25,15 +25,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitforge.llm.pair_merge import NEVER, KeptPieces, merge
-from hitforge.llm.text_batches import Texts, bound_batches, parts, pieces
+from hitforge.llm.text_batches import SMALL_PIECE, Texts, bound_batches, parts, pieces
 from hitforge.llm.transducer import byte_level_splitter, split
 
 
+#: Pieces that each of the cache's two generations holds, about 250 bytes each.
+MOST_PIECES = 120_000
+
+
 class ByteBpe(KeptPieces):
     """The cache of piece to token ids, with the ranks that fill it."""
 
     def __init__(self, path: str):
-        super().__init__()
+        super().__init__(MOST_PIECES)
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
@@ -85,7 +89,7 @@ def _run(df: DataFrame, text: str, make, fields: list[tuple[str, str, pa.DataTyp
     shape = ", ".join([f"`{name}` {source.schema[name].dataType.simpleString()}" for name in keep] + [f"{n} {s}" for n, s, _ in fields])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in pieces(parts, "_text"):
+        for part, texts in pieces(parts, "_text", SMALL_PIECE):
             made = list(zip(*make(texts), strict=True)) or [[] for _ in kinds]
             columns = [part.column(i) for i in range(kept)]
             columns += [pa.array(values, kind) for values, kind in zip(made, kinds, strict=True)]
