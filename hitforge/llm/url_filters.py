@@ -2,7 +2,7 @@
 
 Rules of host and path decide first, the longest that fits. Other urls get the verdict of a logistic regression on
 hashed character n-grams of host and path, which is trained from a small labelled table of urls: hashing is done by
-Spark, the descent over a few hundred rows by the driver, and the weights go back as one constant array.
+Spark, the descent over some hundred rows by the driver, and the weights go back as one constant array.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path and is left to the model, whose score is then
 that of no n-grams. Ties in the length of rules can't occur, as two rules of one length that fit one url are equal; a
@@ -21,28 +21,45 @@ from pyspark.sql import functions as F
 # Fixed values: (verdict, host, path).
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 #: Hash buckets of n-grams, and the lengths of the n-grams.
-BUCKETS, LENGTHS = 4096, (3, 4)
+BUCKETS, LENGTHS = 4096, (1, 2, 3, 4)
 #: Rows of a labelled table that training reads at most, in order of a hash; the table is small by contract.
 MOST_LABELLED = 2000
 
-# Words of unwanted and of wanted hosts, two of which make the name of a site, and what stands around names
-# of both kinds alike.
-UNWANTED = ("casino", "poker", "jackpot", "roulette", "betting", "pills", "viagra", "payday", "loans", "escort", "porn", "xxx", "webcam", "warez", "keygen", "crack", "phishing", "malware", "replica", "clickbait", "adserver", "popup")
-WANTED = ("library", "museum", "school", "college", "weather", "recipes", "travel", "garden", "science", "history", "news", "theatre", "hospital", "council", "nature", "music", "sports", "research", "health", "journal", "archive", "astronomy")
-JOINTS = ("-", "")
+# Words of unwanted and of wanted sites, syllables of wanted sites with invented names, and what stands around
+# the names of both kinds alike.
+UNWANTED = (
+    "casino", "poker", "jackpot", "roulette", "betting", "bets", "pills", "viagra", "payday", "loans", "escort", "adult", "porn", "xxx", "webcam", "warez", "keygen", "crack", "phishing", "malware", "replica", "clickbait",
+    "ads", "track", "popup", "spam", "farm", "cheap", "free", "win", "bonus", "hot", "buy", "deals",
+)
+WANTED = (
+    "library", "museum", "school", "college", "weather", "recipes", "travel", "garden", "science", "history", "news", "theatre", "hospital", "council", "nature", "music", "sports", "research", "health", "journal", "archive", "astronomy",
+    "north", "river", "city", "open", "letters", "notes", "field", "stone", "bridge", "harbour", "maps", "paper",
+)
+SYLLABLES = ("the", "tion", "ing", "an", "er", "ou", "re", "in", "sto", "ble", "ma", "li", "ro", "ven", "ka", "du")
+#: Shapes of names, in which a and b are words, s and t a few syllables and n a number: an unwanted name is put together, a wanted one is mostly plain.
+SHAPES = {
+    1: ("{a}-{b}", "{s}-{b}", "{a}{b}{n}", "{a}-{s}{n}", "{a}-{b}-{n}", "{s}-{t}{n}", "{s}-{t}", "{a}-{b}"),
+    0: ("{a}", "{s}", "{a}{b}", "{s}", "{a}", "{a}-{b}", "{s}", "{a}", "{s}", "{s}{n}", "{s}{t}", "{a}{b}", "{s}"),
+}
 PREFIXES = ("", "www.", "m.", "blog.")
-ENDINGS = (".org", ".net", ".info", ".example.org")
-PATHS = ("/", "/en/1204", "/de/77/", "/article/intro.html", "/news/today?id=3")
+ENDINGS = (".org", ".net", ".info", ".example.org", ".example.com", ".example.net")
+PATHS = ("/", "/en/1204", "/de/77/", "/article/intro.html", "/news/today?id=3", "/fr/310#top", "/es/45.html")
+#: Sites of each kind.
+SITES = 600
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """(url, label, name): 1 for urls to block. Each pair of words makes one name; what surrounds it goes round evenly."""
+    """(url, label, name, words): 1 for urls to block. Names go through words and shapes by a rule; what surrounds them goes round evenly, so that it tells nothing."""
     rows = []
     for label, words in ((1, UNWANTED), (0, WANTED)):
-        for i, (one, two) in enumerate(permutations(words, 2)):
-            name = one + JOINTS[i % 2] + two
-            rows.append((f"http://{PREFIXES[i % 4]}{name}{ENDINGS[i // 4 % 4]}{PATHS[i % 5]}", label, name))
-    return spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{u}', {y}, '{n}')" for u, y, n in rows) + " AS t(url, label, name)")
+        for i, (one, two) in zip(range(SITES), permutations(words, 2), strict=False):
+            shape = SHAPES[label][(i + i // len(words)) % len(SHAPES[label])]
+            made, more = ("".join(SYLLABLES[(i * k + i // k) % len(SYLLABLES)] for k in steps[: 2 + i % 2]) for steps in ((3, 7, 5), (11, 9, 13)))
+            name = shape.format(a=one, b=two, s=made, t=more, n=7 * i % 100)
+            own = [w for key, w in (("{a}", one), ("{b}", two), ("{s}", made), ("{t}", more)) if key in shape]
+            rows.append((f"http://{PREFIXES[i % 4]}{name}{ENDINGS[i // 4 % 6]}{PATHS[i % 7]}", label, name, own))
+    values = ", ".join(f"('{u}', {y}, '{n}', array({', '.join(map(repr, own))}))" for u, y, n, own in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t(url, label, name, words)")
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -55,15 +72,18 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def _grams(host: Column, path: Column) -> Column:
-    """Buckets of the n-grams of host and path, with a mark at the ends of each."""
-    text = F.concat(F.lit("^"), host, F.lit("|"), path, F.lit("$"))
+    """Buckets of the n-grams of host and path, each with a mark at its ends; those of one are told from those of the other.
 
-    def of_length(n: int) -> Column:
+    The short ones tell how names are put together, by hyphens and digits, which holds for words that training hasn't seen.
+    """
+
+    def of_length(text: Column, kind: str, n: int) -> Column:
         # matches of no width, one at each character, so that a long url is read once
         grams = F.when(F.length(text) < n, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
-        return F.transform(grams, lambda g: F.pmod(F.xxhash64(g), F.lit(BUCKETS)).cast("int"))
+        return F.transform(grams, lambda g: F.pmod(F.xxhash64(F.concat(F.lit(kind), g)), F.lit(BUCKETS)).cast("int"))
 
-    return F.array_distinct(F.concat(*[of_length(n) for n in LENGTHS]))
+    ends = [(F.concat(F.lit("^"), host, F.lit("|")), "h:"), (F.concat(F.lit("|"), path, F.lit("$")), "p:")]
+    return F.array_distinct(F.concat(*[of_length(text, kind, n) for text, kind in ends for n in LENGTHS]))
 
 
 def train(labelled: DataFrame, url: str = "url", label: str = "label", rounds: int = 30, rate: float = 0.5, decay: float = 1e-4, most: int = MOST_LABELLED) -> tuple[float, list[float]]:

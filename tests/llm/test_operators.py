@@ -705,8 +705,7 @@ def plain_verdict(url, bias, weights):
     path = re.split("[?#]", rest[len(host) :])[0]
     host = host.translate({i: i + 32 for i in range(65, 91)})
     fits = [(len(h + p), h + p, v) for v, h, p in url_filters.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
-    text = f"^{host}|{path}$"
-    grams = {text[i : i + n] for n in url_filters.LENGTHS for i in range(max(1, len(text) - n + 1))}
+    grams = {kind + text[i : i + n] for kind, text in (("h:", f"^{host}|"), ("p:", f"|{path}$")) for n in url_filters.LENGTHS for i in range(max(1, len(text) - n + 1))}
     signed = [(x := xxhash.xxh64_intdigest(g.encode(), 42)) - (x >> 63 << 64) for g in grams]
     buckets = {x % url_filters.BUCKETS for x in signed}
     score = 1 / (1 + math.exp(-(bias + sum(weights[b] for b in buckets) / math.sqrt(len(buckets)))))
@@ -738,6 +737,35 @@ def test_held_out_hosts(spark):
     assert balance == 0.5
 
 
+def test_held_out_words(spark):
+    """Sites of words that training hasn't seen at all: a quarter of the words of each kind, four times."""
+    table = url_filters.labelled_urls(spark).collect()
+    right = total = 0
+    for part in range(4):
+        held = {w for words in (url_filters.UNWANTED, url_filters.WANTED) for w in words[part::4]}
+        unknown = lambda r: bool(held.intersection(r.words)) or (r.name not in held and len(r.words) == 1 and len(r.name) % 4 == part)  # noqa: B023, E731
+        seen = [(r.url, r.label) for r in table if not unknown(r)]
+        bias, weights = url_filters.train(spark.createDataFrame(seen, "url string, label int"))
+        rows = [r for r in table if unknown(r) and (held.issuperset(r.words) or not held.intersection(r.words))]
+        right += sum((plain_verdict(r.url, bias, weights)[4] >= 0.5) == bool(r.label) for r in rows)
+        total += len(rows)
+    assert total > 200 and right / total >= 0.9
+
+
+def test_one_verdict_for_a_site(spark, sf):
+    """Paths of one kind don't change what the model says of a host, in 0.99 of the pages without a rule; plain hosts aren't blocked."""
+    pages = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/pages.parquet")
+    rows = url_filters.filter_urls(pages).filter("rule is null and host <> ''").collect()
+    verdicts = {}
+    for r in rows:
+        verdicts.setdefault(r.host, Counter())[r.verdict] += 1
+    assert sum(max(v.values()) for v in verdicts.values()) >= 0.99 * len(rows)
+    plain = [r for r in rows if "-" not in r.host]
+    assert sum(r.verdict == "allow" for r in plain) >= 0.95 * len(plain) > 0
+    odd = [r for r in rows if "-" in r.host]
+    assert sum(r.verdict == "block" for r in odd) >= 0.9 * len(odd) > 0
+
+
 def test_audio(spark):
     dice = np.random.default_rng(5)
 
