@@ -93,30 +93,38 @@ def _ratio_bound(one: np.ndarray, other: np.ndarray) -> np.ndarray:
 
 
 class Labels:
-    """Different pairs of normalised name and lower-case symbol, with upper bounds of their likeness.
+    """Different pairs of normalised name and lower-case symbol, with their likeness and upper bounds of it as matrices.
 
-    The bounds are matrices over character counts and shared words, so that only pairs which can reach a threshold are compared.
+    The bounds come from character counts and shared words, so that only pairs which can reach a threshold are compared.
     """
 
     def __init__(self, names: list[str], symbols: list[str]):
         self.names, self.symbols = names, symbols
-        self.chars = _char_counts(names)
-        words = [_tokens(n) for n in names]
+        places = {n: i for i, n in enumerate(dict.fromkeys(names))}
+        self.own = list(places)
+        self.name = np.array([places[n] for n in names], np.int64)
+        self.chars = _char_counts(self.own)
+        words = [_tokens(n) for n in self.own]
         place = {w: i for i, w in enumerate(sorted(set().union(*words)))}
-        self.words = np.zeros((len(names), len(place)), np.float32)
-        for row, own in zip(self.words, words, strict=True):
-            row[[place[w] for w in own]] = 1
+        self.words = np.zeros((len(self.own), len(place)), np.float32)
+        for row, found in zip(self.words, words, strict=True):
+            row[[place[w] for w in found]] = 1
         kinds = {s: i for i, s in enumerate(dict.fromkeys(symbols))}
+        self.kinds = list(kinds)
         self.symbol = np.array([kinds[s] for s in symbols], np.int64)
         self.blank = np.array([not s for s in symbols], bool)
-        chars = _char_counts(list(kinds))
+        chars = _char_counts(self.kinds)
         self.far = _ratio_bound(chars, chars) < SYMBOLS_DIFFER - NEAR
 
+    def _shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Shared words over all words of names, by their numbers."""
+        both = (self.words[a] @ self.words[b].T).astype(np.float64)
+        return both / np.maximum(self.words[a].sum(axis=1, dtype=np.float64)[:, None] + self.words[b].sum(axis=1, dtype=np.float64) - both, 1)
+
     def bounds(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Upper bounds of the likeness of pairs in ``a`` and ``b``, in whichever order."""
-        shared = self.words[a] @ self.words[b].T
-        either = self.words[a].sum(axis=1)[:, None] + self.words[b].sum(axis=1) - shared
-        top = np.maximum(_ratio_bound(self.chars[a], self.chars[b]), shared / np.maximum(either, 1))
+        (one, x), (other, y) = (np.unique(self.name[of], return_inverse=True) for of in (a, b))
+        top = np.maximum(_ratio_bound(self.chars[one], self.chars[other]), self._shared(one, other))[np.ix_(x, y)]
         both = ~self.blank[a][:, None] & ~self.blank[b]
         top = np.where(both & (self.symbol[a][:, None] == self.symbol[b]), np.minimum(1.0, top + BONUS), top)
         return np.where(both & self.far[np.ix_(self.symbol[a], self.symbol[b])], np.minimum(top, CAP), top)
@@ -125,6 +133,27 @@ class Labels:
         """The likeness of two of them, ``u`` being the first."""
         return pair_alike(self.names[u], self.symbols[u], self.names[v], self.symbols[v])
 
+    def likeness(self, some: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """``alike`` of ``some``, the row's one first, where ``wanted``. Each two names and each two symbols are compared once."""
+        blank = self.blank[some]
+        both = wanted & ~blank[:, None] & ~blank
+        symbols = self._ratios(self.symbol[some], both, self.kinds)
+        capped = both & (symbols < SYMBOLS_DIFFER)
+        name, x = np.unique(self.name[some], return_inverse=True)
+        shared = self._shared(name, name)[np.ix_(x, x)]
+        compared = wanted & (shared < 1) & ~(capped & (shared >= CAP))
+        names = np.maximum(shared, self._ratios(self.name[some], compared, self.own))
+        return np.where(capped, np.minimum(names, CAP), np.where(both & (symbols == 1), np.minimum(1.0, names + BONUS), names))
+
+    @staticmethod
+    def _ratios(of: np.ndarray, wanted: np.ndarray, texts: list[str]) -> np.ndarray:
+        """Ratios of the texts with the numbers ``of`` where they are wanted, else 0."""
+        at = np.flatnonzero(wanted)
+        pairs, which = np.unique(of[at // len(of)] * len(texts) + of[at % len(of)], return_inverse=True)
+        out = np.zeros(wanted.size)
+        out[at] = np.array([ratio(texts[p // len(texts)], texts[p % len(texts)]) for p in pairs.tolist()])[which] if len(pairs) else 0.0
+        return out.reshape(wanted.shape)
+
 
 def classes(names: list[str], symbols: list[str]) -> tuple[np.ndarray, Labels]:
     """The number of each row's pair of name and symbol, in order of first rows, and these pairs."""

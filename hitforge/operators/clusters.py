@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,13 +34,13 @@ def cluster_hits(hits: DataFrame, threshold: float = 0.5, max_hits: int | None =
     lone = counted.filter("_n = 1").drop("_n").withColumns({"cluster_id": F.col("hit_idx").cast("bigint"), "member_pos": F.lit(0).cast("bigint")})
     rows = counted.filter("_n > 1").withColumns({"_name": F.coalesce(normalize_name(F.col("name")), F.lit("")), "_symbol": F.lower(F.coalesce("symbol", F.lit("")))})
     kinds = T.StructType([rows.schema["gene_id"], T.StructField("hit_idx", T.LongType()), T.StructField("cluster_id", T.LongType()), T.StructField("member_pos", T.LongType())])
-    of_gene = rows.filter(F.col("_n") <= large).select("gene_id", "hit_idx", "_name", "_symbol")
-    labels = of_gene.groupBy("gene_id").applyInPandas(_labels(threshold), kinds)
+    of_gene = rows.filter(F.col("_n") <= large).select("gene_id", F.col("hit_idx").cast("bigint").alias("hit_idx"), "_name", "_symbol")
+    labels = of_gene.groupBy("gene_id").applyInArrow(_labels(threshold), kinds)
     many = written(hits.groupBy("gene_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > large).select("gene_id"))
     if not many.isEmpty():
-        hot = written(rows.filter(F.col("_n") > large).select("gene_id", "hit_idx", "_name", "_symbol"))
+        hot = written(rows.filter(F.col("_n") > large).select("gene_id", F.col("hit_idx").cast("bigint").alias("hit_idx"), "_name", "_symbol"))
         parts = hot.join(connected_parts(hot, threshold, tile), ["gene_id", "_name", "_symbol"])
-        labels = labels.unionByName(parts.groupBy("gene_id", "part").applyInPandas(_labels(threshold), kinds))
+        labels = labels.unionByName(parts.groupBy("gene_id", "part").applyInArrow(_labels(threshold), kinds))
     return rows.drop("_name", "_symbol", "_n").join(labels, ["gene_id", "hit_idx"]).unionByName(lone)
 
 
@@ -67,13 +66,14 @@ def connected_parts(hits: DataFrame, threshold: float, tile: int = TILE) -> Data
 
 
 def _labels(threshold: float):
-    def of_rows(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("hit_idx", kind="stable")
-        index = rows["hit_idx"].to_numpy()
-        made = [(index[i], index[c[0]], place) for c in linkage(rows["_name"].tolist(), rows["_symbol"].tolist(), threshold) for place, i in enumerate(c)]
-        out = pd.DataFrame(made, columns=["hit_idx", "cluster_id", "member_pos"])
-        out.insert(0, "gene_id", rows["gene_id"].iloc[0])
-        return out
+    def of_rows(table: pa.Table) -> pa.Table:
+        rows = table.sort_by("hit_idx")
+        index = rows.column("hit_idx").to_numpy()
+        made = linkage(rows.column("_name").to_pylist(), rows.column("_symbol").to_pylist(), threshold)
+        hit = np.array([i for c in made for i in c], np.int64)
+        first, places = np.repeat([c[0] for c in made], [len(c) for c in made]), np.concatenate([np.arange(len(c)) for c in made])
+        # all rows are of one gene
+        return pa.table([rows.column("gene_id"), pa.array(index[hit]), pa.array(index[first]), pa.array(places)], names=["gene_id", "hit_idx", "cluster_id", "member_pos"])
 
     return of_rows
 

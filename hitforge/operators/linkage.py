@@ -15,6 +15,10 @@ import numpy as np
 from hitforge.functions.similarity import NEAR, Labels, classes
 
 
+#: Rows of sums whose best means are looked for at once.
+ROWS = 1024
+
+
 def _root(parent: list[int], i: int) -> int:
     while parent[i] != i:
         parent[i] = parent[parent[i]]
@@ -67,11 +71,7 @@ def _likeness(labels: Labels, of: np.ndarray, some: np.ndarray) -> np.ndarray:
     first, last = np.full(len(some), len(of)), np.full(len(some), -1)
     np.minimum.at(first, of, np.arange(len(of)))
     np.maximum.at(last, of, np.arange(len(of)))
-    like = np.zeros((len(some), len(some)))
-    for u in range(len(some)):
-        for v in range(len(some)):
-            if first[u] < last[v]:
-                like[u, v] = labels.alike(int(some[u]), int(some[v]))
+    like = labels.likeness(some, first[:, None] < last)
     np.fill_diagonal(like, 1.0)
     return like
 
@@ -104,17 +104,21 @@ def _merged(items: list[np.ndarray], sums: np.ndarray, threshold: float) -> list
     alive = np.ones(k, bool)
     np.fill_diagonal(sums, -np.inf)
 
-    def means(i: int) -> np.ndarray:
-        """Means with the clusters behind i."""
-        return np.where(alive[i + 1 :], sums[i, i + 1 :] / (sizes[i] * sizes[i + 1 :]), -np.inf)
+    def bests(rows: np.ndarray) -> np.ndarray:
+        """The best mean of each cluster with the clusters behind it."""
+        behind = alive & (place > rows[:, None])
+        return np.where(behind, sums[rows] / (sizes[rows][:, None] * sizes), -np.inf).max(axis=1, initial=-np.inf)
 
-    best = np.array([means(i).max(initial=-np.inf) for i in range(k)])
+    place = np.arange(k)
+    best = np.concatenate([bests(place[i : i + ROWS]) for i in range(0, k, ROWS)])
     while (top := best.max(initial=-np.inf)) >= threshold - NEAR:
-        a = int(np.flatnonzero(best >= top - NEAR)[0])
-        b = a + 1 + int(np.flatnonzero(means(a) >= top - NEAR)[0])
+        a = int((best >= top - NEAR).argmax())
+        b = a + 1 + int((np.where(alive[a + 1 :], sums[a, a + 1 :] / (sizes[a] * sizes[a + 1 :]), -np.inf) >= top - NEAR).argmax())
         before = np.flatnonzero(alive[:b])
-        held = np.maximum(np.where(before < a, sums[before, a] / (sizes[before] * sizes[a]), -np.inf), sums[before, b] / (sizes[before] * sizes[b]))
-        stale = before[held >= best[before] - NEAR]  # their best may have been with a or b
+        held = sums[before, b] / (sizes[before] * sizes[b])
+        n = int(np.searchsorted(before, a))
+        held[:n] = np.maximum(held[:n], sums[before[:n], a] / (sizes[before[:n]] * sizes[a]))
+        stale = np.union1d(before[held >= best[before] - NEAR], a)  # their best may have been with a or b
         sums[a] += sums[b]
         sums[:, a] = sums[a]
         sums[a, a] = -np.inf
@@ -122,9 +126,8 @@ def _merged(items: list[np.ndarray], sums: np.ndarray, threshold: float) -> list
         members[a] += members[b]
         members[b] = []
         alive[b], best[b] = False, -np.inf
-        for i in {a, *stale.tolist()} - {b}:
-            best[i] = means(i).max(initial=-np.inf)
-        upto = np.flatnonzero(alive[:a])
+        best[stale] = bests(stale)
+        upto = before[:n]
         best[upto] = np.maximum(best[upto], sums[upto, a] / (sizes[upto] * sizes[a]))
     return [m for m in members if m]
 

@@ -49,12 +49,14 @@ def test_linkage():
         n = dice.randint(2, 12)
         names = [" ".join(dice.sample(WORDS, dice.randint(1, 3))) for _ in range(n)]
         symbols = [dice.choice(["", "kin1", "kin2", "zf"]) for _ in range(n)]
-        threshold = dice.choice([0.3, 0.5, 0.5, 0.8, 1.0, 1.2])
+        threshold = dice.choice([0.3, 0.5, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0, 1.2])
         assert linkage(names, symbols, threshold) == plain_clusters(names, symbols, threshold)
         of, labels = classes(names, symbols)
         every = np.arange(len(labels.names))
         top = labels.bounds(every, every)
         assert all(top[u, v] >= labels.alike(u, v) - 1e-12 for u in every for v in every if u != v)
+        like = labels.likeness(every, every[:, None] != every)
+        assert all(like[u, v] == labels.alike(u, v) for u in every for v in every if u != v)
 
 
 def test_linkage_of_many_hits():
