@@ -34,10 +34,12 @@ def strip_trailing_brackets(c: Column) -> Column:
 
 
 def strip_evidence_tags(c: Column) -> Column:
-    """Without GN=, PE=, SV= and {ECO:} tags."""
-    for tag in (r"\s*GN=\S+", r"\s*PE=\d+", r"\s*SV=\d+", r"\s*\{ECO:[^}]+\}"):
-        c = F.regexp_replace(c, tag, "")
-    return c
+    """Without GN=, PE=, SV= and {ECO:} tags; texts without any sign of one aren't searched for them."""
+
+    def stripped(x: Column) -> Column:
+        return reduce(lambda t, tag: F.regexp_replace(t, tag, ""), (r"\s*GN=\S+", r"\s*PE=\d+", r"\s*SV=\d+", r"\s*\{ECO:[^}]+\}"), x)
+
+    return bound(c, lambda x: F.when(F.contains(x, F.lit("=")) | F.contains(x, F.lit("{ECO:")), stripped(x)).otherwise(x))
 
 
 def name_from_title(title: Column, subject_id: Column) -> Column:
