@@ -86,13 +86,17 @@ def words_digest(text: np.ndarray) -> bytes:
 
 
 def set_digest(text: str, k: int) -> bytes:
-    """A digest of the k-word shingles themselves."""
-    words = text.encode().lower().split()
-    found = {b" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))}
-    made = hashlib.blake2b(digest_size=16)
-    for shingle in sorted(found):
-        made.update(shingle + b"\n")
-    return made.digest()
+    """A digest of the k-word shingles themselves: of their own digests in order, 16 bytes each, as a long text has very many."""
+    made, words = bytearray(), []
+    for piece in cut(np.frombuffer(text.encode(), np.uint8)):
+        words += piece.tobytes().lower().split()
+        for i in range(len(words) - k + 1):
+            made += hashlib.blake2b(b" ".join(words[i : i + k]), digest_size=16).digest()
+        words = words[max(0, len(words) - k + 1) :]
+    if not made:
+        made += hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+    found = np.unique(np.frombuffer(made, np.dtype([("a", np.uint64), ("b", np.uint64)])))
+    return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
 
 
 def signatures(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k: int = 5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

@@ -338,11 +338,12 @@ def judge(docs: DataFrame, field: LineField, text: str = "text", id_col: str = "
     bound_batches(docs.sparkSession)
     keep = keep or [id_col]
     kept_columns = len(keep)
-    source = docs.select(*keep, F.col(text).cast("string").alias("_text"))
+    inner = max(keep, key=len) + "_text"  # clashes with no column
+    source = docs.select(*keep, F.col(text).cast("string").alias(inner))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in pieces(parts, "_text", SMALL_PIECE):
+        for part, texts in pieces(parts, inner, SMALL_PIECE):
             numbers, failed, verdict, shares = [], [], [], []
             for m in measure(texts):
                 numbers.append((m.n_words, m.word_chars, m.n_symbols, m.n_dup_lines, m.n_repeat_words))

@@ -122,6 +122,24 @@ def test_parts_of_long_texts(monkeypatch):
         assert sum(int(counter.counts([data[a:b].tobytes().decode()])[0]) for a, b in cuts) == counter.counts([text])[0]
 
 
+def test_digests_of_sets(monkeypatch):
+    """Equal sets of shingles in another order have one digest, however a text is cut; others have another."""
+    import hitforge.llm.shingles as module
+
+    digest = near_duplicates.set_digest
+    for size in (1 << 22, 7):
+        monkeypatch.setattr(module, "PIECE_BYTES", size)
+        assert digest("a b c a b c a b", 3) == digest("b c a b c a  B", 3) != digest("a b c a", 3)
+        assert digest("A\nb", 5) == digest("a b", 5) != digest("b a", 5) and digest("a b c d e f", 5) != digest("a b c d e", 5)
+
+
+def test_kept_columns_of_any_name(spark):
+    """A kept column may have any name, that of inner ones too."""
+    docs = spark.createDataFrame([(1, "a b c", "x", "y")], "doc_id bigint, text string, _text string, _text_text string")
+    rows = quality.judge(docs, quality.LineField(np.zeros(len(quality.FEATURES)), np.zeros((2, 2))), keep=["doc_id", "_text", "_text_text"]).collect()
+    assert [(r.doc_id, r._text, r._text_text, r.n_words) for r in rows] == [(1, "x", "y", 3)]
+
+
 def test_every_code_point():
     """Classes and lower case of all code points agree with the library."""
     from tokenizers import Tokenizer
