@@ -31,10 +31,12 @@ def closure(edges: DataFrame) -> DataFrame:
         return lower.join(paths.select("ancestor", F.col("descendant").alias("by")), "by").select("ancestor", "descendant").distinct()
 
     while not exact.isEmpty():
-        fresh = written(behind(found).join(found, ["ancestor", "descendant"], "left_anti"))
+        fresh = behind(found).join(found, ["ancestor", "descendant"], "left_anti").withColumn("new", F.lit(True))
+        both = written(fresh.unionByName(behind(exact).withColumn("new", F.lit(False))))
+        fresh, exact = both.filter("new").drop("new"), both.filter("not new").drop("new")
         if fresh.isEmpty():
             break
-        exact, found = written(behind(exact)), found.unionByName(fresh)
+        found = found.unionByName(fresh)
     return found
 
 
