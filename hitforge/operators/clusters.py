@@ -104,15 +104,17 @@ def winning_hits(clustered: DataFrame) -> DataFrame:
     return clustered.join(winning_cluster(clustered).select("gene_id", "cluster_id"), ["gene_id", "cluster_id"])
 
 
-def cluster_summary(clustered: DataFrame) -> DataFrame:
-    """For each winning cluster: n_cluster_hits, cluster_fraction, mean_cluster_bitscore, names and symbols in member order."""
-    won = clustered.join(winning_cluster(clustered).select("gene_id", "cluster_id", "fraction"), ["gene_id", "cluster_id"])
+def cluster_summary(clustered: DataFrame, won: DataFrame | None = None) -> DataFrame:
+    """For each winning cluster: n_cluster_hits, cluster_fraction, mean_cluster_bitscore, names and symbols in member order.
+
+    ``won`` are the hits of the winning clusters, if they are known already.
+    """
+    won = winning_hits(clustered) if won is None else won
     members = F.sort_array(F.collect_list(F.struct("member_pos", "name", "symbol")))
-    rows = won.groupBy("gene_id").agg(
-        F.count(F.lit(1)).alias("n_cluster_hits"), F.max("fraction").alias("cluster_fraction"), _mean_bits().alias("mean_cluster_bitscore"), members.alias("m")
-    )
+    rows = won.groupBy("gene_id").agg(F.count(F.lit(1)).alias("n_cluster_hits"), _mean_bits().alias("mean_cluster_bitscore"), members.alias("m"))
+    rows = rows.join(clustered.groupBy("gene_id").agg(F.count(F.lit(1)).alias("of")), "gene_id")
     symbols = F.filter(F.transform("m", lambda x: x["symbol"]), lambda s: s != "")
-    return rows.select("gene_id", "n_cluster_hits", "cluster_fraction", "mean_cluster_bitscore", F.col("m.name").alias("names"), symbols.alias("symbols"))
+    return rows.select("gene_id", "n_cluster_hits", (F.col("n_cluster_hits") / F.col("of")).alias("cluster_fraction"), "mean_cluster_bitscore", F.col("m.name").alias("names"), symbols.alias("symbols"))
 
 
 def symbol_group_scores(won: DataFrame) -> DataFrame:

@@ -124,10 +124,22 @@ def unmatched_parents(features: DataFrame, ids: DataFrame) -> DataFrame:
     return parents.join(ids, "old_id", "left_anti").select(F.col("old_id").alias("parent"))
 
 
+#: Ids that may be broadcast, after a count (about 100 bytes each); more go through a shuffle join.
+BROADCAST_IDS = 500_000
+
+
 def renumber_gff3(features: DataFrame, order: list[str]) -> DataFrame:
-    """Features with new_id, new_parent and new_attrs, which holds only those two; ``order`` identifies and sorts rows."""
+    """Features with old_id, new_id, new_parent and new_attrs, which holds only those two; ``order`` identifies and sorts rows.
+
+    A feature's own id and its parents are looked up together, so that whole features are joined once.
+    """
     ids = written(last_id_wins(renumber_ids(features, order), order))
-    parents = parent_remap(features, ids, order)
-    rows = features.withColumn("old_id", first_attr(F.col("attrs"), "ID")).join(ids, "old_id", "left").join(parents, order, "left")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    own, parents = first_attr(F.col("attrs"), "ID"), F.split(first_attr(F.col("attrs"), "Parent"), ",")
+    named = F.concat(F.array(own), F.coalesce(parents, F.array().cast("array<string>")))
+    rows = features.select(*order, F.posexplode(named).alias("pos", "old_id")).filter("old_id is not null").join(ids, "old_id", "left")
+    parent = F.when(F.col("pos") > 0, F.struct("pos", F.coalesce("new_id", "old_id").alias("id")))
+    found = rows.groupBy(*order).agg(F.max(F.when(F.col("pos") == 0, F.col("new_id"))).alias("new_id"), F.sort_array(F.collect_list(parent)).alias("l"))
+    found = found.select(*order, "new_id", F.when(F.size("l") > 0, F.array_join("l.id", ",")).alias("new_parent"))
     attrs = F.concat_ws(";", F.concat(F.lit("ID="), "new_id"), F.concat(F.lit("Parent="), "new_parent"))
-    return rows.withColumn("new_attrs", F.when(attrs != "", attrs).otherwise(F.lit(".")))
+    return features.withColumn("old_id", own).join(found, order, "left").withColumn("new_attrs", F.when(attrs != "", attrs).otherwise(F.lit(".")))

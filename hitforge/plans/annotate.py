@@ -69,7 +69,7 @@ def annotate(raw: DataFrame, transcripts: DataFrame, genes: DataFrame, refs: Ref
     final = written(first.drop("gene_ord"))
     top = clusters.best_hit(clusters.symbol_group_hits(won)).select("gene_id", F.col("subject_id").alias("top_hit_sseqid"), F.col("bitscore").alias("top_hit_bitscore"))
     parts = [
-        final, hits.gene_hit_counts(pool), clusters.cluster_summary(clustered), top,
+        final, hits.gene_hit_counts(pool), clusters.cluster_summary(clustered, won), top,
         propagation.name_concordance(pool, final, params.consensus), propagation.symbol_concordance(pool, final),
     ]
     if refs.go_map is not None and refs.terms is not None and refs.edges is not None:

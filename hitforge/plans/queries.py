@@ -106,7 +106,7 @@ def _final(t: Tables) -> DataFrame:
     _, specific, labels = _terms(t, won)
     terms = specific.groupBy("gene_id").agg(F.count(F.lit(1)).alias("n_go_terms"), F.array_join(F.array_sort(F.collect_set("go_id")), ";").alias("go_terms"))
     top = clusters.best_hit(clusters.symbol_group_hits(won)).select("gene_id", F.col("subject_id").alias("top_hit_sseqid"), F.col("bitscore").alias("top_hit_bitscore"))
-    summary = clusters.cluster_summary(clustered).withColumns({"cluster_fraction": F.round("cluster_fraction", 6)})
+    summary = clusters.cluster_summary(clustered, won).withColumns({"cluster_fraction": F.round("cluster_fraction", 6)})
     concordance = propagation.symbol_concordance(pool, ann).withColumn("symbol_concordance", F.round("symbol_concordance", 6))
     names = propagation.name_concordance(pool, ann, EQUAL).withColumn("name_concordance", F.round("name_concordance", 6))
     out = t.pu.select("gene_id")
