@@ -17,7 +17,6 @@ import base64
 import functools
 import hashlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +28,12 @@ from hitforge.llm.text_batches import SMALL_PIECE, Texts, bound_batches, parts,
 from hitforge.llm.transducer import byte_level_splitter, split
 
 
-#: Pieces that each of the cache's two generations holds, about 250 bytes each.
-MOST_PIECES = 120_000
+#: Pieces that each of the cache's two generations holds, about 150 bytes each.
+MOST_PIECES = 300_000
 
 
 class ByteBpe(KeptPieces):
-    """The cache of piece to token ids, with the ranks that fill it."""
+    """The cache of piece to packed token ids, with the ranks that fill it."""
 
     def __init__(self, path: str):
         super().__init__(MOST_PIECES)
@@ -43,14 +42,15 @@ class ByteBpe(KeptPieces):
         self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
+        self.packed = [np.int32(rank).tobytes() for rank in range(len(self.bytes_of))]
         self.single, self.sizes = [bytes([i]) for i in range(256)], np.array([len(b) for b in self.bytes_of], np.int64)
 
-    def make(self, piece: bytes) -> tuple[int, ...]:
-        """Token ids of one piece: the piece itself if it is a token, else what pair merging leaves."""
+    def make(self, piece: bytes) -> bytes:
+        """Token ids of one piece, four bytes each: the piece itself if it is a token, else what pair merging leaves."""
         if (whole := self.ranks.get(piece)) is not None:
-            return (whole,)
+            return self.packed[whole]
         get = self.ranks.get
-        return tuple(map(self.ranks.__getitem__, merge([self.single[b] for b in piece], lambda a, b: get(a + b, NEVER))))
+        return b"".join([self.packed[self.ranks[part]] for part in merge([self.single[b] for b in piece], lambda a, b: get(a + b, NEVER))])
 
     def decode(self, ids) -> bytes:
         """The bytes that token ids stand for."""
@@ -59,20 +59,16 @@ class ByteBpe(KeptPieces):
     def encoded(self, texts: Texts) -> Iterator[Iterator[np.ndarray]]:
         """For each text its token ids, a long text's in several arrays."""
         if len(texts) == 1:
-            yield (self._flat(next(self.encode_texts(texts.data[a:b], np.array([0, b - a])))) for a, b in parts(texts.data))
+            yield (next(self.encode_texts(texts.data[a:b], np.array([0, b - a])))[0] for a, b in parts(texts.data))
         else:
-            yield from (iter((self._flat(ids),)) for ids in self.encode_texts(texts.data, texts.offsets))
+            yield from map(iter, self.encode_texts(texts.data, texts.offsets))
 
-    @staticmethod
-    def _flat(ids: list[tuple[int, ...]]) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(ids), np.int32)
-
-    def encode_texts(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[list[tuple[int, ...]]]:
-        """For each text the ids of its pieces, in order."""
+    def encode_texts(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[list[np.ndarray]]:
+        """For each text an array with the ids of its pieces, in order."""
         bounds, first, _ = split(byte_level_splitter(), data, offsets)
         raw, cuts, first = data.tobytes(), bounds.tolist(), first.tolist()
         for a, b in zip(first, first[1:], strict=False):
-            yield [self[raw[i:j]] for i, j in zip(cuts[a:b], cuts[a + 1 : b + 1], strict=True)]
+            yield [np.frombuffer(b"".join([self[raw[i:j]] for i, j in zip(cuts[a:b], cuts[a + 1 : b + 1], strict=True)]), np.int32)]
 
 
 @functools.lru_cache(maxsize=2)
