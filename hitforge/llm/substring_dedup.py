@@ -81,34 +81,45 @@ class Windows:
         for part in bounded(self.texts):
             a, b, before = word_bounds(part.data, part.offsets)
             made.append(word_hashes(part.data, a, b, fold=False))
-            starts.append(a + at)
-            ends.append(b + at)
+            starts.append((a + at).astype(np.int32))
+            ends.append((b + at).astype(np.int32))
             at += len(part.data)
-        self.starts, self.ends = np.concatenate(starts), np.concatenate(ends)
-        self.before = before if len(made) == 1 else np.array([0, len(self.starts)], np.int64)
-        words, n = np.concatenate(made), len(self.starts)
-        self.docs = np.repeat(table.column("doc_id").to_numpy(), np.diff(self.before))
-        # windows that lie in one run
-        self.places = np.flatnonzero(np.repeat(self.before[1:], np.diff(self.before)) - np.arange(n) >= length)
-        keys = [self._rolled(words, length, WORD_BASE)] + ([self._rolled(words, length, WORD_BASE ^ 0x5DEECE66D0)] if exact else [])
-        order = np.lexsort(keys[::-1])
-        self.keys = [k[order] for k in keys]
-        self.order = order
-        new = np.zeros(len(order), bool)
+        self.starts, self.ends, words = np.concatenate(starts), np.concatenate(ends), np.concatenate(made)
+        self.before = before if len(made) == 1 else np.array([0, len(words)], np.int64)
+        del made, starts, ends
+        self.run = np.repeat(np.arange(table.num_rows, dtype=np.int32), np.diff(self.before))
+        self.places = np.flatnonzero(self.left() >= length).astype(np.int32)  # windows that lie in one run
+        keys = [self._rolled(words, length, base) for base in (WORD_BASE, WORD_BASE ^ 0x5DEECE66D0)[: 1 + exact]]
+        del words
+        self.order = (np.lexsort(keys[::-1]) if exact else np.argsort(keys[0])).astype(np.int32)
+        self.keys = []
+        while keys:
+            self.keys.append(keys.pop(0)[self.order])
+        new = np.zeros(len(self.order), bool)
         for k in self.keys:
             new[1:] |= k[1:] != k[:-1]
         new[:1] = True
         self.first = np.flatnonzero(new)
-        self.group = np.cumsum(new) - 1
-        docs = self.docs[self.places[order]]
+        self.group = np.cumsum(new, dtype=np.int32) - 1
+        self.docs = table.column("doc_id").to_numpy()
+        docs = self.owners()
         self.least = np.minimum.reduceat(docs, self.first) if len(docs) else docs
         self.most = np.maximum.reduceat(docs, self.first) if len(docs) else docs
 
+    def left(self) -> np.ndarray:
+        """How many words of its run there are from each word on."""
+        return self.before[1:].astype(np.int32)[self.run] - np.arange(len(self.run), dtype=np.int32)
+
+    def owners(self) -> np.ndarray:
+        """The document of each window in order."""
+        return self.docs[self.run[self.places[self.order]]]
+
     def _rolled(self, words: np.ndarray, length: int, base: int) -> np.ndarray:
-        total = np.full(len(self.places), length, np.uint64)
-        for i in range(length):
-            total += words[self.places + i] * np.uint64(pow(base, i + 1, 1 << 64))
-        return mix(total)
+        n = len(words)
+        total = np.full(n, length, np.uint64)
+        for i in range(min(length, n)):
+            total[: n - i] += words[i:] * np.uint64(pow(base, i + 1, 1 << 64))
+        return mix(total[self.places])
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -187,8 +198,7 @@ def _told(windows: Windows, answers: pa.Table, bits: int, exact: bool) -> np.nda
     known = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for _, x, n in rows]).astype(bool) if rows else np.zeros(0, bool)
     yes = known[_slots(windows, bits, exact)[2]]
     if exact:
-        own = windows.docs[windows.places[windows.order]]
-        here = yes[windows.group] | (own > windows.least[windows.group])
+        here = yes[windows.group] | (windows.owners() > windows.least[windows.group])
     else:
         here = (yes | (windows.least < windows.most))[windows.group]
     told = np.zeros(len(windows.starts), bool)
@@ -217,16 +227,15 @@ def _level(runs: DataFrame, length: int, bits: int, passage: int, last: bool) ->
         if last:
             begins = good
         else:  # windows of the passage's length in which all of this level are repeated
-            bad = np.concatenate([[0], np.cumsum(~good)])
+            bad = np.concatenate([np.zeros(1, np.int32), np.cumsum(~good, dtype=np.int32)])
             begins = np.zeros(n, bool)
-            inside = np.flatnonzero(np.repeat(windows.before[1:], np.diff(windows.before)) - np.arange(n) >= passage)
+            inside = np.flatnonzero(windows.left() >= passage)
             begins[inside] = bad[inside + passage - length + 1] == bad[inside]
         out: dict[str, list] = {name: [] for name in kinds}
         own = {c: table.column(c).to_pylist() for c in ("chunk", "doc_id", "h", "at")}
-        run = np.repeat(np.arange(table.num_rows), np.diff(windows.before))
         # stretches of one run: a place between runs is never a beginning, as a window begins passage words before its run's end
         for a, b in _stretches(begins).tolist():
-            r, end = int(run[a]), b + passage - 1
+            r, end = int(windows.run[a]), b + passage - 1
             for c in ("chunk", "doc_id", "h"):
                 out[c].append(own[c][r])
             out["at"].append(own["at"][r] + a - int(windows.before[r]))

@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 
 #: Bytes of text that one numpy pass handles. A longer text is one piece by itself.
 PIECE_BYTES = 4 << 20
+#: Bytes of text whose words are counted in one dictionary.
+COUNTED_BYTES = 16 << 20
 #: The same for operators that keep many arrays for each byte.
 SMALL_PIECE = 1 << 20
 #: Bytes of one Arrow batch between the JVM and a Python worker, whatever the length of the rows.
@@ -107,7 +109,7 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def counted_words(data: np.ndarray, split: Callable[[bytes], list[bytes]], size: int = PIECE_BYTES) -> Iterator[Counter]:
+def counted_words(data: np.ndarray, split: Callable[[bytes], list[bytes]], size: int = COUNTED_BYTES) -> Iterator[Counter]:
     """Counts of the words into which ``split`` cuts a text, each word in one of the counters; separators end words.
 
     A text of more than ``size`` bytes is gone through once for each share of its words by hash, in pieces, so that a

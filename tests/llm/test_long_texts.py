@@ -50,6 +50,28 @@ assert len(cuts) > 50 and sum(int(counter.counts([data[a:b].tobytes().decode()])
     "shingles": """
 from hitforge.llm.shingles import shingle_sets
 assert 5_000 <= len(next(shingle_sets(Texts(column), 5))) < 6_000
+""",
+    "filter_audit": """
+from hitforge.llm import filter_audit
+assert filter_audit.text_failures(Texts(column).data) == 0b0010
+""",
+    "source_divergence": """
+from collections import Counter
+from hitforge.llm import source_divergence
+from hitforge.llm.text_batches import counted_words
+found = Counter()
+for terms in counted_words(Texts(column).data, source_divergence.terms_of):
+    found.update(terms)
+assert sum(found.values()) == 11 * 1_040_000 and len(found) == 10
+""",
+    "substring_dedup": """
+from hitforge.llm import substring_dedup
+table = pa.table({"doc_id": pa.array([1]), "text": pa.chunked_array([column])})
+del column
+for length in substring_dedup.lengths():
+    windows = substring_dedup.Windows(table, length, length == 13)
+    assert len(windows.order) == 13 * 1_040_000 - length + 1 and len(windows.first) < 14_000
+    del windows
 """,
     "personal_data": """
 from hitforge.llm import pii
