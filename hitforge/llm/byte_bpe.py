@@ -24,12 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitforge.llm.pair_merge import NEVER, KeptPieces, merge
-from hitforge.llm.text_batches import SMALL_PIECE, Texts, bound_batches, parts, pieces
+from hitforge.llm.text_batches import SMALL_PIECE, Texts, bound_batches, parts, pieces, releasing
 from hitforge.llm.transducer import byte_level_splitter, split
 
 
 #: Pieces that each of the cache's two generations holds, about 150 bytes each.
-MOST_PIECES = 300_000
+MOST_PIECES = 200_000
 
 
 class ByteBpe(KeptPieces):
@@ -91,7 +91,7 @@ def _run(df: DataFrame, text: str, make, fields: list[tuple[str, str, pa.DataTyp
             columns += [pa.array(values, kind) for values, kind in zip(made, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return source.mapInArrow(batches, shape)
+    return source.mapInArrow(releasing(batches), shape)
 
 
 def encode(df: DataFrame, path: str, text: str = "text", id_col: str = "doc_id", offsets: bool = False) -> DataFrame:
@@ -122,7 +122,7 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids", id_col: str = "doc_
 
     bound_batches(df.sparkSession)
     source = df.select(id_col, ids)
-    return source.mapInArrow(batches, f"`{id_col}` {source.schema[id_col].dataType.simpleString()}, decoded binary")
+    return source.mapInArrow(releasing(batches), f"`{id_col}` {source.schema[id_col].dataType.simpleString()}, decoded binary")
 
 
 def encode_digests(df: DataFrame, path: str, text: str = "text", id_col: str = "doc_id") -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from hitforge.llm.components import components
 from hitforge.llm.shingles import cut, mix, shingle_sets
-from hitforge.llm.text_batches import SMALL_PIECE, Texts, bound_batches, pieces
+from hitforge.llm.text_batches import SMALL_PIECE, Texts, bound_batches, pieces, releasing
 from hitforge.storage import written
 
 BANDS, ROWS = 56, 6
@@ -128,7 +128,7 @@ def signatures(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k: i
 
     content = F.col(text).cast("string")
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(content).alias("h"), content.alias("text"))
-    return source.mapInArrow(batches, "doc_id bigint, h bigint, n_shingles bigint, set_id binary, words_id binary, bands array<bigint>, signature binary")
+    return source.mapInArrow(releasing(batches), "doc_id bigint, h bigint, n_shingles bigint, set_id binary, words_id binary, bands array<bigint>, signature binary")
 
 
 def _told_apart(rows: DataFrame, docs: DataFrame, k: int) -> DataFrame:
@@ -145,7 +145,7 @@ def _told_apart(rows: DataFrame, docs: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([set_digest(t, k) for t in part.column(1).to_pylist()], pa.binary())], names=["words_id", "exact"])
 
     texts = docs.withColumn("h", F.xxhash64("text")).join(few(doubtful), ["doc_id", "h"]).dropDuplicates(["words_id"])
-    exact = written(texts.select("words_id", "text").mapInArrow(batches, "words_id binary, exact binary"))
+    exact = written(texts.select("words_id", "text").mapInArrow(releasing(batches), "words_id binary, exact binary"))
     return rows.join(few(exact), "words_id", "left").withColumn("set_id", F.coalesce("exact", "set_id")).drop("exact")
 
 
@@ -173,7 +173,7 @@ def _alike(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     one = signed.select(F.col("doc_id").alias("v"), F.col("size").alias("nv"), F.col("signature").alias("sv"))
     two = signed.select(F.col("doc_id").alias("u"), F.col("size").alias("nu"), F.col("signature").alias("su"))
     sized = pairs.join(one, "v").join(two, "u").filter(100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv"))
-    return sized.select("u", "v", "su", "sv").mapInArrow(batches, "u bigint, v bigint")
+    return sized.select("u", "v", "su", "sv").mapInArrow(releasing(batches), "u bigint, v bigint")
 
 
 def _texts(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -196,7 +196,7 @@ def _sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, k: int) -> Data
         for part, texts in pieces(parts, "text", SMALL_PIECE):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([own.tobytes() for own in shingle_sets(texts, k)], pa.binary())], names=["doc_id", "shingles"])
 
-    return _texts(nodes, docs, classes).mapInArrow(batches, "doc_id bigint, shingles binary")
+    return _texts(nodes, docs, classes).mapInArrow(releasing(batches), "doc_id bigint, shingles binary")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
@@ -223,7 +223,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, pe
 
     one = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("tv"))
     two = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("tu"))
-    return pairs.join(one, "v").join(two, "u").select("u", "v", "tu", "tv").mapInArrow(batches, "u bigint, v bigint")
+    return pairs.join(one, "v").join(two, "u").select("u", "v", "tu", "tv").mapInArrow(releasing(batches), "u bigint, v bigint")
 
 
 def _dealt(left: DataFrame) -> DataFrame:
@@ -313,7 +313,7 @@ def _compared(left: DataFrame, signed: DataFrame, sets: DataFrame, percent: int
                 yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
     dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(batches, "u bigint, v bigint")
+    return dealt.mapInArrow(releasing(batches), "u bigint, v bigint")
 
 
 def _proposed(members: DataFrame, at_most: int = 4) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -27,6 +28,19 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def releasing(batches: Callable) -> Callable:
+    """``batches`` for mapInArrow, after which freed memory goes back to the system: a worker that is used again would keep it."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batches(parts)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # which not every C library has
+        if trim:
+            trim(0)
+
+    return run
+
+
 class Texts:
     """Texts that lie behind each other in one array of UTF-8 bytes; null counts as empty."""
 
