@@ -2,6 +2,7 @@
 
 from hitforge import storage
 from hitforge.functions.similarity import name_similarity
+from hitforge.operators import features
 from hitforge.plans import queries
 from hitforge.plans.proxies import Tables
 
@@ -31,3 +32,14 @@ def test_few_scored_pairs_are_broadcast(spark, monkeypatch):
     assert "broadcast" in plan()
     monkeypatch.setattr("hitforge.functions.similarity.BROADCAST_PAIRS", 1)
     assert "broadcast" not in plan() and sorted(r.similarity for r in name_similarity(pairs, "x", "y").collect()) == [0.0, 0.0, 1.0]
+
+
+def test_numbering_without_attributes(spark, monkeypatch):
+    """Ids are dealt out and written without attributes, and parents listed alike are mapped once."""
+    rows = [(1, "gene", "ID=a"), (2, "exon", "ID=e;Parent=a,z"), (3, "exon", "ID=e;Parent=a,z"), (4, "exon", "Parent=e")]
+    table, plans = spark.createDataFrame(rows, "ord int, ftype string, attrs string"), []
+    monkeypatch.setattr(features, "written", lambda df: plans.append(df) or storage.written(df))
+    ids = features.new_ids(table, ["ord"])
+    assert "attrs" not in plans[0].columns and sorted(map(tuple, ids.collect())) == [("a", "gene_1"), ("e", "exon_2")]
+    found = features.parent_remap(table, ids, ["ord"])
+    assert sorted(map(tuple, found.collect())) == [(2, "gene_1,z"), (3, "gene_1,z"), (4, "exon_2")]
