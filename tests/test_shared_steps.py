@@ -43,3 +43,15 @@ def test_numbering_without_attributes(spark, monkeypatch):
     assert "attrs" not in plans[0].columns and sorted(map(tuple, ids.collect())) == [("a", "gene_1"), ("e", "exon_2")]
     found = features.parent_remap(table, ids, ["ord"])
     assert sorted(map(tuple, found.collect())) == [(2, "gene_1,z"), (3, "gene_1,z"), (4, "exon_2")]
+
+
+def test_names_without_terms(spark, sf, monkeypatch):
+    """Maps of names and symbols, and their count, come from the choices alone and are those of the whole table."""
+    t = Tables(spark, sf)
+    whole = storage.written(queries._final(t)).select("gene_id", "gene_symbol", "protein_name").collect()
+    monkeypatch.setattr(queries, "_terms", lambda *_: (_ for _ in ()).throw(AssertionError("terms aren't needed")))
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, queries._names(t).select("gene_id", "gene_symbol", "protein_name").collect()))
+    assert {r.gene_id: r.gene_symbol for r in whole} == {r.gene_id: r.gene_symbol for r in queries.QUERIES["gene2symbol"](spark, sf).collect()}
+    assert {r.gene_id for r in whole} == {r.gene_id for r in queries.QUERIES["gene2name"](spark, sf).collect()}
+    counts = queries.QUERIES["annotation_output_counts"](spark, sf).first()
+    assert tuple(counts) == (sum(bool(r.gene_symbol or r.protein_name) for r in whole), len(whole))
