@@ -1,8 +1,10 @@
 """What the shared steps of the queries shuffle and write."""
 
+from pyspark.sql import functions as F
+
 from hitforge import storage
 from hitforge.functions.similarity import name_similarity
-from hitforge.operators import features
+from hitforge.operators import features, ontology
 from hitforge.plans import queries
 from hitforge.plans.proxies import Tables
 
@@ -55,3 +57,20 @@ def test_names_without_terms(spark, sf, monkeypatch):
     assert {r.gene_id for r in whole} == {r.gene_id for r in queries.QUERIES["gene2name"](spark, sf).collect()}
     counts = queries.QUERIES["annotation_output_counts"](spark, sf).first()
     assert tuple(counts) == (sum(bool(r.gene_symbol or r.protein_name) for r in whole), len(whole))
+
+
+def test_ancestors_as_lists(spark, sf, monkeypatch):
+    """Ancestors are put together as lists, a row for each term: no pairs are written, and the terms met are those of the pairs."""
+    made = []
+    monkeypatch.setattr(ontology, "written", lambda df: made.append(storage.written(df)) or made[-1])
+    edges = spark.createDataFrame([(i, i // 2) for i in range(2, 500)] + [(i, i // 3) for i in range(9, 500)] + [(600, 601), (601, 600)], "child int, parent int")
+    terms = spark.createDataFrame([(g, t) for g in range(40) for t in (1, 2 + g, 200 + 7 * g, 600, 601)], "gene_id int, go_id int")
+    index = ontology.ancestor_index(edges)
+    assert len(made) <= 6 and all(df.count() <= 500 for df in made)
+    pairs = storage.written(index.select(F.explode("above").alias("ancestor"), F.col("go_id").alias("descendant")))
+    want = {c: {c // 2, c // 3} if c >= 9 else {c // 2} for c in range(2, 500)} | {600: {601}, 601: {600}}
+    for _ in range(12):
+        want = {c: ps.union(*(want.get(p, set()) for p in ps)) for c, ps in want.items()}
+    assert sorted(map(tuple, pairs.collect())) == sorted((p, c) for c, ps in want.items() for p in ps)
+    met = {tuple(r) for r in ontology.specific_intersection(terms, index).collect()}
+    assert met and met == {tuple(r) for r in ontology.specific_intersection(terms, pairs).collect()}
