@@ -74,3 +74,15 @@ def test_ancestors_as_lists(spark, sf, monkeypatch):
     assert sorted(map(tuple, pairs.collect())) == sorted((p, c) for c, ps in want.items() for p in ps)
     met = {tuple(r) for r in ontology.specific_intersection(terms, index).collect()}
     assert met and met == {tuple(r) for r in ontology.specific_intersection(terms, pairs).collect()}
+
+
+def test_terms_dealt_out_before_distinct(spark, monkeypatch):
+    """With a number of hits, terms are dealt out by key in as many parts as it asks for, and made distinct there alone."""
+    hits = spark.createDataFrame([(i % 700, f"sp|P{i % 90}|X_SYN") for i in range(5000)], "gene_id int, subject_id string")
+    go_map = spark.createDataFrame([(f"P{i % 80}", f"GO:{i % 37}") for i in range(400)], "accession string, go_id string")
+    monkeypatch.setattr(ontology, "TASK_HITS", 500)
+    dealt = ontology.hits_go_terms(hits, go_map, ["gene_id"], 5000)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(gene_id" in plan and ", 10), REPARTITION_BY_NUM" in plan and "hashpartitioning(gene_id, go_id" not in plan.replace("#", " ").replace("  ", " ")
+    assert not any("HashAggregate" in line for line in plan.split("REPARTITION_BY_NUM")[1].splitlines())
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, ontology.hits_go_terms(hits, go_map, ["gene_id"]).collect()))
