@@ -86,3 +86,13 @@ def test_terms_dealt_out_before_distinct(spark, monkeypatch):
     assert "hashpartitioning(gene_id" in plan and ", 10), REPARTITION_BY_NUM" in plan and "hashpartitioning(gene_id, go_id" not in plan.replace("#", " ").replace("  ", " ")
     assert not any("HashAggregate" in line for line in plan.split("REPARTITION_BY_NUM")[1].splitlines())
     assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, ontology.hits_go_terms(hits, go_map, ["gene_id"]).collect()))
+
+
+def test_selected_hits_without_titles(spark, sf, monkeypatch):
+    """The whole annotation shuffles no title either, and hits are selected once before they are clustered."""
+    t, made = Tables(spark, sf), []
+    plan = queries.selected_hits(t.ph.drop("gene_id"), t.pt, queries.Params(evalue=queries.EVALUE, rules=queries.RULES))._jdf.queryExecution().executedPlan().toString()
+    assert not any("stitle" in line for line in plan.splitlines() if "Window" in line or "Exchange" in line)
+    monkeypatch.setattr(queries, "written", lambda df: made.append(df) or storage.written(df))
+    found = queries.QUERIES["cluster_hits"](spark, sf)
+    assert len(made) == 1 and "lineitem" not in "".join(found.inputFiles())
