@@ -79,7 +79,7 @@ def tied(spark, tmp_path_factory):
     return str(folder), con
 
 
-@pytest.mark.parametrize("name", ["symbol_concordance_recalc"])
+@pytest.mark.parametrize("name", ["symbol_concordance_recalc", "annotation_evidence"])
 def test_symbols_of_tied_lines(spark, tied, name):
     """Of the lines among which its SQL may take any, the last good one is taken; all else is as in the SQL."""
     folder, con = tied
